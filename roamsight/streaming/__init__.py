@@ -1,0 +1 @@
+"""Empty on purpose: all input is batch tables and no result is defined over a stream."""
