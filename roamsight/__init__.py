@@ -1,6 +1,7 @@
 """Travel customer analytics on Spark: session cleaning, user features, segments, yearly KPIs and retention."""
 
 from roamsight.params import Params, Skew, Weights
+from roamsight.plans.cohort import Cohort, find_cohort
 from roamsight.plans.kpis import kpi_dashboard, kpi_full_year, kpi_ytd
 from roamsight.plans.pipeline import Segmentation, segment_users
 from roamsight.plans.retention import retention, retention_heatmap
@@ -9,12 +10,14 @@ from roamsight.plans.users import user_averages, user_table
 from roamsight.sources.tables import Tables, duplicate_keys, read_tables
 
 __all__ = [
+    "Cohort",
     "Params",
     "Segmentation",
     "Skew",
     "Tables",
     "Weights",
     "duplicate_keys",
+    "find_cohort",
     "kpi_dashboard",
     "kpi_full_year",
     "kpi_ytd",

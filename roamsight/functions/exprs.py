@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,14 +34,18 @@ def full_years(on: date, born: Column) -> Column:
     return F.when(born <= F.lit(on), grown).when(born > F.lit(on), unborn)
 
 
-def _second_of_day(ts: Column) -> Column:
-    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
+def minute_hundredths(start: Column, end: Column) -> Column:
+    """Time between two timestamps in hundredths of a minute, rounded half away from zero, as bigint.
+
+    Interval arithmetic on whole microseconds: exact, free of time zones, and no decimal division per row.
+    """
+    per_hundredth = (end - start) / F.lit(600_000)  # as many microseconds as there are hundredths
+    return (per_hundredth * F.lit(1_000_000)).cast("interval second").cast("bigint")
 
 
-def minutes_between(start: Column, end: Column) -> Column:
-    """Minutes with two decimals. Built from wall-clock fields, so the session time zone plays no part."""
-    seconds = F.datediff(F.to_date(end), F.to_date(start)) * 86400 + _second_of_day(end) - _second_of_day(start)
-    return F.round(seconds.cast("decimal(22,10)") / F.lit(60), 2).cast("decimal(12,2)")
+def hundredths_to_minutes(hundredths: Column, precision: int = 12) -> Column:
+    whole = hundredths.cast(f"decimal({precision},0)")
+    return (whole * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:

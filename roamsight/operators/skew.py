@@ -1,8 +1,8 @@
 """Joins in which one key may hold a large share of the rows.
 
-Both joins take a list of hot keys made by :func:`hot_keys`. The list is computed from exact counts, so it is the
-same whenever a lost task is run again, and the result never depends on which keys it names: a key on the list only
-takes another route to the same rows.
+Both joins take the hot keys found by :func:`hot_keys`. The list comes from exact counts and is fixed before the join is
+planned, so a task that runs again sees the same list. The result never depends on which keys are listed: a hot key
+only takes another route to the same rows. Without hot keys the joins are plain ones.
 """
 
 from __future__ import annotations
@@ -16,25 +16,29 @@ _SLICE = "_slice"
 _SLICES = "_slices"
 
 
-def hot_keys(weights: DataFrame, key: str, weight: str, skew: Skew) -> DataFrame:
-    """Keys that hold more than ``1 / parts`` of all rows, with the number of slices to cut each into.
+def hot_keys(weights: DataFrame, key: str, weight: str, skew: Skew) -> DataFrame | None:
+    """Keys that hold more than ``1 / parts`` of all rows and the number of slices to cut each into; None if there are none.
 
-    ``weights`` has one row per key. Fewer than ``skew.parts`` rows come back whatever the input size,
-    which is what makes the result safe to broadcast.
+    ``weights`` has one row per key. Fewer than ``skew.parts`` keys can each hold more than ``1 / parts``, so the list
+    is small enough for the driver and for a broadcast whatever the input size.
     """
     total = weights.agg(F.sum(weight)).scalar()
     share = F.col(weight) * F.lit(skew.parts) / total
-    return weights.where((F.col(weight) > F.lit(skew.min_rows)) & (share > 1)).select(
+    found = weights.where((F.col(weight) > F.lit(skew.min_rows)) & (share > 1)).select(
         key, F.ceil(share).cast("int").alias(_SLICES)
     )
+    rows = found.collect()
+    return weights.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
-def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: DataFrame, how: str) -> DataFrame:
+def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: DataFrame | None, how: str) -> DataFrame:
     """Join on ``key`` with each hot key cut into slices.
 
     Fact rows of a hot key go to a slice by the hash of ``row_id`` and the key's dimension row is repeated once per
     slice; all other keys have a single slice. In total at most ``2 * parts`` dimension rows are added.
     """
+    if hot is None:
+        return facts.join(dim, key, how)
     slices = F.coalesce(F.col(_SLICES), F.lit(1))
     sliced_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
         _SLICE, F.pmod(F.xxhash64(F.col(row_id)), slices).cast("int")
@@ -45,21 +49,20 @@ def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: Da
     return sliced_facts.drop(_SLICES).join(sliced_dim.drop(_SLICES), [key, _SLICE], how).drop(_SLICE)
 
 
-def join_split(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def join_split(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Add the columns of ``dim`` to facts whose key is often NULL.
 
     Rows with a NULL key are kept with empty columns; rows with a key that ``dim`` lacks are dropped.
-    NULL and hot keys never reach a shuffle: they meet a broadcast of the hot dimension rows, fewer than ``parts``.
+    NULL keys never reach a shuffle, and hot keys meet a broadcast of the hot dimension rows, fewer than ``parts``.
     Only the rest is shuffled, and ``dim`` with it on its own key.
     """
-    hot = hot.select(key)
-    hot_dim = dim.join(F.broadcast(hot), key, "left_semi").withColumn("_found", F.lit(True))
-    by_broadcast = (
-        facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-        .where(F.col(key).isNull() | F.col("_hot"))
-        .join(F.broadcast(hot_dim), key, "left")
-        .where(F.col(key).isNull() | F.col("_found"))
-        .drop("_hot", "_found")
-    )
-    by_shuffle = facts.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(dim, key)
-    return by_shuffle.unionByName(by_broadcast)
+    with_key = facts.where(F.col(key).isNotNull())
+    parts = [with_key, facts.where(F.col(key).isNull())]
+    if hot is not None:
+        hot = F.broadcast(hot.select(key))
+        hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
+        parts = [with_key.join(hot, key, "left_anti"), parts[1], with_key.join(hot_dim, key)]
+    joined = parts[0].join(dim, key)
+    for part in parts[1:]:
+        joined = joined.unionByName(part, allowMissingColumns=True)
+    return joined

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamsight.params import Params
-from roamsight.plans.features import EXTRA_FEATURES, features
+from roamsight.plans.cohort import Cohort, find_cohort
+from roamsight.plans.features import features
 from roamsight.plans.segments import assign_segments, score_users, scores_tall, summarise_segments
-from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_table
 from roamsight.sources.staging import stage
 from roamsight.sources.tables import Tables
@@ -61,6 +61,7 @@ def segment_users(
     tables: Tables,
     params: Params,
     short: bool = False,
+    cohort: Cohort | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> Segmentation:
     """Run the segmentation.
@@ -68,7 +69,7 @@ def segment_users(
     The user table feeds the cohort statistics and the scoring, so it is written once and read back. ``short`` stores
     only the columns that scoring reads and Catalyst drops all work behind the others; the summary is the same.
     """
-    users = user_table(tables, params)
+    users = user_table(tables, cohort or find_cohort(tables, params, keep), params)
     users = keep(users.select(*SCORING_COLUMNS) if short else users, "users")
     described = features(users, params, short)
     scores = score_users(described, params)
@@ -86,6 +87,3 @@ def segment_users(
 def inspect_users(df: DataFrame, user_ids: list[int]) -> DataFrame:
     """Rows of selected users from any user- or session-level stage."""
     return df.where(F.col("user_id").isin(*user_ids))
-
-
-__all__ = ["EXTRA_FEATURES", "SCORING_COLUMNS", "Segmentation", "inspect_users", "segment_users", "session_base"]

@@ -1,4 +1,9 @@
-"""Session level: who belongs to the cohort, which trip a session belongs to, and what can be said about it."""
+"""Session level: the trip and user a session belongs to, and everything that follows from them.
+
+Every column is computed at the coarsest grain that knows its inputs (user, trip, session), so date and price arithmetic
+runs once per trip and the session stage is left with cheap conditions. Names with a leading underscore are
+helpers that do not leave this module's results.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +12,16 @@ from pyspark.sql import functions as F
 
 from roamsight.functions.exprs import (
     days_between,
-    full_years,
     haversine_km,
+    hundredths_to_minutes,
     iso_weekday,
-    minutes_between,
+    minute_hundredths,
     ratio,
     season,
 )
-from roamsight.operators.skew import hot_keys, join_sliced, join_split
+from roamsight.operators.skew import join_sliced, join_split
 from roamsight.params import Params
+from roamsight.plans.cohort import Cohort, member_trips
 from roamsight.sources.tables import Tables
 
 _FRI_SAT = (5, 6)
@@ -26,68 +32,59 @@ def _is_true(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(False))
 
 
-# --- cohort -----------------------------------------------------------------------------------------------------------
-
-
-def recent_sessions(tables: Tables, params: Params) -> DataFrame:
-    return tables.sessions.where(F.col("session_start") >= F.lit(params.cohort_start.isoformat()).cast("timestamp_ntz"))
-
-
-def active_users(tables: Tables, params: Params) -> DataFrame:
-    """user_id and session count of users with enough recent sessions."""
-    return (
-        recent_sessions(tables, params)
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("cohort_sessions"))
-        .where(F.col("cohort_sessions") > params.min_sessions)
-    )
-
-
-def cohort_profiles(tables: Tables, params: Params) -> DataFrame:
-    """The users table restricted to the cohort, so one join both filters sessions and adds user columns."""
-    return tables.users.join(active_users(tables, params).select("user_id"), "user_id")
-
-
-def _hot_users(tables: Tables, params: Params) -> DataFrame:
-    return hot_keys(active_users(tables, params), "user_id", "cohort_sessions", params.skew)
-
-
-def cohort_sessions(tables: Tables, params: Params) -> DataFrame:
-    """Recent sessions of active users, without any other table."""
-    active = active_users(tables, params).select("user_id")
-    recent = recent_sessions(tables, params)
-    return join_sliced(recent, active, "user_id", "session_id", _hot_users(tables, params), "left_semi")
-
-
 # --- trips ------------------------------------------------------------------------------------------------------------
 
 
-def user_trips(tables: Tables, params: Params) -> DataFrame:
-    """One row per (trip, cohort user) with what the trip's sessions say about it.
+def _stay() -> dict[str, Column]:
+    nights, return_time, check_in = F.col("nights"), F.col("return_time"), F.col("check_in_time")
+    until_return = days_between(check_in, return_time)
+    return {
+        "nights_cleaned": F.when(nights < 0, F.when(return_time.isNull(), -nights).otherwise(until_return))
+        .when(nights == 0, F.when(return_time.isNull(), F.lit(1)).otherwise(until_return))
+        .otherwise(days_between(check_in, F.col("check_out_time"))),
+        "hotel_city": F.when(
+            F.col("hotel_name").contains("-"), F.trim(F.regexp_replace("hotel_name", r"(?s)^.*-\s*", ""))
+        ),
+        "departure_dow": iso_weekday(F.col("departure_time")),
+        "return_dow": iso_weekday(return_time),
+        "check_in_dow": iso_weekday(check_in),
+        "_away": days_between(F.col("departure_time"), return_time),
+        "_departure_day": F.to_date("departure_time"),
+        "_check_in_day": F.to_date(check_in),
+    }
 
-    Aggregating before the cohort join keeps copies of one trip out of the shuffles.
-    """
-    pairs = (
-        recent_sessions(tables, params)
-        .where(F.col("trip_id").isNotNull())
-        .groupBy("trip_id", "user_id")
-        .agg(
-            F.bool_or(_is_true("cancellation")).alias("any_cancelled"),
-            F.bool_or(_is_true("flight_booked")).alias("any_flight"),
-            F.bool_or(_is_true("hotel_booked")).alias("any_hotel"),
-        )
-    )
-    members = cohort_profiles(tables, params).select("user_id")
-    return join_sliced(pairs, members, "user_id", "trip_id", _hot_users(tables, params), "left_semi")
 
+def _trip_shape() -> dict[str, Column]:
+    """What follows from the stay; whether the session booked it is decided later."""
+    with_return, away, nights = F.col("return_flight_booked"), F.col("_away"), F.col("nights_cleaned")
+    departs, returns, arrives = F.col("departure_dow"), F.col("return_dow"), F.col("check_in_dow")
+    fare, seats = F.col("base_fare_usd"), F.col("seats")
+    return {
+        "dow_check_out_cleaned": iso_weekday(F.date_add(F.col("_check_in_day"), nights)),
+        "_season_hotel": season(F.col("_check_in_day")),
+        "_season_flight": season(F.col("_departure_day")),
+        "_weekender_flight": with_return & departs.isin(*_FRI_SAT) & away.between(1, 2),
+        "_weekender_hotel": arrives.isin(*_FRI_SAT) & nights.between(1, 2),
+        "_weekday_flight": with_return
+        & (away <= 4)
+        & ~departs.isin(*_SAT_SUN)
+        & ~returns.isin(*_SAT_SUN)
+        & (returns > departs),
+        # the weekday after the stay is deliberately not wrapped at 7: Friday plus three nights counts
+        "_weekday_hotel": nights.between(1, 4) & ~arrives.isin(*_SAT_SUN) & ~(arrives + nights).isin(*_SAT_SUN),
+        "_seat_price": F.when(seats > 0, ratio(fare, seats, 2)),
+        "_seat_fare": F.when(seats > 0, fare.cast("double") / seats),
+        "_legs": F.when(with_return, 2).when(~with_return, 1),
+    }
 
-def trips(tables: Tables, params: Params) -> DataFrame:
+
+def trips(tables: Tables, cohort: Cohort) -> DataFrame:
     """One row per trip of the cohort: its status, flight, hotel and destination country.
 
     A booking only counts when the matching flight or hotel row is there.
     """
     seen = (
-        user_trips(tables, params)
+        member_trips(cohort)
         .groupBy("trip_id")
         .agg(*[F.bool_or(c).alias(c) for c in ("any_cancelled", "any_flight", "any_hotel")])
     )
@@ -99,54 +96,39 @@ def trips(tables: Tables, params: Params) -> DataFrame:
     return (
         seen.join(flights, "trip_id", "left")
         .join(tables.hotels, "trip_id", "left")
-        .withColumn("trip_status", status)
+        .withColumns({"trip_status": status, **_stay()})
+        .withColumns(_trip_shape())
         .drop("any_cancelled", "any_flight", "any_hotel")
     )
 
 
-def joined_sessions(tables: Tables, params: Params) -> DataFrame:
+def joined_sessions(tables: Tables, cohort: Cohort) -> DataFrame:
     """Cohort sessions with the columns of their user, flight, hotel, destination country and trip status.
 
     Trips come first and users last: rows then lie by user, and a per-user aggregation that follows
     has little left to move.
     """
-    recent = recent_sessions(tables, params)
-    per_trip = (
-        recent.where(F.col("trip_id").isNotNull()).groupBy("trip_id").agg(F.count(F.lit(1)).alias("trip_sessions"))
-    )
-    hot_trips = hot_keys(per_trip, "trip_id", "trip_sessions", params.skew)
-    with_trip = join_split(recent, trips(tables, params), "trip_id", hot_trips).withColumn(
+    with_trip = join_split(cohort.sessions, trips(tables, cohort), "trip_id", cohort.hot_trips).withColumn(
         "trip_status", F.coalesce(F.col("trip_status"), F.lit("none"))
     )
-    profiles = cohort_profiles(tables, params)
-    return join_sliced(with_trip, profiles, "user_id", "session_id", _hot_users(tables, params), "inner")
+    profiles = cohort.profiles.drop("cohort_sessions")
+    return join_sliced(with_trip, profiles, "user_id", "session_id", cohort.hot_users, "inner")
 
 
-# --- cleaning ---------------------------------------------------------------------------------------------------------
+# --- sessions ---------------------------------------------------------------------------------------------------------
 
 
-def _cleaned(params: Params) -> dict[str, Column]:
+def _cleaned() -> dict[str, Column]:
     """Columns computed from source columns alone."""
-    nights, return_time, check_in = F.col("nights"), F.col("return_time"), F.col("check_in_time")
-    until_return = days_between(check_in, return_time)
     at_home = F.col("origin_airport") == F.col("home_airport")
     return {
-        "nights_cleaned": F.when(nights < 0, F.when(return_time.isNull(), -nights).otherwise(until_return))
-        .when(nights == 0, F.when(return_time.isNull(), F.lit(1)).otherwise(until_return))
-        .otherwise(days_between(check_in, F.col("check_out_time"))),
         "flight_discount_cleaned": _is_true("flight_discount") & F.col("flight_discount_amount").isNotNull(),
         "hotel_discount_cleaned": _is_true("hotel_discount") & F.col("hotel_discount_amount").isNotNull(),
         "flight_booked_cleaned": _is_true("flight_booked") & F.col("trip_airline").isNotNull(),
         "hotel_booked_cleaned": _is_true("hotel_booked") & F.col("hotel_name").isNotNull(),
-        "hotel_city": F.when(
-            F.col("hotel_name").contains("-"), F.trim(F.regexp_replace("hotel_name", r"(?s)^.*-\s*", ""))
-        ),
-        "session_duration_min": minutes_between(F.col("session_start"), F.col("session_end")),
-        "departure_dow": iso_weekday(F.col("departure_time")),
-        "return_dow": iso_weekday(return_time),
-        "flight_trip_length": F.greatest(days_between(F.col("departure_time"), return_time), F.lit(1)),
-        "check_in_dow": iso_weekday(check_in),
-        "age_years": full_years(params.as_of_date, F.col("birthdate")),
+        "flight_trip_length": F.greatest(F.col("_away"), F.lit(1)),  # 1 also without a flight
+        "_hundredths": minute_hundredths(F.col("session_start"), F.col("session_end")),
+        "_session_day": F.to_date("session_start"),
         # haversine is NULL when a coordinate is
         "flight_distance_km": F.when(
             at_home,
@@ -162,21 +144,18 @@ def _cleaned(params: Params) -> dict[str, Column]:
 
 def _categories(params: Params) -> dict[str, Column]:
     flight, hotel = F.col("flight_booked_cleaned"), F.col("hotel_booked_cleaned")
-    age, nights, km = F.col("age_years"), F.col("nights_cleaned"), F.col("flight_distance_km")
+    nights, km = F.col("nights_cleaned"), F.col("flight_distance_km")
     home, target = F.col("home_country"), F.col("destination_country")
-    age_group = F.when(age.isNull(), "unknown")
-    for limit, label in ((26, "18-25"), (36, "26-35"), (46, "36-45"), (56, "46-55")):
-        age_group = age_group.when(age < limit, label)
     return {
-        "dow_check_out_cleaned": iso_weekday(F.date_add(F.to_date("check_in_time"), nights)),
-        "age_group": age_group.otherwise("55+"),
         "booking_category": F.when(hotel & flight, "flight+hotel")
         .when(hotel, "hotel only")
         .when(flight, "flight only")
         .otherwise("browsing only"),
-        "stay_length": F.when(hotel, F.when(nights <= 3, "short (1-3)").when(nights <= 7, "mid (4-7)").otherwise("long (8+)")),
-        "season_hotel": F.when(hotel, season(F.col("check_in_time"))),
-        "season_flight": F.when(flight, season(F.col("departure_time"))),
+        "stay_length": F.when(
+            hotel, F.when(nights <= 3, "short (1-3)").when(nights <= 7, "mid (4-7)").otherwise("long (8+)")
+        ),
+        "season_hotel": F.when(hotel, F.col("_season_hotel")),
+        "season_flight": F.when(flight, F.col("_season_flight")),
         "flight_distance_category": F.when(
             km.isNotNull(),
             F.when(km <= params.short_haul_km, "short-haul")
@@ -195,70 +174,58 @@ def _categories(params: Params) -> dict[str, Column]:
 def _splits() -> dict[str, Column]:
     """Clicks and minutes kept for one kind of session; NULL for all others."""
     flight, hotel = F.col("flight_booked_cleaned"), F.col("hotel_booked_cleaned")
-    clicks, minutes, status = F.col("page_clicks"), F.col("session_duration_min"), F.col("trip_status")
+    clicks, hundredths, status = F.col("page_clicks"), F.col("_hundredths"), F.col("trip_status")
+    minutes = hundredths_to_minutes(hundredths)
     kinds = {"booking": status == "booked", "cancellation": status == "cancelled", "browsing": ~flight & ~hotel}
     split = {
-        "clicks_per_min": F.round(clicks.cast("decimal(20,8)") / F.nullif(minutes, F.lit(0)), 2).cast("decimal(14,2)"),
+        "session_duration_min": minutes,
+        "clicks_per_min": ratio(clicks * 100, hundredths, 2),
         "clicks_hotel_only": F.when(hotel & ~flight, clicks),
         "clicks_flight_only": F.when(flight & ~hotel, clicks),
         "clicks_flight_hotel": F.when(hotel & flight, clicks),
         "clicks_browsing_only": F.when(~hotel & ~flight, clicks),
     }
-    split |= {f"clicks_{kind}": F.when(when, clicks) for kind, when in kinds.items()}
-    split |= {f"session_duration_{kind}": F.when(when, minutes) for kind, when in kinds.items()}
+    for kind, when in kinds.items():
+        split[f"clicks_{kind}"] = F.when(when, clicks)
+        split[f"session_duration_{kind}"] = F.when(when, minutes)
     return split
 
 
 def _travel() -> dict[str, Column]:
     """Lead times, lengths and the weekend and weekday flags."""
     flight, hotel = F.col("flight_booked_cleaned"), F.col("hotel_booked_cleaned")
-    booked = F.col("trip_status") == "booked"
-    start, departure, check_in = F.col("session_start"), F.col("departure_time"), F.col("check_in_time")
-    with_return = F.col("return_flight_booked")
-    away = days_between(departure, F.col("return_time"))
-    departs, returns, arrives = F.col("departure_dow"), F.col("return_dow"), F.col("check_in_dow")
-    nights = F.col("nights_cleaned")
-    one_way = ~flight | ~with_return  # unknown when the return flag is, so the length below is still given
+    booked, away = F.col("trip_status") == "booked", F.col("_away")
+    to_departure = F.datediff("_departure_day", "_session_day")
+    to_check_in = F.datediff("_check_in_day", "_session_day")
+    one_way = ~flight | ~F.col("return_flight_booked")  # unknown when the return flag is, and then the length is given
     return {
-        "leadtime_flight_hotel_combined": F.when(booked & hotel & flight, days_between(start, departure)),
-        "leadtime_hotel_only": F.when(booked & hotel & ~flight, days_between(start, check_in)),
-        "leadtime_flight_only": F.when(booked & ~hotel & flight, days_between(start, departure)),
+        "leadtime_flight_hotel_combined": F.when(booked & hotel & flight, to_departure),
+        "leadtime_hotel_only": F.when(booked & hotel & ~flight, to_check_in),
+        "leadtime_flight_only": F.when(booked & ~hotel & flight, to_departure),
         "flight_trip_nights": F.when(one_way, None).otherwise(away),
         "flight_trip_days": F.when(one_way, None).otherwise(away + 1),
-        "is_weekender_flight": flight & with_return & departs.isin(*_FRI_SAT) & away.between(1, 2),
-        "is_weekender_hotel": hotel & arrives.isin(*_FRI_SAT) & nights.between(1, 2),
-        "is_short_weekday_flight": flight
-        & with_return
-        & (away <= 4)
-        & ~departs.isin(*_SAT_SUN)
-        & ~returns.isin(*_SAT_SUN)
-        & (returns > departs),
-        # the weekday after the stay is deliberately not wrapped at 7: Friday plus three nights counts
-        "is_short_weekday_hotel": hotel
-        & nights.between(1, 4)
-        & ~arrives.isin(*_SAT_SUN)
-        & ~(arrives + nights).isin(*_SAT_SUN),
+        "is_weekender_flight": flight & F.col("_weekender_flight"),
+        "is_weekender_hotel": hotel & F.col("_weekender_hotel"),
+        "is_short_weekday_flight": flight & F.col("_weekday_flight"),
+        "is_short_weekday_hotel": hotel & F.col("_weekday_hotel"),
     }
 
 
 def _prices() -> dict[str, Column]:
-    fare, seats, km = F.col("base_fare_usd"), F.col("seats"), F.col("flight_distance_km")
-    legs = F.when(F.col("return_flight_booked"), 2).when(~F.col("return_flight_booked"), 1)
-    sold = F.col("flight_booked_cleaned") & (seats > 0)
-    per_km = fare.cast("double") / F.nullif(seats, F.lit(0)) / F.nullif(km * legs, F.lit(0.0))
+    flight, km = F.col("flight_booked_cleaned"), F.col("flight_distance_km")
+    per_km = F.col("_seat_fare") / (km * F.col("_legs"))
     return {
-        "flight_price_per_seat": F.when(sold, ratio(fare, seats, 2)),
-        "flight_price_per_km": F.when(sold & (km > 0), F.round(per_km, 4).cast("decimal(18,4)")),
+        "flight_price_per_seat": F.when(flight, F.col("_seat_price")),
+        "flight_price_per_km": F.when(flight & (km > 0), per_km.cast("decimal(18,4)")),  # the cast rounds
     }
 
 
 def describe_sessions(joined: DataFrame, params: Params) -> DataFrame:
     """Add every cleaned and derived session column; no shuffle."""
-    return joined.withColumns(_cleaned(params)).withColumns(
-        _categories(params) | _splits() | _travel() | _prices()
-    )
+    return joined.withColumns(_cleaned()).withColumns(_categories(params) | _splits() | _travel() | _prices())
 
 
-def session_base(tables: Tables, params: Params) -> DataFrame:
+def session_base(tables: Tables, cohort: Cohort, params: Params) -> DataFrame:
     """The cleaned session table: one row per cohort session."""
-    return describe_sessions(joined_sessions(tables, params), params)
+    described = describe_sessions(joined_sessions(tables, cohort), params)
+    return described.drop(*[c for c in described.columns if c.startswith("_")])

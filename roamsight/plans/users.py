@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamsight.functions.exprs import flag, or_zero, ratio
+from roamsight.functions.exprs import flag, hundredths_to_minutes, or_zero, ratio
 from roamsight.params import Params
-from roamsight.plans.sessions import session_base, user_trips
+from roamsight.plans.cohort import Cohort
+from roamsight.plans.sessions import describe_sessions, joined_sessions
 from roamsight.sources.tables import Tables
 
 
@@ -26,6 +27,10 @@ def _totals() -> dict[str, Column]:
     def amount(when: Column, value: Column) -> Column:
         return F.sum(F.when(when, value).otherwise(0))
 
+    def minutes(when: Column) -> Column:
+        """Added up as integers; a decimal sum would cost several times as much per session."""
+        return hundredths_to_minutes(F.sum(F.when(when, F.col("_hundredths"))), 20)
+
     def mean(when: Column, value: Column) -> Column:
         kept = F.when(when, value)
         return ratio(F.sum(kept), F.count(kept), 4)
@@ -34,10 +39,10 @@ def _totals() -> dict[str, Column]:
         return price - price * F.coalesce(off, F.lit(0))
 
     return {
-        "total_min_sessions": F.sum("session_duration_min"),
-        "total_min_booking": F.sum("session_duration_booking"),
-        "total_min_cancellation": F.sum("session_duration_cancellation"),
-        "total_min_browsing": F.sum("session_duration_browsing"),
+        "total_min_sessions": minutes(F.lit(True)),
+        "total_min_booking": minutes(booked),
+        "total_min_cancellation": minutes(F.col("trip_status") == "cancelled"),
+        "total_min_browsing": minutes(~flight & ~hotel),
         "total_page_clicks": F.sum("page_clicks"),
         "total_clicks_booking": F.sum("clicks_booking"),
         "total_clicks_cancellation": F.sum("clicks_cancellation"),
@@ -81,20 +86,21 @@ def _totals() -> dict[str, Column]:
         "is_married": F.max(flag(F.col("married"))),
         "has_children": F.max(flag(F.col("has_children"))),
         "last_booking_since_signup": F.datediff(
-            F.max(F.when(F.col("trip_id").isNotNull() & booked, F.to_date("session_start"))), F.max("sign_up_date")
+            F.max(F.when(F.col("trip_id").isNotNull() & booked, F.col("_session_day"))), F.max("sign_up_date")
         ),
-        "last_session_since_signup": F.datediff(F.max(F.to_date("session_start")), F.max("sign_up_date")),
+        "last_session_since_signup": F.datediff(F.max(F.col("_session_day")), F.max("sign_up_date")),
     }
 
 
-def user_totals(tables: Tables, params: Params) -> DataFrame:
+def user_totals(tables: Tables, cohort: Cohort, params: Params) -> DataFrame:
     """One row per cohort user.
 
     Distinct trips are counted from the (trip, user) pairs and joined per user. As a COUNT DISTINCT inside the
     large aggregation they would make Spark shuffle all other totals once per trip.
     """
-    bookings = user_trips(tables, params).groupBy("user_id").agg(F.count(F.lit(1)).alias("total_bookings"))
-    totals = session_base(tables, params).groupBy("user_id").agg(*[c.alias(name) for name, c in _totals().items()])
+    bookings = cohort.user_trips.groupBy("user_id").agg(F.count(F.lit(1)).alias("total_bookings"))
+    sessions = describe_sessions(joined_sessions(tables, cohort), params)
+    totals = sessions.groupBy("user_id").agg(*[c.alias(name) for name, c in _totals().items()])
     return totals.join(bookings, "user_id", "left").withColumn(
         "total_bookings", F.coalesce(F.col("total_bookings"), F.lit(0).cast("bigint"))
     )
@@ -141,9 +147,9 @@ def with_averages(totals: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def user_table(tables: Tables, params: Params) -> DataFrame:
+def user_table(tables: Tables, cohort: Cohort, params: Params) -> DataFrame:
     """Totals and averages of every cohort user."""
-    return with_averages(user_totals(tables, params), params)
+    return with_averages(user_totals(tables, cohort, params), params)
 
 
 AVERAGE_COLUMNS = [
@@ -175,5 +181,5 @@ AVERAGE_COLUMNS = [
 ]
 
 
-def user_averages(tables: Tables, params: Params) -> DataFrame:
-    return user_table(tables, params).select("user_id", *AVERAGE_COLUMNS)
+def user_averages(tables: Tables, cohort: Cohort, params: Params) -> DataFrame:
+    return user_table(tables, cohort, params).select("user_id", *AVERAGE_COLUMNS)
