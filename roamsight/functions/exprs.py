@@ -73,7 +73,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin((lat2 - lat1) / 2)
     half_lon = F.sin((lon2 - lon1) / 2)
     chord = half_lat * half_lat + F.cos(lat1) * F.cos(lat2) * half_lon * half_lon
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    # rounding may lift the chord of opposite points above 1; a missing coordinate stays missing
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))
 
 
 def season(ts: Column) -> Column:

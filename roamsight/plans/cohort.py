@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,21 +15,6 @@ from roamsight.sources.staging import stage
 from roamsight.sources.tables import Tables
 
 
-@dataclass(frozen=True)
-class Cohort:
-    """What every session- and user-level job reads.
-
-    ``profiles`` and ``user_trips`` are stored; reading them again is cheap.
-    """
-
-    sessions: DataFrame  # recent sessions; of members only if members_only
-    members_only: bool
-    profiles: DataFrame  # the users table restricted to members, with age and session count
-    user_trips: DataFrame  # one row per trip and user, with what the sessions say about the trip
-    hot_users: DataFrame | None
-    hot_trips: DataFrame | None
-
-
 def recent_sessions(tables: Tables, params: Params) -> DataFrame:
     return tables.sessions.where(F.col("session_start") >= F.lit(params.cohort_start.isoformat()).cast("timestamp_ntz"))
 
@@ -68,43 +53,62 @@ def _user_trips(sessions: DataFrame) -> DataFrame:
     )
 
 
-def find_cohort(
-    tables: Tables, params: Params, keep: Callable[[DataFrame, str], DataFrame] = stage
-) -> Cohort:
-    """Count sessions per user, join the members' profiles and list their trips.
-
-    A member list of at most ``params.broadcast_users`` ids is broadcast and drops all other sessions at the scan.
-    A longer one is left to the joins that follow, which need no extra shuffle for it.
-    """
-    active = active_users(tables, params)
-    profiles = keep(_with_age(tables.users, params).join(active, "user_id"), "profiles")
-    sessions, weights = recent_sessions(tables, params), active
-    members_only = profiles.count() <= params.broadcast_users
-    if members_only:
-        sessions, weights = sessions.join(F.broadcast(profiles.select("user_id")), "user_id", "left_semi"), profiles
-    user_trips = keep(_user_trips(sessions), "user_trips")
-    per_trip = user_trips.groupBy("trip_id").agg(F.sum("trip_sessions").alias("trip_sessions"))
-    return Cohort(
-        sessions=sessions,
-        members_only=members_only,
-        profiles=profiles,
-        user_trips=user_trips,
-        hot_users=hot_keys(weights, "user_id", "cohort_sessions", params.skew),
-        hot_trips=hot_keys(per_trip, "trip_id", "trip_sessions", params.skew),
-    )
-
+class Cohort:
+    """What every session- and user-level job reads; each part is prepared when first asked for.
 
-def member_trips(cohort: Cohort) -> DataFrame:
-    """``user_trips`` of members."""
-    if cohort.members_only:
-        return cohort.user_trips
-    members = cohort.profiles.select("user_id")
-    return join_sliced(cohort.user_trips, members, "user_id", "trip_id", cohort.hot_users, "left_semi")
+    ``profiles`` is the users table restricted to members, with age and session count. ``user_trips`` has one row per
+    trip and user. Both are stored, so reading them again is cheap.
 
+    ``sessions`` are the recent sessions. A member list of at most ``params.broadcast_users`` ids is broadcast and drops
+    all other sessions at the scan; then ``members_only`` is set. A longer list is left to the joins
+    that follow, which need no extra shuffle for it.
+    """
 
-def cohort_sessions(cohort: Cohort) -> DataFrame:
-    """Recent sessions of members, without columns of other tables."""
-    if cohort.members_only:
-        return cohort.sessions
-    members = cohort.profiles.select("user_id")
-    return join_sliced(cohort.sessions, members, "user_id", "session_id", cohort.hot_users, "left_semi")
+    def __init__(self, tables: Tables, params: Params, keep: Callable[[DataFrame, str], DataFrame] = stage):
+        self._tables, self._params, self._keep = tables, params, keep
+        members = _with_age(tables.users, params).join(active_users(tables, params), "user_id")
+        self.profiles = keep(members, "profiles")
+        size = self.profiles.agg(
+            F.count(F.lit(1)).alias("users"), F.coalesce(F.sum("cohort_sessions"), F.lit(0)).alias("sessions")
+        ).first()
+        self.members_only = size.users <= params.broadcast_users
+        self._too_few_for_hot_keys = self.members_only and size.sessions <= params.skew.min_rows
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        recent = recent_sessions(self._tables, self._params)
+        if not self.members_only:
+            return recent
+        return recent.join(F.broadcast(self.profiles.select("user_id")), "user_id", "left_semi")
+
+    @cached_property
+    def user_trips(self) -> DataFrame:
+        return self._keep(_user_trips(self.sessions), "user_trips")
+
+    @cached_property
+    def hot_users(self) -> DataFrame | None:
+        if self._too_few_for_hot_keys:
+            return None
+        weights = self.profiles if self.members_only else active_users(self._tables, self._params)
+        return hot_keys(weights, "user_id", "cohort_sessions", self._params.skew)
+
+    @cached_property
+    def hot_trips(self) -> DataFrame | None:
+        if self._too_few_for_hot_keys:
+            return None
+        weights = self.user_trips.groupBy("trip_id").agg(F.sum("trip_sessions").alias("trip_sessions"))
+        return hot_keys(weights, "trip_id", "trip_sessions", self._params.skew)
+
+    def of_members(self, df: DataFrame, row_id: str) -> DataFrame:
+        """Rows of sessions or user_trips that belong to members."""
+        if self.members_only:
+            return df
+        return join_sliced(df, self.profiles.select("user_id"), "user_id", row_id, self.hot_users, "left_semi")
+
+    @property
+    def member_sessions(self) -> DataFrame:
+        return self.of_members(self.sessions, "session_id")
+
+    @property
+    def member_trips(self) -> DataFrame:
+        return self.of_members(self.user_trips, "trip_id")

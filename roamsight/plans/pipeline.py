@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamsight.params import Params
-from roamsight.plans.cohort import Cohort, find_cohort
+from roamsight.plans.cohort import Cohort
 from roamsight.plans.features import features
 from roamsight.plans.segments import assign_segments, score_users, scores_tall, summarise_segments
 from roamsight.plans.users import user_table
@@ -69,7 +69,7 @@ def segment_users(
     The user table feeds the cohort statistics and the scoring, so it is written once and read back. ``short`` stores
     only the columns that scoring reads and Catalyst drops all work behind the others; the summary is the same.
     """
-    users = user_table(tables, cohort or find_cohort(tables, params, keep), params)
+    users = user_table(tables, cohort or Cohort(tables, params, keep), params)
     users = keep(users.select(*SCORING_COLUMNS) if short else users, "users")
     described = features(users, params, short)
     scores = score_users(described, params)

@@ -21,7 +21,7 @@ from roamsight.functions.exprs import (
 )
 from roamsight.operators.skew import join_sliced, join_split
 from roamsight.params import Params
-from roamsight.plans.cohort import Cohort, member_trips
+from roamsight.plans.cohort import Cohort
 from roamsight.sources.tables import Tables
 
 _FRI_SAT = (5, 6)
@@ -84,8 +84,7 @@ def trips(tables: Tables, cohort: Cohort) -> DataFrame:
     A booking only counts when the matching flight or hotel row is there.
     """
     seen = (
-        member_trips(cohort)
-        .groupBy("trip_id")
+        cohort.member_trips.groupBy("trip_id")
         .agg(*[F.bool_or(c).alias(c) for c in ("any_cancelled", "any_flight", "any_hotel")])
     )
     flights = tables.flights.join(F.broadcast(tables.mapping), "destination", "left")

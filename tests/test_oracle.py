@@ -1,0 +1,43 @@
+"""Every registered query against independent SQL."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for name in os.listdir(sf_dir):
+        table = name.removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{name}'")
+    yield connection
+    connection.close()
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_same_rows(name, spark, sf_dir, duck):
+    result = QUERIES[name](spark, sf_dir)
+    columns = sorted(result.columns)
+    found = duck.execute(SQL[name])
+    order = [[c[0] for c in found.description].index(c) for c in columns]
+    expected = sorted((tuple(r[i] for i in order) for r in found.fetchall()), key=str)
+    actual = sorted((tuple(r[c] for c in columns) for r in result.collect()), key=str)
+    assert actual == expected
+    assert actual, "an empty result proves nothing"
+
+
+def test_entry(spark):
+    summary = registry.entry(spark)
+    assert summary.columns == ["final_segment", "users", "share_perc", "good_match_perc", "perk"]
+    assert summary.count() > 0

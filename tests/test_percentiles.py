@@ -1,0 +1,56 @@
+"""Exact percentiles against a sort in plain Python."""
+
+from decimal import Decimal
+from fractions import Fraction
+from math import ceil, floor
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from roamsight.operators.percentiles import Percentile, exact_percentiles
+
+P20, P80 = Decimal("0.2"), Decimal("0.8")
+
+
+def expected(values, p, cont):
+    values = sorted(v for v in values if v is not None)
+    if not values:
+        return None
+    if not cont:
+        return values[max(ceil(Fraction(p) * len(values)) - 1, 0)]
+    position = Fraction(p) * (len(values) - 1)
+    low, high = values[floor(position)], values[ceil(position)]
+    exact = Fraction(low) + (position - floor(position)) * (Fraction(high) - Fraction(low))
+    return Decimal(exact.numerator) / Decimal(exact.denominator)
+
+
+def check(spark, values, accuracy, fractions=(P20, P80)):
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(18,4)")
+    wanted = [Percentile(f"w{i}{c}", "x", p, c) for i, p in enumerate(fractions) for c in (True, False)]
+    row = exact_percentiles(df, wanted, accuracy).first()
+    assert [row[w.name] for w in wanted] == [expected(values, w.p, w.cont) for w in wanted]
+
+
+@pytest.mark.parametrize("values", [[], [None, None], [Decimal(5)], [Decimal(1), Decimal(2)], [Decimal(3)] * 10 + [None]])
+def test_few_values(spark, values):
+    check(spark, values, 10_000)
+
+
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+@pytest.mark.parametrize("n", [71, 72, 73, 999, 4000])
+def test_bracket_and_open_ends(spark, n, accuracy):
+    values = [Decimal(i * 7919 % 10007) / 4 for i in range(n)]
+    check(spark, values, accuracy)
+    check(spark, values, accuracy, (Decimal("0"), Decimal("0.001"), Decimal("0.5"), Decimal("1")))
+
+
+def test_ties_collapse(spark):
+    """A third of the rows share the wanted value; they travel as one counted row."""
+    check(spark, [Decimal(1)] * 1000 + [Decimal(2)] * 1500 + [Decimal(i) / 100 for i in range(2000)], 100)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 50).map(lambda i: Decimal(i) / 8)), max_size=120), st.sampled_from([20, 50, 10_000]))
+def test_any_values(spark, values, accuracy):
+    check(spark, values, accuracy)

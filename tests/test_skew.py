@@ -1,0 +1,126 @@
+"""Hot keys take other routes to the same rows."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import make_tables, plan, rows
+from roamsight.operators.skew import hot_keys, join_sliced, join_split
+from roamsight.params import Params, Skew
+from roamsight.plans.cohort import Cohort
+from roamsight.plans.pipeline import segment_users
+from roamsight.plans.sessions import session_base
+from roamsight.sources.derived import DERIVED_PARAMS
+
+EAGER = Skew(parts=20, min_rows=0)
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    """A third of the rows has key 7, a third has no key, the rest is spread."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 50 + 100)
+    return spark.range(3000).select(F.col("id").alias("row"), key.cast("bigint").alias("k"))
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.range(140).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).where("k <> 120")
+
+
+@pytest.fixture(scope="module")
+def hot(facts):
+    weights = facts.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    return hot_keys(weights, "k", "n", EAGER)
+
+
+def test_hot_keys_are_few_and_sliced_by_share(facts, hot):
+    assert {r.k: r._slices for r in hot.collect()} == {7: 10}  # half of the rows with a key, in twentieths
+    weights = facts.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    for parts in (2, 7, 60):
+        found = hot_keys(weights, "k", "n", Skew(parts=parts, min_rows=0))
+        assert found is None or found.count() < parts
+    assert hot_keys(weights, "k", "n", Skew()) is None  # too few rows altogether
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_join_sliced(facts, dim, hot, how):
+    assert rows(join_sliced(facts, dim, "k", "row", hot, how)) == rows(facts.join(dim, "k", how))
+    assert rows(join_sliced(facts, dim, "k", "row", None, how)) == rows(facts.join(dim, "k", how))
+
+
+def test_join_sliced_spreads_the_hot_key(spark, facts, dim, hot):
+    with_shuffle = join_sliced(facts, dim.hint("shuffle_merge"), "k", "row", hot, "inner")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = with_shuffle.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1
+
+
+def test_join_split(facts, dim, hot):
+    expected = facts.join(dim, "k", "left").where("k is null or v is not null")
+    for keys in (hot, None):
+        assert rows(join_split(facts, dim, "k", keys)) == rows(expected)
+
+
+def test_join_split_shuffles_neither_null_nor_hot_keys(spark, facts, dim, hot):
+    from roamsight.sources.staging import stage
+
+    stored = stage(facts, "facts")
+    text = plan(join_split(stored, dim.hint("shuffle_merge"), "k", hot))
+    shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning(k" in line]
+    assert len(shuffled) == 2  # the ordinary rows and the dimension, once each
+    assert "LeftAnti" in text
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """One user with a third of the sessions, one trip with many, shared by two users, and an unknown user's sessions."""
+    sessions = []
+    for i in range(300):
+        user = 1 if i % 3 == 0 else 2 + i % 20
+        trip = None if i % 2 else (500 if i % 4 == 0 else i)
+        sessions.append({"session_id": i, "user_id": user, "trip_id": trip, "page_clicks": i % 7, "cancellation": i == 10})
+    sessions += [{"session_id": 1000 + i, "user_id": 99, "trip_id": 500, "cancellation": True} for i in range(100)]
+    trips = {s["trip_id"] for s in sessions} - {None}
+    return make_tables(
+        spark,
+        sessions=sessions,
+        users=[{"user_id": u} for u in range(1, 30)],
+        flights=[{"trip_id": t, "seats": t % 4 + 1} for t in trips if t % 5],
+        hotels=[{"trip_id": t, "nights": t % 6 - 2} for t in trips if t % 7],
+    )
+
+
+ROUTES = {
+    "plain": Params(min_sessions=3),
+    "hot keys": Params(min_sessions=3, skew=Skew(parts=50, min_rows=0)),
+    "long member list": Params(min_sessions=3, broadcast_users=0),
+    "long member list, hot keys": Params(min_sessions=3, broadcast_users=0, skew=Skew(parts=50, min_rows=0)),
+}
+
+
+def test_session_base_is_the_same_on_every_route(skewed):
+    results = {}
+    for name, params in ROUTES.items():
+        cohort = Cohort(skewed, params)
+        if params.skew.min_rows == 0:
+            assert cohort.hot_users is not None and cohort.hot_trips is not None
+        results[name] = rows(session_base(skewed, cohort, params))
+    assert len(results["plain"]) == 300  # the unknown user's sessions are gone, and cancel nothing
+    assert all(found == results["plain"] for found in results.values())
+    statuses = {r.trip_id: r.trip_status for r in session_base(skewed, Cohort(skewed, ROUTES["plain"]), ROUTES["plain"]).collect()}
+    assert statuses[500] == "booked" and statuses[10] == "cancelled"
+
+
+def test_users_are_the_same_on_every_route(skewed):
+    users = {name: rows(segment_users(skewed, params).users) for name, params in ROUTES.items()}
+    assert all(found == users["plain"] for found in users.values())
+
+
+def test_segments_are_the_same_on_every_route(tables):
+    expected = rows(segment_users(tables, DERIVED_PARAMS).assigned)
+    forced = replace(DERIVED_PARAMS, broadcast_users=0, skew=EAGER, percentile_accuracy=20)
+    assert rows(segment_users(tables, forced).assigned) == expected
