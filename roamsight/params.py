@@ -72,5 +72,5 @@ class Params:
 
     # execution
     skew: Skew = field(default_factory=Skew)
-    broadcast_users: int = 2_000_000  # longest list of user ids that may be broadcast
+    broadcast_ids: int = 2_000_000  # longest list of user or trip ids that may be broadcast
     percentile_accuracy: int = 10_000

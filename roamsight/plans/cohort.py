@@ -59,9 +59,9 @@ class Cohort:
     ``profiles`` is the users table restricted to members, with age and session count. ``user_trips`` has one row per
     trip and user. Both are stored, so reading them again is cheap.
 
-    ``sessions`` are the recent sessions. A member list of at most ``params.broadcast_users`` ids is broadcast and drops
+    ``sessions`` are the recent sessions. A member list of at most ``params.broadcast_ids`` ids is broadcast and drops
     all other sessions at the scan; then ``members_only`` is set. A longer list is left to the joins
-    that follow, which need no extra shuffle for it.
+    that follow, which need no extra shuffle for it. Flights and hotels are reduced to the cohort's trips the same way.
     """
 
     def __init__(self, tables: Tables, params: Params, keep: Callable[[DataFrame, str], DataFrame] = stage):
@@ -71,7 +71,7 @@ class Cohort:
         size = self.profiles.agg(
             F.count(F.lit(1)).alias("users"), F.coalesce(F.sum("cohort_sessions"), F.lit(0)).alias("sessions")
         ).first()
-        self.members_only = size.users <= params.broadcast_users
+        self.members_only = size.users <= params.broadcast_ids
         self._too_few_for_hot_keys = self.members_only and size.sessions <= params.skew.min_rows
 
     @cached_property
@@ -105,6 +105,16 @@ class Cohort:
             return df
         return join_sliced(df, self.profiles.select("user_id"), "user_id", row_id, self.hot_users, "left_semi")
 
+    def of_trips(self, df: DataFrame) -> DataFrame:
+        """Flights or hotels without rows that no session of the cohort can meet, if the trips are few enough."""
+        if not self._few_trips:
+            return df
+        return df.join(F.broadcast(self.user_trips.select("trip_id")), "trip_id", "left_semi")
+
+    @cached_property
+    def _few_trips(self) -> bool:
+        return self.user_trips.count() <= self._params.broadcast_ids
+
     @property
     def member_sessions(self) -> DataFrame:
         return self.of_members(self.sessions, "session_id")

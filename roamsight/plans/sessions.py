@@ -87,14 +87,14 @@ def trips(tables: Tables, cohort: Cohort) -> DataFrame:
         cohort.member_trips.groupBy("trip_id")
         .agg(*[F.bool_or(c).alias(c) for c in ("any_cancelled", "any_flight", "any_hotel")])
     )
-    flights = tables.flights.join(F.broadcast(tables.mapping), "destination", "left")
+    flights = cohort.of_trips(tables.flights).join(F.broadcast(tables.mapping), "destination", "left")
     booked = (F.col("any_flight") & F.col("trip_airline").isNotNull()) | (
         F.col("any_hotel") & F.col("hotel_name").isNotNull()
     )
     status = F.when(F.col("any_cancelled"), "cancelled").when(booked, "booked").otherwise("none")
     return (
         seen.join(flights, "trip_id", "left")
-        .join(tables.hotels, "trip_id", "left")
+        .join(cohort.of_trips(tables.hotels), "trip_id", "left")
         .withColumns({"trip_status": status, **_stay()})
         .withColumns(_trip_shape())
         .drop("any_cancelled", "any_flight", "any_hotel")

@@ -84,3 +84,25 @@ def test_destinations():
     countries = dict(DESTINATION_COUNTRIES)
     assert len(set(countries.values())) == 44
     assert (countries["xi'an"], countries["london"], countries["rome"]) == ("china", "canada", "usa")
+
+
+def test_command_line(spark, tables, tmp_path):
+    from roamsight.__main__ import SUMMARIES, TABLES, main
+    from roamsight.plans.pipeline import segment_users
+    from roamsight.sources.derived import DERIVED_PARAMS
+
+    source = tmp_path / "in"
+    for name in ("sessions", "users", "flights", "hotels"):
+        getattr(tables, name).write.parquet(str(source / name))
+    dates = ["--cohort-start", "1997-01-01", "--as-of", "2001-12-31", "--cohort-year", "1995"]
+    for job in ("segments", "retention", "assigned"):
+        main([job, str(source), str(tmp_path / job), *dates])
+    with_header = spark.read.option("header", True)
+    # only the destination categories depend on the built-in country list, and no score reads them
+    expected = segment_users(tables, DERIVED_PARAMS)
+    assert sorted(r.final_segment for r in with_header.csv(str(tmp_path / "segments")).collect()) == sorted(
+        r.final_segment for r in expected.summary.collect()
+    )
+    assert with_header.csv(str(tmp_path / "retention")).count() == 14
+    assert rows(spark.read.parquet(str(tmp_path / "assigned"))) == rows(expected.assigned)
+    assert len(TABLES) + len(SUMMARIES) == 11

@@ -52,7 +52,7 @@ def test_short_member_list_is_broadcast_at_the_scan(stored):
 
 
 def test_long_member_list_is_not_broadcast(spark, stored):
-    cohort = Cohort(stored, Params(cohort_start=DERIVED_PARAMS.cohort_start, broadcast_users=0))
+    cohort = Cohort(stored, Params(cohort_start=DERIVED_PARAMS.cohort_start, broadcast_ids=0))
     assert not cohort.members_only
     assert "BroadcastHashJoin" not in plan(cohort.member_sessions)
 

@@ -97,8 +97,8 @@ def skewed(spark):
 ROUTES = {
     "plain": Params(min_sessions=3),
     "hot keys": Params(min_sessions=3, skew=Skew(parts=50, min_rows=0)),
-    "long member list": Params(min_sessions=3, broadcast_users=0),
-    "long member list, hot keys": Params(min_sessions=3, broadcast_users=0, skew=Skew(parts=50, min_rows=0)),
+    "long member list": Params(min_sessions=3, broadcast_ids=0),
+    "long member list, hot keys": Params(min_sessions=3, broadcast_ids=0, skew=Skew(parts=50, min_rows=0)),
 }
 
 
@@ -122,5 +122,5 @@ def test_users_are_the_same_on_every_route(skewed):
 
 def test_segments_are_the_same_on_every_route(tables):
     expected = rows(segment_users(tables, DERIVED_PARAMS).assigned)
-    forced = replace(DERIVED_PARAMS, broadcast_users=0, skew=EAGER, percentile_accuracy=20)
+    forced = replace(DERIVED_PARAMS, broadcast_ids=0, skew=EAGER, percentile_accuracy=20)
     assert rows(segment_users(tables, forced).assigned) == expected
