@@ -93,6 +93,7 @@ _RETENTION = """
 _YEARLY = {
     "sessions_by_year": "year:i sessions:i active_users:i trips_booked:i",
     "repeat_bookers_by_year": "year:i repeat_bookers:i bookers_total:i",
+    "trips_per_user_year": "year:i user_id:i trips_user_year:i",
     "new_users_by_year": "year:i new_users:i",
     "total_users_by_year": "year:i total_users:i",
 }

@@ -362,10 +362,12 @@ def _yearly_steps(ytd: bool) -> dict[str, str]:
             SELECT year, count(*) AS sessions, count(DISTINCT user_id) AS active_users,
                    count(DISTINCT trip_id) AS trips_booked
             FROM visits GROUP BY year""",
+        "trip_counts": """
+            SELECT year, user_id, count(DISTINCT trip_id) AS trips_user_year
+            FROM visits WHERE trip_id IS NOT NULL GROUP BY ALL""",
         "bookers": """
-            SELECT year, count(*) FILTER (n > 1) AS repeat_bookers, count(*) AS bookers_total
-            FROM (SELECT year, user_id, count(DISTINCT trip_id) AS n FROM visits WHERE trip_id IS NOT NULL GROUP BY ALL)
-            GROUP BY year""",
+            SELECT year, count(*) FILTER (trips_user_year > 1) AS repeat_bookers, count(*) AS bookers_total
+            FROM trip_counts GROUP BY year""",
         "joins": f"""
             SELECT year(sign_up_date) AS year, count(DISTINCT user_id) AS new_users
             FROM users WHERE {early('sign_up_date')} GROUP BY ALL""",
@@ -469,6 +471,7 @@ def oracle_sql() -> dict[str, str]:
     for name, source in (
         ("sessions_by_year", "activity"),
         ("repeat_bookers_by_year", "bookers"),
+        ("trips_per_user_year", "trip_counts"),
         ("new_users_by_year", "joins"),
         ("total_users_by_year", "registered"),
     ):

@@ -34,8 +34,9 @@ def hot_keys(weights: DataFrame, key: str, weight: str, skew: Skew) -> DataFrame
 def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: DataFrame | None, how: str) -> DataFrame:
     """Join on ``key`` with each hot key cut into slices.
 
-    Fact rows of a hot key go to a slice by the hash of ``row_id`` and the key's dimension row is repeated once per
-    slice; all other keys have a single slice. In total at most ``2 * parts`` dimension rows are added.
+    Fact rows of a hot key go to a slice by the hash of ``row_id``, which must differ between them and stay the same
+    when a task runs again; the key's dimension row is repeated once per slice. All other keys have a single slice. In
+    total at most ``2 * parts`` dimension rows are added. Without hot keys ``row_id`` is not used.
     """
     if hot is None:
         return facts.join(dim, key, how)

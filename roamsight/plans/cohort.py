@@ -14,6 +14,8 @@ from roamsight.params import Params
 from roamsight.sources.staging import stage
 from roamsight.sources.tables import Tables
 
+ROW_NUMBER = "_row"
+
 
 def recent_sessions(tables: Tables, params: Params) -> DataFrame:
     return tables.sessions.where(F.col("session_start") >= F.lit(params.cohort_start.isoformat()).cast("timestamp_ntz"))
@@ -77,6 +79,10 @@ class Cohort:
     @cached_property
     def sessions(self) -> DataFrame:
         recent = recent_sessions(self._tables, self._params)
+        if self.hot_users is not None:
+            # Copies of one session share every column, so slices need a number of their own. Numbered at the scan,
+            # where a task that runs again reads the same rows in the same order.
+            recent = recent.withColumn(ROW_NUMBER, F.monotonically_increasing_id())
         if not self.members_only:
             return recent
         return recent.join(F.broadcast(self.profiles.select("user_id")), "user_id", "left_semi")
@@ -100,7 +106,7 @@ class Cohort:
         return hot_keys(weights, "trip_id", "trip_sessions", self._params.skew)
 
     def of_members(self, df: DataFrame, row_id: str) -> DataFrame:
-        """Rows of sessions or user_trips that belong to members."""
+        """Rows of sessions or user_trips that belong to members; ``row_id`` tells rows of one user apart."""
         if self.members_only:
             return df
         return join_sliced(df, self.profiles.select("user_id"), "user_id", row_id, self.hot_users, "left_semi")
@@ -117,7 +123,7 @@ class Cohort:
 
     @property
     def member_sessions(self) -> DataFrame:
-        return self.of_members(self.sessions, "session_id")
+        return self.of_members(self.sessions, ROW_NUMBER).drop(ROW_NUMBER)
 
     @property
     def member_trips(self) -> DataFrame:

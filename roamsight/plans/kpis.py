@@ -37,19 +37,33 @@ def yearly_sessions(tables: Tables, ytd: bool) -> DataFrame:
     return chosen.select(F.year(start).alias("year"), "user_id", "trip_id")
 
 
+def trips_per_user_year(tables: Tables, ytd: bool = False) -> DataFrame:
+    """Distinct trips of each user in each year with any."""
+    trips = yearly_sessions(tables, ytd).where(F.col("trip_id").isNotNull()).distinct()
+    return trips.groupBy("year", "user_id").agg(F.count(F.lit(1)).alias("trips_user_year"))
+
+
 def user_years(sessions: DataFrame) -> DataFrame:
-    """Sessions and distinct trips of each user in each year.
+    """Sessions of each user in each year, and whether they are about any trip and about more than one.
 
-    Grouping by trip first merges copies of one trip and one user's browsing sessions before anything is shuffled.
+    Two trips differ when the smallest id is not the largest, so nothing has to be shuffled per trip.
     """
-    return (
-        sessions.groupBy("year", "user_id", "trip_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("year", "user_id")
-        .agg(F.sum("n").alias("sessions"), F.count("trip_id").alias("trips_user_year"))
+    first, last = F.min("trip_id"), F.max("trip_id")
+    return sessions.groupBy("year", "user_id").agg(
+        F.count(F.lit(1)).alias("sessions"),
+        first.isNotNull().alias("booked"),
+        F.coalesce(first != last, F.lit(False)).alias("booked_again"),
     )
 
 
+def _activity() -> list[Column]:
+    return [F.sum("sessions").alias("sessions"), F.count("user_id").alias("active_users")]
+
+
+def _bookers() -> list[Column]:
+    return [F.count_if("booked_again").alias("repeat_bookers"), F.count_if("booked").alias("bookers_total")]
+
+
 def trips_by_year(sessions: DataFrame) -> DataFrame:
     return (
         sessions.where(F.col("trip_id").isNotNull())
@@ -72,19 +86,14 @@ def _add_up(parts: list[DataFrame]) -> DataFrame:
 def sessions_by_year(tables: Tables, ytd: bool = False) -> DataFrame:
     """Sessions, active users and distinct trips (cancelled ones included) per year."""
     sessions = yearly_sessions(tables, ytd)
-    per_user = sessions.groupBy("year", "user_id").agg(F.count(F.lit(1)).alias("sessions"))
-    activity = per_user.groupBy("year").agg(
-        F.sum("sessions").alias("sessions"), F.count("user_id").alias("active_users")
-    )
+    activity = user_years(sessions).groupBy("year").agg(*_activity())
     return _add_up([activity, trips_by_year(sessions)])
 
 
 def repeat_bookers_by_year(tables: Tables, ytd: bool = False) -> DataFrame:
     """Users with more than one trip and users with any, per year that has trips."""
-    bookers = user_years(yearly_sessions(tables, ytd).where(F.col("trip_id").isNotNull()))
-    return bookers.groupBy("year").agg(
-        F.count_if(F.col("trips_user_year") > 1).alias("repeat_bookers"), F.count(F.lit(1)).alias("bookers_total")
-    )
+    booked = yearly_sessions(tables, ytd).where(F.col("trip_id").isNotNull())
+    return user_years(booked).groupBy("year").agg(*_bookers())
 
 
 def _signups(tables: Tables, ytd: bool) -> DataFrame:
@@ -112,16 +121,7 @@ def _yearly_counts(tables: Tables, ytd: bool) -> DataFrame:
     every year would multiply the users table by the number of years.
     """
     sessions = yearly_sessions(tables, ytd)
-    activity = (
-        user_years(sessions)
-        .groupBy("year")
-        .agg(
-            F.sum("sessions").alias("sessions"),
-            F.count("user_id").alias("active_users"),
-            F.count_if(F.col("trips_user_year") > 1).alias("repeat_bookers"),
-            F.count_if(F.col("trips_user_year") > 0).alias("bookers_total"),
-        )
-    )
+    activity = user_years(sessions).groupBy("year").agg(*_activity(), *_bookers())
     before = Window.orderBy(F.asc_nulls_last("year")).rowsBetween(Window.unboundedPreceding, -1)
     registered = F.coalesce(F.sum("signups").over(before), F.lit(0)) + F.col("signups_counted")
     counts = _add_up([activity, trips_by_year(sessions), _signups(tables, ytd)])

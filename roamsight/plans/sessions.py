@@ -21,7 +21,7 @@ from roamsight.functions.exprs import (
 )
 from roamsight.operators.skew import join_sliced, join_split
 from roamsight.params import Params
-from roamsight.plans.cohort import Cohort
+from roamsight.plans.cohort import ROW_NUMBER, Cohort
 from roamsight.sources.tables import Tables
 
 _FRI_SAT = (5, 6)
@@ -111,7 +111,7 @@ def joined_sessions(tables: Tables, cohort: Cohort) -> DataFrame:
         "trip_status", F.coalesce(F.col("trip_status"), F.lit("none"))
     )
     profiles = cohort.profiles.drop("cohort_sessions")
-    return join_sliced(with_trip, profiles, "user_id", "session_id", cohort.hot_users, "inner")
+    return join_sliced(with_trip, profiles, "user_id", ROW_NUMBER, cohort.hot_users, "inner")
 
 
 # --- sessions ---------------------------------------------------------------------------------------------------------

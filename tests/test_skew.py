@@ -115,6 +115,32 @@ def test_session_base_is_the_same_on_every_route(skewed):
     assert statuses[500] == "booked" and statuses[10] == "cancelled"
 
 
+@pytest.mark.parametrize("broadcast_ids", [0, 2_000_000])
+def test_copies_of_one_session_are_spread(spark, broadcast_ids):
+    """Half of all rows are the same session; its copies share every column and still go to many tasks."""
+    sessions = [{"session_id": 1, "user_id": 1, "trip_id": 7}] * 200
+    sessions += [{"session_id": 10 + i, "user_id": 2 + i % 25, "trip_id": 100 + i} for i in range(200)]
+    made = make_tables(
+        spark,
+        sessions=sessions,
+        users=[{"user_id": u} for u in range(1, 30)],
+        flights=[{"trip_id": 7}],
+    )
+    params = Params(min_sessions=3, broadcast_ids=broadcast_ids, skew=Skew(parts=20, min_rows=0))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = session_base(made, Cohort(made, params), params)
+        where = base.where("session_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in where) == 200 and len(where) == 4  # every shuffle partition has some
+    assert base.count() == 400 and "_row" not in base.columns
+    plain = Params(min_sessions=3)
+    assert rows(segment_users(made, params).users) == rows(segment_users(made, plain).users)
+
+
 def test_users_are_the_same_on_every_route(skewed):
     users = {name: rows(segment_users(skewed, params).users) for name, params in ROUTES.items()}
     assert all(found == users["plain"] for found in users.values())
