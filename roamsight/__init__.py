@@ -3,7 +3,7 @@
 from roamsight.params import Params, Skew, Weights
 from roamsight.plans.cohort import Cohort
 from roamsight.plans.kpis import kpi_dashboard, kpi_full_year, kpi_ytd
-from roamsight.plans.pipeline import Segmentation, segment_users
+from roamsight.plans.segmentation import Segmentation, segment_users
 from roamsight.plans.retention import retention, retention_heatmap
 from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_averages, user_table

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from roamsight.params import Params
 from roamsight.plans import kpis, retention
 from roamsight.plans.cohort import Cohort
-from roamsight.plans.pipeline import segment_users
+from roamsight.plans.segmentation import segment_users
 from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_averages
 from roamsight.sources.session import tune, tuned

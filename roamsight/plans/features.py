@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamsight.functions.exprs import flag, or_zero
-from roamsight.functions.exprs import ratio
+from roamsight.functions.exprs import flag, or_zero, ratio
 from roamsight.operators.percentiles import Percentile, exact_percentiles
 from roamsight.params import Params
 
@@ -56,7 +55,7 @@ def value_ranges(users: DataFrame) -> DataFrame:
 
 def _inverted(column: str) -> Column:
     """1 at the cohort minimum, 0 at the maximum; 0 for users without a value or when all values are equal."""
-    low, high = F.col(f"min_{column}"), F.col(f"max_{column}")
+    low, high = F.col(f"ranges.min_{column}"), F.col(f"ranges.max_{column}")
     part = (F.col(column) - low).cast("decimal(17,4)") / F.nullif(high - low, F.lit(0)).cast("decimal(17,4)")
     return or_zero((1 - F.round(part, 4)).cast("decimal(18,4)"))
 
@@ -74,10 +73,11 @@ def _beyond(name: str) -> Column:
 def features(users: DataFrame, params: Params, short: bool = False) -> DataFrame:
     """Features per user. ``users`` is read three times: stage it first.
 
-    Cohort-wide values come as one broadcast row; an unpartitioned window would move all users to one task.
+    Cohort-wide values come from aggregates of one row, read as scalar subqueries; an unpartitioned window would move
+    all users to one task.
     """
     flags = [name for name in _TAILS if not (short and name in EXTRA_FEATURES)]
-    limits = percentile_limits(users, params, flags).select(F.struct("*").alias("limits"))
+    one_row = {"ranges": value_ranges(users), "limits": percentile_limits(users, params, flags)}
     valid = F.col("valid_bookings")
     columns = {f"{c}_norm_invert": _inverted(c) for c in _SCALED}
     columns |= {name: _beyond(name) for name in flags}
@@ -101,8 +101,5 @@ def features(users: DataFrame, params: Params, short: bool = False) -> DataFrame
             for kind in ("domestic", "international", "intercontinental")
         }
     passed = ["user_id", "has_children", "is_in_working_age", "weekdays_travel_quote", "weekend_travel_quote"]
-    return (
-        users.crossJoin(F.broadcast(value_ranges(users)))
-        .crossJoin(F.broadcast(limits))
-        .select(*passed, *[c.alias(name) for name, c in columns.items()])
-    )
+    with_statistics = users.withColumns({name: row.select(F.struct("*")).scalar() for name, row in one_row.items()})
+    return with_statistics.select(*passed, *[c.alias(name) for name, c in columns.items()])

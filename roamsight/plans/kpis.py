@@ -134,7 +134,8 @@ def _yearly_counts(tables: Tables, ytd: bool) -> DataFrame:
 
 
 def total_users_by_year(tables: Tables, ytd: bool = False) -> DataFrame:
-    return _yearly_counts(tables, ytd).select("year", "total_users")
+    """Users registered up to each report year that has any."""
+    return _yearly_counts(tables, ytd).select("year", "total_users").where("total_users > 0")
 
 
 def _percent(part: Column | str, whole: str) -> Column:

@@ -88,7 +88,7 @@ def test_destinations():
 
 def test_command_line(spark, tables, tmp_path):
     from roamsight.__main__ import SUMMARIES, TABLES, main
-    from roamsight.plans.pipeline import segment_users
+    from roamsight.plans.segmentation import segment_users
     from roamsight.sources.derived import DERIVED_PARAMS
 
     source = tmp_path / "in"

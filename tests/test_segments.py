@@ -9,7 +9,7 @@ from helpers import make_tables, rows
 from roamsight.params import Params
 from roamsight.plans.cohort import Cohort
 from roamsight.plans.features import features
-from roamsight.plans.pipeline import inspect_users, segment_users
+from roamsight.plans.segmentation import inspect_users, segment_users
 from roamsight.plans.segments import SEGMENTS, assign_segments, score_users, summarise_segments
 from roamsight.plans.users import user_totals, with_averages
 from roamsight.sources.derived import DERIVED_PARAMS

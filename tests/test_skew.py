@@ -9,7 +9,7 @@ from helpers import make_tables, plan, rows
 from roamsight.operators.skew import hot_keys, join_sliced, join_split
 from roamsight.params import Params, Skew
 from roamsight.plans.cohort import Cohort
-from roamsight.plans.pipeline import segment_users
+from roamsight.plans.segmentation import segment_users
 from roamsight.plans.sessions import session_base
 from roamsight.sources.derived import DERIVED_PARAMS
 
