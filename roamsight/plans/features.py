@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from roamsight.functions.exprs import flag, or_zero, ratio
@@ -53,9 +53,13 @@ def value_ranges(users: DataFrame) -> DataFrame:
     )
 
 
-def _inverted(column: str) -> Column:
+def _number(value) -> Column:
+    return F.lit(value).cast("decimal(28,10)")
+
+
+def _inverted(column: str, ranges: Row) -> Column:
     """1 at the cohort minimum, 0 at the maximum; 0 for users without a value or when all values are equal."""
-    low, high = F.col(f"ranges.min_{column}"), F.col(f"ranges.max_{column}")
+    low, high = _number(ranges[f"min_{column}"]), _number(ranges[f"max_{column}"])
     part = (F.col(column) - low).cast("decimal(17,4)") / F.nullif(high - low, F.lit(0)).cast("decimal(17,4)")
     return or_zero((1 - F.round(part, 4)).cast("decimal(18,4)"))
 
@@ -64,23 +68,23 @@ def _quote(part: str, whole: str) -> Column:
     return or_zero(ratio(F.col(part), F.col(whole), 4))
 
 
-def _beyond(name: str) -> Column:
+def _beyond(name: str, limits: Row) -> Column:
     column, side = _TAILS[name]
-    limit = F.col(f"limits.{name}")
+    limit = _number(limits[name])
     return flag(F.col(column) < limit if side == "low" else F.col(column) > limit)
 
 
 def features(users: DataFrame, params: Params, short: bool = False) -> DataFrame:
     """Features per user. ``users`` is read three times: stage it first.
 
-    Cohort-wide values come from aggregates of one row, read as scalar subqueries; an unpartitioned window would move
-    all users to one task.
+    Cohort-wide values are two rows of aggregates, computed here and used as constants, so that no later step computes
+    them again; an unpartitioned window would move all users to one task.
     """
     flags = [name for name in _TAILS if not (short and name in EXTRA_FEATURES)]
-    one_row = {"ranges": value_ranges(users), "limits": percentile_limits(users, params, flags)}
+    ranges, limits = value_ranges(users).first(), percentile_limits(users, params, flags).first()
     valid = F.col("valid_bookings")
-    columns = {f"{c}_norm_invert": _inverted(c) for c in _SCALED}
-    columns |= {name: _beyond(name) for name in flags}
+    columns = {f"{c}_norm_invert": _inverted(c, ranges) for c in _SCALED}
+    columns |= {name: _beyond(name, limits) for name in flags}
     columns |= {
         "is_dreamer_no_bookings": flag(
             (F.col("total_sessions") == F.col("total_browsing_only")) | ((F.col("total_bookings") >= 1) & (valid == 0))
@@ -101,5 +105,4 @@ def features(users: DataFrame, params: Params, short: bool = False) -> DataFrame
             for kind in ("domestic", "international", "intercontinental")
         }
     passed = ["user_id", "has_children", "is_in_working_age", "weekdays_travel_quote", "weekend_travel_quote"]
-    with_statistics = users.withColumns({name: row.select(F.struct("*")).scalar() for name, row in one_row.items()})
-    return with_statistics.select(*passed, *[c.alias(name) for name, c in columns.items()])
+    return users.select(*passed, *[c.alias(name) for name, c in columns.items()])

@@ -10,6 +10,7 @@ from roamsight.params import Params, Skew
 from roamsight.plans import kpis
 from roamsight.plans.cohort import Cohort, active_users
 from roamsight.plans.segmentation import SCORING_COLUMNS, segment_users
+from roamsight.plans.features import percentile_limits
 from roamsight.plans.retention import retention
 from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_table
@@ -77,11 +78,17 @@ def test_short_job_reads_fewer_columns(stored):
     assert short.users.columns == SCORING_COLUMNS
 
 
-def test_cohort_statistics_are_not_windows(stored):
-    text = plan(segment_users(stored, DERIVED_PARAMS).features)
-    window = [line for line in text.splitlines() if re.search(r"Window \[", line)]
-    assert window and all("[name#" in line for line in window)  # only the ranked values of each percentile bracket
-    assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
+def test_cohort_statistics_are_constants_for_later_steps(stored):
+    run = segment_users(stored, DERIVED_PARAMS)
+    for step in (run.features, run.scores, run.assigned):
+        assert "Exchange" not in plan(step) and "Window" not in plan(step) and "Join" not in plan(step)
+
+
+def test_percentiles_rank_only_within_brackets(stored):
+    text = plan(percentile_limits(segment_users(stored, DERIVED_PARAMS).users, DERIVED_PARAMS))
+    windows = [line for line in text.splitlines() if re.search(r"Window \[", line)]
+    assert len(windows) == 1 and "[name#" in windows[0]
+    assert "partial_percentile_approx" in text and "CartesianProduct" not in text
 
 
 def test_yearly_counts_shuffle_narrow_rows(stored):
