@@ -2,33 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: tempfile.TemporaryDirectory | None = None
-
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where all of Spark is one process."""
-    global _local_folder
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/staged"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="staged-")
-    return _local_folder.name
+    """One folder per application below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
+
+    Both are folders that every executor reaches; a folder of one machine is never used.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/staged/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet and read it back.
 
     The copy outlives lost executors, cuts the lineage and lets later steps read only the columns they need.
-    Each call writes a new folder; remove ``staging_folder()`` when the results are no longer used.
+    Each call writes a new folder; :func:`release` removes all of them.
     """
     path = f"{staging_folder(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Remove copies that nothing will read again."""
+    for df in staged:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            _delete(df.sparkSession, folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every staged copy of this application; results that still read them must have been written before."""
+    _delete(spark, staging_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

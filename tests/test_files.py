@@ -2,6 +2,7 @@
 
 import csv
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,28 +50,20 @@ def test_table_sink(spark, tables, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "users"))) == rows(tables.users)
 
 
-def test_staging_uses_the_checkpoint_folder(spark, tmp_path, monkeypatch):
-    before = spark.conf.get("spark.checkpoint.dir", None)
+@pytest.mark.parametrize("setting", ["spark.checkpoint.dir", "spark.sql.warehouse.dir"])
+def test_staging_uses_a_shared_folder_and_releases_it(spark, tmp_path, monkeypatch, setting):
     real = type(spark.conf).get
-    monkeypatch.setattr(
-        type(spark.conf), "get", lambda conf, key, *d: str(tmp_path) if key == "spark.checkpoint.dir" else real(conf, key, *d)
-    )
+    shown = {"spark.checkpoint.dir": None, setting: str(tmp_path)}
+    monkeypatch.setattr(type(spark.conf), "get", lambda conf, key, *d: shown[key] if key in shown else real(conf, key, *d))
+    folder = staging.staging_folder(spark)
+    assert folder == f"{tmp_path}/staged/{spark.sparkContext.applicationId}"
     kept = staging.stage(spark.range(5), "five")
-    assert kept.count() == 5 and kept.inputFiles()[0].startswith(f"file://{tmp_path}/staged/five-")
-    monkeypatch.undo()
-    assert spark.conf.get("spark.checkpoint.dir", None) == before
-
-
-def test_staging_without_a_folder(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.conf), "get", lambda *_: None)
-    assert staging.stage(spark.range(3), "three").count() == 3
-
-    class Cluster:
-        conf = spark.conf
-        sparkContext = type("Context", (), {"master": "yarn"})
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.staging_folder(Cluster)
+    gone = staging.stage(spark.range(0), "none")
+    assert kept.count() == 5 and kept.inputFiles()[0].startswith(f"file://{folder}/five-")
+    staging.unstage(gone)
+    assert [path.split("-")[0] for path in os.listdir(folder)] == ["five"]
+    staging.release(spark)
+    assert not os.path.exists(folder)
 
 
 def test_duplicate_keys(spark, tables):
