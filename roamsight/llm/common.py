@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from roamsight.sources.staging import stage, unstage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables, and Arrow batches small enough for very long texts in it."""
+    """One of the given tables; Arrow batches small enough for very long texts in it, workers that find this package."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark.read.parquet(f"{folder}/{name}.parquet")

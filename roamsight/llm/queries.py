@@ -7,12 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm import simhash, suffixdedup
+from roamsight.llm import decontaminate, pieces, simhash, suffixdedup, toxicity
 from roamsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and digest of every document's piece ids, and whether they decode to the text."""
+    done = pieces.round_trip(table(spark, folder, "documents").select("doc_id", "text"))
+    ids = F.sha2(F.array_join(F.transform("piece_ids", lambda n: n.cast("string")), " ").cast("binary"), 256)
+    return done.select("doc_id", F.col("n_pieces").cast("long"), ids.alias("ids_sha256"), "same")
+
+
+def op6_suffix_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside windows of ten words of benchmark items."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of documents that stand in a 400-byte string which starts elsewhere too."""
     done = suffixdedup.cut(table(spark, folder, "documents").select("doc_id", "text"), 400, keep="none")
@@ -30,6 +51,16 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document by models of the labelled ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    held_out = (toxicity.remainder("doc_id") == 2).alias("held_out")
+    return toxicity.scored(docs, model).select(
+        "doc_id", held_out, "score", (F.col("score") >= toxicity.REJECTED).cast("int").alias("predicted")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
