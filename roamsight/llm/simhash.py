@@ -19,7 +19,8 @@ that nobody reaches within one bit are only linked if another variant shows it.
 
 2,081 variants of a fingerprint are many, so an exact test first sets aside fingerprints that are alone. Three
 differing bits leave at most one in one of the two halves; each half is sent with the variants of up to one bit (by
-parity again: odd halves walk, even ones wait), and only fingerprints that meet another one there go on.
+parity again: odd halves walk, even ones wait). Fingerprints that meet another one there, and once more with one of the
+four bytes of the other half, go on; all others are further than three bits from any.
 
 Nulls, empty texts and texts of blanks have no shingle and the fingerprint zero, which is linked like any other. Rows
 that are equal in all columns get equal results.
@@ -78,6 +79,13 @@ def fingerprint(text: Column, words: int) -> Column:
     return hashed(text)
 
 
+def _met(sent: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose key some other fingerprint has too."""
+    same = Window.partitionBy(*keys)
+    both = sent.withColumns({"low": F.min("fingerprint").over(same), "high": F.max("fingerprint").over(same)})
+    return both.where("low <> high").drop("low", "high")
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) between distinct values of the column ``fingerprint`` that connect all that differ by up to three bits."""
     masks = distinct.sparkSession.range(1).select(
@@ -99,12 +107,16 @@ def links(distinct: DataFrame) -> DataFrame:
     )
     odd = F.expr("bit_count(part.half) % 2 = 1")
     walked = F.expr("array_prepend(transform(sequence(0, 31), i -> part.half ^ shiftleft(1L, i)), part.half)")
+    other = F.expr("if(part.side = 0, shiftrightunsigned(fingerprint, 32), fingerprint & 4294967295L)")
     sent = halves.select(
-        "fingerprint", "part.side", F.explode(F.when(odd, walked).otherwise(F.array("part.half"))).alias("half")
+        "fingerprint", "part.side", other.alias("other"), F.explode(F.when(odd, walked).otherwise(F.array("part.half"))).alias("half")
     )
-    met = sent.groupBy("side", "half").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
-    met = met.where("low <> high").select("side", "half")
-    active = stage(sent.join(met, ["side", "half"], "left_semi").select("fingerprint").distinct(), "near")
+    sent = _met(sent, "side", "half")
+    # of the other half's four bytes, three differing bits leave one alone
+    octets = F.expr("transform(sequence(0, 3), i -> struct(i as place, shiftright(other, 8 * i) & 255 as octet))")
+    sent = _met(sent.select("fingerprint", "side", "half", F.inline(octets)), "side", "half", "place", "octet")
+    active = stage(sent.select("fingerprint").distinct(), "near")
+    active = active.repartition(int(active.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
 
     even = F.expr("bit_count(fingerprint) % 2 = 0")
     near = F.expr("array_prepend(transform(one, m -> fingerprint ^ m), fingerprint)")
