@@ -28,6 +28,9 @@ that are equal in all columns get equal results.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,19 +42,22 @@ from roamsight.sources.staging import stage
 
 RADIUS = 3
 SEED = 42
-CHUNK = 1 << 16
+CHUNK = 1 << 14
+_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
+#: A wide fingerprint, and the blocks of it that are retrieved by.
+NUMBERS, BLOCKS, BLOCK_BITS = 8, 20, 24
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def simhash(text: bytes, words: int) -> int:
-    """The fingerprint of one UTF-8 text as a signed 64-bit number; memory is a few times the text's."""
+def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
+    """Hashes of all word shingles of one UTF-8 text, in chunks; memory is a few times the text's."""
     raw = np.frombuffer(text.lower(), np.uint8)  # bytes.lower() changes A-Z only
     blank = _SPACE[raw]
     edge = np.flatnonzero(np.diff(blank.astype(np.int8), prepend=1, append=1))
     if not len(edge):
-        return 0
+        return
     lengths = edge[1::2] - edge[::2]
     ends = np.cumsum(lengths + 1) - 1  # in the normalised text, words are one blank apart
     starts = ends - lengths
@@ -59,22 +65,37 @@ def simhash(text: bytes, words: int) -> int:
     clean = np.where(blank, np.uint8(0x20), raw)[~blank | first_blank].tobytes()
     n = max(1, len(starts) - words + 1)
     last = ends[min(words, len(ends)) - 1 :]
-    ones = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, CHUNK):
         pairs = zip(starts[at : min(at + CHUNK, n)].tolist(), last[at : min(at + CHUNK, n)].tolist(), strict=True)
-        hashes = np.array([digest(clean[a:b], SEED) for a, b in pairs], np.dtype("<u8"))
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    value = sum(1 << int(bit) for bit in np.flatnonzero(2 * ones > n))
-    return value - (1 << 64) if value >> 63 else value
-
-
-def fingerprint(text: Column, words: int) -> Column:
-    """SimHash over shingles of so many words."""
-
-    @F.arrow_udf("long")
+        yield np.array([digest(clean[a:b], SEED) for a, b in pairs], np.dtype("<u8"))
+
+
+def majority(chunks: Iterable[np.ndarray], numbers: int = 1) -> np.ndarray:
+    """The bits that are one in more than half of the hashes, as signed numbers; further numbers take the hash mixed anew."""
+    ones, n = np.zeros(64 * numbers, np.int64), 0
+    for hashes in chunks:
+        n += len(hashes)
+        mixed = hashes[:, None] + np.arange(numbers, dtype=np.uint64) * _MIX[0]
+        if numbers > 1:
+            for multiplier in _MIX[1:]:
+                mixed[:, 1:] ^= mixed[:, 1:] >> np.uint64(31)
+                mixed[:, 1:] *= multiplier
+            mixed[:, 1:] ^= mixed[:, 1:] >> np.uint64(32)
+        bits = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8), axis=1, bitorder="little")
+        for at in range(0, len(bits), 255):  # so many ones fit a byte
+            ones += bits[at : at + 255].sum(0, dtype=np.uint8)
+    return np.packbits(2 * ones > n, bitorder="little").view("<i8")
+
+
+def fingerprint(text: Column, words: int, numbers: int = 1) -> Column:
+    """SimHash over shingles of so many words, as an array of signed 64-bit numbers."""
+
+    @F.arrow_udf("array<bigint>")
     def hashed(texts: pa.Array) -> pa.Array:
-        return pa.array([simhash(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in texts], pa.int64())
+        found = (majority(shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else b"", words), numbers) for t in texts)
+        values = np.concatenate(list(found)) if len(texts) else np.empty(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, numbers, dtype=np.int32)), pa.array(values))
 
     return hashed(text)
 
@@ -129,31 +150,67 @@ def links(distinct: DataFrame) -> DataFrame:
     return found.select(F.col("fingerprint").alias("a"), F.col("centre").alias("b")).distinct()
 
 
-def memberships(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_links(distinct: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of wide fingerprints (fingerprint, bits) that differ in no more bits than this similarity leaves.
+
+    A Jaccard similarity s of the shingles is a cosine of 2s / (1 + s), whose angle is the expected share of differing bits.
+    So many bits are beyond any ball, but some block of a wide fingerprint has at most one of them with high probability:
+    each block emits its ball (odd blocks walk one bit, even ones wait). Whoever meets is linked to the smallest and to the
+    next smaller visitor, never to all, after comparing all bits.
+    """
+    most = math.floor(64 * NUMBERS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    cut = []
+    for block in range(BLOCKS):
+        at, shift = divmod(block * BLOCK_BITS, 64)
+        value = f"shiftrightunsigned(bits[{at}], {shift})"
+        if shift + BLOCK_BITS > 64:
+            value = f"({value} | shiftleft(bits[{at + 1}], {64 - shift}))"
+        cut.append(f"struct({block} as block, {value} & {(1 << BLOCK_BITS) - 1}L as value)")
+    blocks = distinct.select("fingerprint", F.expr(f"inline(array({', '.join(cut)}))"))
+    walked = F.expr(f"array_prepend(transform(sequence(0, {BLOCK_BITS - 1}), i -> value ^ shiftleft(1L, i)), value)")
+    variants = F.explode(F.when(F.expr("bit_count(value) % 2 = 1"), walked).otherwise(F.array("value")))
+    sent = blocks.select("fingerprint", F.col("block").cast("long").alias("block"), variants.alias("value"))
+    sent = sent.select("fingerprint", F.expr(f"(block << {BLOCK_BITS}) | value").alias("variant"))
+    same = Window.partitionBy("variant").orderBy("fingerprint")
+    met = sent.withColumns({"low": F.first("fingerprint").over(same), "previous": F.lag("fingerprint").over(same)})
+    met = met.where("previous is not null")
+    pairs = met.select(F.col("fingerprint").alias("a"), F.explode(F.array("low", "previous")).alias("b")).distinct()
+    left = distinct.select(F.col("fingerprint").alias("a"), F.col("bits").alias("bits_a"))
+    right = distinct.select(F.col("fingerprint").alias("b"), F.col("bits").alias("bits_b"))
+    differing = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(NUMBERS))
+    return pairs.join(left, "a").join(right, "b").where(f"{differing} <= {most}").select("a", "b")
+
+
+def memberships(
+    docs: DataFrame, words: int = 5, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """One row per row of docs: ``id``, ``digest`` of the text, ``fingerprint`` and ``component``.
 
-    ``component`` holds the row that stays of each component: the smallest id, and among rows of that id the smallest
-    digest. Null ids come last. Everything after the fingerprints works on distinct ones, however many copies they have.
+    Without ``similarity``, fingerprints have 64 bits and all pairs within ``RADIUS`` are linked. With it, fingerprints are
+    ``NUMBERS`` times as wide (``fingerprint`` is then their digest) and see :func:`similar_links`. ``component`` holds the
+    row that stays of each component: the smallest id, and among rows of that id the smallest digest. Null ids come last.
+    Everything after the fingerprints works on distinct ones, however many copies they have.
     """
-    narrow = docs.select(
-        F.col(id_col).alias("id"),
-        F.xxhash64(text_col).alias("digest"),
-        fingerprint(F.col(text_col), words).alias("fingerprint"),
-    )
-    narrow = stage(narrow, "fingerprints")
+    bits = fingerprint(F.col(text_col), words, 1 if similarity is None else NUMBERS).alias("bits")
+    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), bits)
+    value = F.col("bits")[0] if similarity is None else F.xxhash64("bits")
+    narrow = stage(narrow.select("*", value.alias("fingerprint")), "fingerprints")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
-    distinct = stage(narrow.groupBy("fingerprint").agg(F.min(row).alias("first")), "distinct_fingerprints")
-    graph = components(links(distinct.select("fingerprint")))
-    placed = distinct.join(graph, F.col("fingerprint") == F.col("node"), "left")
+    distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), F.first("bits").alias("bits"))
+    distinct = stage(distinct, "distinct_fingerprints")
+    found = links(distinct.select("fingerprint")) if similarity is None else similar_links(distinct, similarity)
+    placed = distinct.join(components(found), F.col("fingerprint") == F.col("node"), "left")
     placed = placed.select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("group"))
     smallest = placed.groupBy("group").agg(F.min("first").alias("component"))
     placed = placed.join(smallest, "group").select("fingerprint", "component")
     return narrow.join(placed, "fingerprint").select("id", "digest", "fingerprint", "component")
 
 
-def deduplicate(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(
+    docs: DataFrame, words: int = 5, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """The rows of docs without near-duplicates: of each component one row stays, as :func:`memberships` names it."""
-    members = memberships(docs, words, id_col, text_col)
+    members = memberships(docs, words, similarity, id_col, text_col)
     stays = members.select("component.id", "component.digest").distinct()
     same, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
     rows = docs.withColumn(same, F.xxhash64(text_col))
