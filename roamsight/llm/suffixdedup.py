@@ -4,9 +4,9 @@ A byte goes if a string of ``length`` bytes that covers it starts somewhere else
 ``keep="first"`` (the first copy stays), anywhere with ``keep="none"``. The corpus has no single suffix array, which would be
 many times its size; only the suffixes that can match are sorted, in buckets:
 
-1. Every string of ``length`` bytes has a smallest hash among its 16-byte grams, equal for equal strings. Neighbouring
-   strings mostly share it, so a text falls into runs of about 190 starts; a run goes to the bucket of its hash. One row
-   per run, without text, crosses the network.
+1. Every string of ``length`` bytes has a smallest hash among its grams of ``GRAM`` bytes, equal for equal strings.
+   Neighbouring strings mostly share it, so a text falls into runs of some 150 starts; a run goes to the bucket of its
+   hash. One row per run, without text, crosses the network.
 2. A run whose hash occurs once, in the run and in the corpus, has no match. Runs with equal bytes are copies as a whole
    and are represented by the earliest. Long copies and passages consist of such runs, whatever their number.
 3. Where a bucket still holds different runs, mostly the two ends of a shared passage, the bytes of the representatives are
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from roamsight.llm.common import fresh
 from roamsight.sources.staging import stage
 
-GRAM = 16
+GRAM = 128
 RUN = 512
 GROUP = 64
 STARTS = 1 << 15
@@ -42,12 +42,15 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """A mixed 64-bit hash of the 16 bytes at each position."""
+    """A mixed 64-bit hash of the ``GRAM`` bytes at each position, doubled from the eight bytes that fill a number."""
     x = raw.astype(np.uint64)
     for width in (1, 2, 4):
         x = (x[:-width] << np.uint64(8 * width)) | x[width:]
-    x = (x[:-8] * _MIX[0]) ^ ((x[8:] ^ (x[8:] >> np.uint64(29))) * _MIX[1])
-    x ^= x >> np.uint64(32)
+    width = 8
+    while width < GRAM:
+        x = (x[:-width] * _MIX[0]) ^ ((x[width:] ^ (x[width:] >> np.uint64(29))) * _MIX[1])
+        x ^= x >> np.uint64(32)
+        width *= 2
     x *= _MIX[2]
     return x ^ (x >> np.uint64(29))
 
@@ -187,6 +190,8 @@ def _matched(schema: pa.Schema, length: int, first: bool):
         total = 0
         for batch in batches:
             for row in batch.to_pylist():
+                if rows and all(row[name] == rows[-1][name] for name in ("id", "digest", "at")):
+                    continue  # a row of docs that is repeated as a whole
                 if total >= STARTS and row["hash"] != rows[-1]["hash"]:
                     yield sort(rows)
                     rows, total = [], 0
@@ -241,11 +246,9 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
     )
     wanted = wanted.groupBy("id", "digest").agg(F.collect_list(F.struct("at", "n", "hash", "split")).alias("wanted"))
     wanted = wanted.select(F.col("id").alias("wid"), F.col("digest").alias("wdigest"), "wanted")
-    one = Window.partitionBy("id", "digest").orderBy(F.lit(1))
     fetched = whole.join(
         wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("digest") == F.col("wdigest"))
     ).select("id", "digest", "text", "wanted")
-    fetched = fetched.withColumn("copy", F.row_number().over(one)).where("copy = 1").drop("copy")  # rows repeated as a whole
     shape = like(("at", "bigint"), ("n", "int"), ("hash", "bigint"), ("more", "bigint"), ("content", "binary"))
     fetched = stage(fetched.mapInArrow(_fetched(_arrow(shape), length), shape.schema), "run_bytes")
 
@@ -256,8 +259,8 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
     sorted_ = small.mapInArrow(_matched(_arrow(shape), length, first), shape.schema)
 
     dealt = fetched.where("content is null")
-    strings = dealt.groupBy("hash", "more").agg(F.count("*").alias("copies"), F.min(position).alias("first"))
-    met = dealt.join(strings.where("copies > 1"), ["hash", "more"])
+    strings = dealt.groupBy("hash", "more").agg(F.min(position).alias("first"), F.max(position).alias("last"))
+    met = dealt.join(strings.where("first <> last"), ["hash", "more"])
     if first:
         met = met.where(~position.eqNullSafe(F.col("first")))
     met = met.select("id", "digest", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
