@@ -7,12 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm import decontaminate, pieces, simhash, suffixdedup, toxicity
+from roamsight.llm import decontaminate, itq, licences, pieces, sharding, simhash, suffixdedup, toxicity, urls
 from roamsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's URL: by the longest fitting rule, else by boosted trees."""
+    judged = urls.judge(table(spark, folder, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
+def op3_quantisation(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors of equal label."""
+    found = itq.near_duplicates(table(spark, folder, "embeddings"), 0.98)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in 16 shards, and where one more shard would put them."""
+    docs = table(spark, folder, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    rows = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"))
+    placed = sharding.slots(rows, sharding.tree(16))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number and digest of every document's piece ids, and whether they decode to the text."""
     done = pieces.round_trip(table(spark, folder, "documents").select("doc_id", "text"))
@@ -61,9 +83,17 @@ def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Canonical digest of every document, its licence if it is one, and the licences that single lines name."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.known_digests(spark))
+    names = F.array_join("line_licences", ",").alias("line_licences")
+    return found.select("doc_id", "canonical_sha256", "licence", names)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_licences": licences.oracle()}
