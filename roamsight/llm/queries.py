@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm import decontaminate, itq, licences, pieces, sharding, simhash, suffixdedup, toxicity, urls
+from roamsight.llm import decontaminate, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls
 from roamsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op1_url_trees(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_probability")
 
 
+def op2_template_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    done = templates.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_quantisation(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate vectors of equal label."""
     found = itq.near_duplicates(table(spark, folder, "embeddings"), 0.98)
