@@ -1,5 +1,6 @@
 """DuckDB SQL that computes every registered query a second time, from the same order data.
 
+Bounds, weights and categories in the statements are fixed values of the rules, stated as the rules state them.
 Quotients are rounded with integer arithmetic (see ``quotient``), because DuckDB divides decimals as doubles.
 """
 
@@ -127,12 +128,12 @@ _SESSION_STEPS = {
                    AS stay_length,
                if(fl AND return_flight_booked, away, NULL) AS flight_trip_nights,
                flight_trip_nights + 1 AS flight_trip_days,
-               fl AND return_flight_booked AND departure_dow BETWEEN 5 AND 6 AND away IN (1, 2) AS is_weekender_flight,
-               ho AND check_in_dow BETWEEN 5 AND 6 AND nights_cleaned IN (1, 2) AS is_weekender_hotel,
-               fl AND return_flight_booked AND away < 5 AND departure_dow < 6 AND return_dow < 6
+               fl AND return_flight_booked AND departure_dow IN (5, 6) AND away BETWEEN 1 AND 2 AS is_weekender_flight,
+               ho AND check_in_dow IN (5, 6) AND nights_cleaned BETWEEN 1 AND 2 AS is_weekender_hotel,
+               fl AND return_flight_booked AND away <= 4 AND departure_dow NOT IN (6, 7) AND return_dow NOT IN (6, 7)
                    AND departure_dow < return_dow AS is_short_weekday_flight,
-               ho AND nights_cleaned IN (1, 2, 3, 4) AND check_in_dow < 6
-                   AND (check_in_dow + nights_cleaned < 6 OR check_in_dow + nights_cleaned > 7) AS is_short_weekday_hotel,
+               ho AND nights_cleaned BETWEEN 1 AND 4 AND check_in_dow NOT IN (6, 7)
+                   AND check_in_dow + nights_cleaned NOT IN (6, 7) AS is_short_weekday_hotel,
                if(ho, ['winter', 'spring', 'summer', 'fall'][month(check_in_time) % 12 // 3 + 1], NULL) AS season_hotel,
                if(fl, ['winter', 'spring', 'summer', 'fall'][month(departure_time) % 12 // 3 + 1], NULL) AS season_flight,
                if(km > 3500, 'long-haul', if(km > 1500, 'medium-haul', if(km >= 0, 'short-haul', NULL)))
@@ -278,14 +279,14 @@ _FEATURE_STEPS = {
         for name, (column, _, sign) in _LIMITS.items()
     )
     + f"""
-               , (total_browsing_only = total_sessions OR (valid_bookings = 0 AND total_bookings > 0))::INT
+               , (total_browsing_only = total_sessions OR (valid_bookings = 0 AND total_bookings >= 1))::INT
                    AS is_dreamer_no_bookings
-               , coalesce(last_booking_since_signup < 29, false)::INT AS is_new_customer_booking
-               , coalesce(avg_seats >= 3 AND avg_seats <= 6, false)::INT AS has_middle_num_seats
-               , coalesce(avg_bags >= 1 AND avg_bags <= 4, false)::INT AS has_middle_num_bags
-               , coalesce(avg_rooms >= 1 AND avg_rooms <= 4, false)::INT AS has_middle_num_rooms
-               , coalesce(valid_bookings > 0 AND age > 59, false)::INT AS is_senior_traveler
-               , coalesce(valid_bookings > 0 AND age < 26, false)::INT AS is_young_traveler
+               , coalesce(last_booking_since_signup <= 28, false)::INT AS is_new_customer_booking
+               , coalesce(avg_seats BETWEEN 3 AND 6, false)::INT AS has_middle_num_seats
+               , coalesce(avg_bags BETWEEN 1 AND 4, false)::INT AS has_middle_num_bags
+               , coalesce(avg_rooms BETWEEN 1 AND 4, false)::INT AS has_middle_num_rooms
+               , coalesce(valid_bookings >= 1 AND age >= 60, false)::INT AS is_senior_traveler
+               , coalesce(valid_bookings >= 1 AND age <= 25, false)::INT AS is_young_traveler
                , coalesce({quotient("sum_discount_bookings", "valid_bookings", 4)}, 0) AS discount_booking_quote
                , coalesce({quotient("discount_flight_bookings", "valid_flight_bookings", 4)}, 0) AS discount_flight_quote
                , coalesce({quotient("discount_hotel_bookings", "valid_hotel_bookings", 4)}, 0) AS discount_hotel_quote
@@ -298,18 +299,18 @@ _FEATURE_STEPS = {
     "scores": """
         SELECT *,
                if(coalesce(is_in_working_age, 1) = 1 AND weekdays_travel_quote >= 0.5,
-                  (2 * avg_bags_norm_invert + 2 * avg_seats_norm_invert + 6 * weekdays_travel_quote) * 0.1, 0)
+                  0.2 * avg_bags_norm_invert + 0.2 * avg_seats_norm_invert + 0.6 * weekdays_travel_quote, 0)
                    AS score_business,
-               if(has_children = 1, 0.6 + (2 * has_middle_num_seats + has_middle_num_rooms + has_middle_num_bags) * 0.1, 0)
+               if(has_children = 1, 0.2 * has_middle_num_seats + 0.1 * has_middle_num_rooms + 0.1 * has_middle_num_bags + 0.6, 0)
                    AS score_family,
                if(weekend_travel_quote >= 0.5, weekend_travel_quote, 0) AS score_weekender,
                is_frequent_traveler_p80 AS score_frequent_traveler, is_new_customer_booking AS score_new_booking_customer,
                is_dreamer_no_bookings AS score_dreamer, is_senior_traveler AS score_senior_traveler,
                is_young_traveler AS score_young_traveler,
-               (is_high_price_hotel_p80 + is_high_price_flight_p80) * 0.5 AS score_premium_traveler,
-               (is_budget_price_hotel_p20 + is_budget_price_flight_p20) * 0.5 AS score_budget_traveler,
+               0.5 * is_high_price_hotel_p80 + 0.5 * is_high_price_flight_p80 AS score_premium_traveler,
+               0.5 * is_budget_price_hotel_p20 + 0.5 * is_budget_price_flight_p20 AS score_budget_traveler,
                if(discount_booking_quote >= 0.5,
-                  (2 * is_high_clicks_booker_p80 + 2 * is_slow_booker_p80 + 6 * discount_booking_quote) * 0.1, 0)
+                  0.2 * is_high_clicks_booker_p80 + 0.2 * is_slow_booker_p80 + 0.6 * discount_booking_quote, 0)
                    AS score_deal_hunter
         FROM features""",
 }

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
-from decimal import Decimal
+from decimal import ROUND_CEILING, ROUND_FLOOR, ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_VALUE = "decimal(18,4)"
+_SCALE = 10_000  # values are decimals with four places and are counted as whole ten-thousandths
+_SIX, _TEN = Decimal(1).scaleb(-6), Decimal(1).scaleb(-10)
 
 
 @dataclass(frozen=True)
@@ -20,91 +22,91 @@ class Percentile:
     p: Decimal
     cont: bool = True
 
+    def rank(self, n: int) -> Decimal:
+        """Zero-based position among n sorted values; fractional for ``cont``."""
+        position = self.p * (n - 1) if self.cont else (self.p * n).to_integral_value(ROUND_CEILING) - 1
+        return max(position.quantize(_SIX, ROUND_HALF_UP), Decimal(0))
 
-def exact_percentiles(df: DataFrame, wanted: list[Percentile], accuracy: int) -> DataFrame:
-    """One row with one decimal column per request; NULL where the column has no values.
 
-    Spark's ``percentile`` keeps every distinct value in one reducer. Here an approximate pass first finds a narrow
-    bracket around each wanted rank. Values below it are only counted and values inside are counted per value, both
-    with partial aggregation, so the task that picks the ranked values sees at most ``8 / accuracy`` of the values
-    (all of them only when there are fewer than ``accuracy``). ``df`` is read twice and should be cheap to read.
+@dataclass(frozen=True)
+class _Target:
+    """A value sought by rank, the range [low, high] that holds it, and the number of values below the range."""
+
+    column: str
+    rank: int
+    low: int
+    high: int
+    below: int
+
+    def narrowed(self, counts: Mapping[int, int], width: int) -> _Target:
+        """The bucket of this width in which the rank lies."""
+        below = self.below
+        for bucket in sorted(counts):
+            if below + counts[bucket] > self.rank:
+                low = self.low + bucket * width
+                return _Target(self.column, self.rank, low, min(low + width - 1, self.high), below)
+            below += counts[bucket]
+        raise AssertionError("the counts of a range add up to its values")
+
+
+_WHOLE = f"cast(cast(`{{}}` as decimal(18,4)) * {_SCALE} as bigint)"
+
+
+def _whole(column: str) -> Column:
+    return F.expr(_WHOLE.format(column))
+
+
+def exact_percentiles(
+    df: DataFrame, wanted: list[Percentile], buckets: int = 4096, more: Mapping[str, Column] | None = None
+) -> dict[str, object]:
+    """A decimal per request, None where the column has no values, and the aggregates asked for in ``more``.
+
+    The range of each wanted rank is cut into ``buckets`` buckets, whose values are only counted, with partial aggregation;
+    the bucket that holds the rank is the next range, until it is a single value. Whatever the size of ``df``, a round moves at
+    most ``buckets`` counts per rank and task and ends in as many rows, and the number of rounds is the logarithm of the
+    range: three for amounts up to some billion. ``df`` is read once per round and should be cheap to read.
     """
-    margin = 3 / accuracy  # the sketch may be off by 1 / accuracy on either side
-    bracket = df.agg(
-        *[
-            F.struct(
-                F.count(w.column).alias("n"),
-                F.percentile_approx(
-                    F.col(w.column).cast(_VALUE),
-                    [max(float(w.p) - margin, 0.0), min(float(w.p) + margin, 1.0)],
-                    accuracy,
-                ).alias("edges"),
-            ).alias(w.name)
-            for w in wanted
-        ]
-    )
-    brackets = bracket.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(w.name).alias("name"),
-                        F.col(w.name)["n"].alias("n"),
-                        _rank(w, F.col(w.name)["n"]).alias("rank"),
-                        _edge(w, 0, accuracy).alias("low"),
-                        _edge(w, 1, accuracy).alias("high"),
-                    )
-                    for w in wanted
-                ]
+    columns = list(dict.fromkeys(w.column for w in wanted))
+    first = [
+        F.struct(F.count(c).alias("n"), F.min(_whole(c)).alias("low"), F.max(_whole(c)).alias("high")).alias(f"column {c}")
+        for c in columns
+    ]
+    found = df.agg(*first, *[c.alias(name) for name, c in (more or {}).items()]).first()
+    ranks = {w: w.rank(found[f"column {w.column}"].n) for w in wanted if found[f"column {w.column}"].n}
+    targets: dict[tuple[str, int], _Target] = {}
+    for w, rank in ranks.items():
+        whole = found[f"column {w.column}"]
+        for place in (int(rank), int(rank.to_integral_value(ROUND_CEILING))):
+            targets[w.column, place] = _Target(w.column, place, whole.low, whole.high, 0)
+    while any(t.low < t.high for t in targets.values()):
+        targets = _round(df, targets, buckets)
+    exact: dict[str, object] = {name: found[name] for name in more or {}}
+    for w in wanted:
+        exact[w.name] = None
+        if w in ranks:
+            floor = ranks[w].to_integral_value(ROUND_FLOOR)
+            below, above = (
+                Decimal(targets[w.column, int(ranks[w].to_integral_value(side))].low) / _SCALE for side in (ROUND_FLOOR, ROUND_CEILING)
             )
-        )
-    )
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(w.name).alias("name"), F.col(w.column).cast(_VALUE).alias("value"))
-                    for w in wanted
-                ]
-            )
-        )
-    ).where(F.col("value").isNotNull())
-
-    # rows below the bracket share the NULL value and sort first; rows above it are not needed
-    in_reach = values.join(F.broadcast(brackets), "name").where(F.col("high").isNull() | (F.col("value") <= F.col("high")))
-    counted = in_reach.groupBy(
-        "name", "rank", F.when(F.col("low").isNull() | (F.col("value") >= F.col("low")), F.col("value")).alias("value")
-    ).agg(F.count(F.lit(1)).alias("times"))
-    upto = F.sum("times").over(
-        Window.partitionBy("name").orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    at = F.floor("rank")
-    picked = (
-        counted.withColumn("upto", upto)
-        .groupBy("name", "rank")
-        .agg(
-            F.min(F.when(F.col("upto") > at, F.col("value"))).alias("below"),
-            F.min(F.when(F.col("upto") > F.ceil("rank"), F.col("value"))).alias("above"),
-            F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("upto"))), F.lit(0)).alias("skipped"),
-        )
-    )
-    missed = (F.col("skipped") > at) | F.col("above").isNull()
-    exact = F.when(missed, F.raise_error(F.lit("percentile bracket missed its rank"))).otherwise(
-        F.col("below") + (F.col("rank") - at).cast("decimal(10,6)") * (F.col("above") - F.col("below"))
-    )
-    return picked.select("name", exact.cast("decimal(28,10)").alias("exact")).agg(
-        *[F.max(F.when(F.col("name") == w.name, F.col("exact"))).alias(w.name) for w in wanted]
-    )
-
-
-def _rank(wanted: Percentile, n):
-    """Zero-based position in sorted order; fractional for ``cont``."""
-    p = F.lit(wanted.p)
-    position = p * (n - 1) if wanted.cont else F.ceil(p * n) - 1
-    return F.when(n > 0, F.greatest(position.cast("decimal(20,6)"), F.lit(0).cast("decimal(20,6)")))
-
-
-def _edge(wanted: Percentile, side: int, accuracy: int):
-    """Bracket edge, or NULL (open) where few values make a bracket pointless."""
-    found = F.col(wanted.name)
-    return F.when(found["n"] >= accuracy, found["edges"][side])
+            exact[w.name] = (below + (ranks[w] - floor) * (above - below)).quantize(_TEN, ROUND_HALF_UP)
+    return exact
+
+
+def _round(df: DataFrame, targets: dict[tuple[str, int], _Target], buckets: int) -> dict[tuple[str, int], _Target]:
+    """One pass over df: count the buckets of every open range, and go on with those that hold the ranks."""
+    ranges = list(dict.fromkeys((t.column, t.low, t.high) for t in targets.values() if t.low < t.high))
+    widths = {r: max(1, -(-(r[2] - r[1] + 1) // buckets)) for r in ranges}
+    hits = []
+    for number, (column, low, high) in enumerate(ranges):
+        bucket = F.expr(f"({_WHOLE.format(column)} - {low}L) div {widths[column, low, high]}L").cast("int")
+        hit = F.struct(F.lit(number).alias("range"), bucket.alias("bucket"))
+        hits.append(F.when(_whole(column).between(low, high), hit))
+    counted = df.select(F.explode(F.array_compact(F.array(*hits))).alias("hit")).groupBy("hit").agg(F.count("*").alias("n"))
+    counts: dict[int, dict[int, int]] = {number: {} for number in range(len(ranges))}
+    for row in counted.select("hit.range", "hit.bucket", "n").collect():  # at most buckets rows per range
+        counts[row.range][row.bucket] = row.n
+    out = {}
+    for key, t in targets.items():
+        place = (t.column, t.low, t.high)
+        out[key] = t.narrowed(counts[ranges.index(place)], widths[place]) if t.low < t.high else t
+    return out

@@ -73,4 +73,4 @@ class Params:
     # execution
     skew: Skew = field(default_factory=Skew)
     broadcast_ids: int = 2_000_000  # longest list of user or trip ids that may be broadcast
-    percentile_accuracy: int = 10_000
+    percentile_buckets: int = 4096  # counted per wanted rank and round

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamsight.functions.exprs import flag, or_zero, ratio
@@ -35,29 +35,32 @@ EXTRA_FEATURES = [
 ]
 
 
-def percentile_limits(users: DataFrame, params: Params, flags: list[str] | None = None) -> DataFrame:
-    """One row: for each flag the cohort percentile it compares with, in a column named after the flag."""
+def _wanted(params: Params, flags: list[str] | None) -> list[Percentile]:
     tail = {"low": params.low_percentile, "high": params.high_percentile}
-    wanted = [
+    return [
         Percentile(name, column, tail[side], cont=name not in _OCCURRING)
         for name, (column, side) in _TAILS.items()
         if flags is None or name in flags
     ]
-    return exact_percentiles(users, wanted, params.percentile_accuracy)
 
 
-def value_ranges(users: DataFrame) -> DataFrame:
-    """One row with the cohort minimum and maximum of the scaled columns."""
-    return users.agg(
-        *[F.min(c).alias(f"min_{c}") for c in _SCALED], *[F.max(c).alias(f"max_{c}") for c in _SCALED]
-    )
+def percentile_limits(users: DataFrame, params: Params, flags: list[str] | None = None) -> DataFrame:
+    """One row: for each flag the cohort percentile it compares with, in a column named after the flag."""
+    found = exact_percentiles(users, wanted := _wanted(params, flags), params.percentile_buckets)
+    shape = ", ".join(f"{w.name} decimal(28,10)" for w in wanted)
+    return users.sparkSession.createDataFrame([tuple(found[w.name] for w in wanted)], shape)
+
+
+def value_ranges() -> dict[str, Column]:
+    """Cohort minimum and maximum of the scaled columns."""
+    return {f"min_{c}": F.min(c) for c in _SCALED} | {f"max_{c}": F.max(c) for c in _SCALED}
 
 
 def _number(value) -> Column:
     return F.lit(value).cast("decimal(28,10)")
 
 
-def _inverted(column: str, ranges: Row) -> Column:
+def _inverted(column: str, ranges: dict) -> Column:
     """1 at the cohort minimum, 0 at the maximum; 0 for users without a value or when all values are equal."""
     low, high = _number(ranges[f"min_{column}"]), _number(ranges[f"max_{column}"])
     part = (F.col(column) - low).cast("decimal(17,4)") / F.nullif(high - low, F.lit(0)).cast("decimal(17,4)")
@@ -68,23 +71,23 @@ def _quote(part: str, whole: str) -> Column:
     return or_zero(ratio(F.col(part), F.col(whole), 4))
 
 
-def _beyond(name: str, limits: Row) -> Column:
+def _beyond(name: str, limits: dict) -> Column:
     column, side = _TAILS[name]
     limit = _number(limits[name])
     return flag(F.col(column) < limit if side == "low" else F.col(column) > limit)
 
 
 def features(users: DataFrame, params: Params, short: bool = False) -> DataFrame:
-    """Features per user. ``users`` is read three times: stage it first.
+    """Features per user. ``users`` is read a few times: stage it first.
 
-    Cohort-wide values are two rows of aggregates, computed here and used as constants, so that no later step computes
+    Cohort-wide values are one small set of aggregates, computed here and used as constants, so that no later step computes
     them again; an unpartitioned window would move all users to one task.
     """
     flags = [name for name in _TAILS if not (short and name in EXTRA_FEATURES)]
-    ranges, limits = value_ranges(users).first(), percentile_limits(users, params, flags).first()
+    cohort = exact_percentiles(users, _wanted(params, flags), params.percentile_buckets, value_ranges())
     valid = F.col("valid_bookings")
-    columns = {f"{c}_norm_invert": _inverted(c, ranges) for c in _SCALED}
-    columns |= {name: _beyond(name, limits) for name in flags}
+    columns = {f"{c}_norm_invert": _inverted(c, cohort) for c in _SCALED}
+    columns |= {name: _beyond(name, cohort) for name in flags}
     columns |= {
         "is_dreamer_no_bookings": flag(
             (F.col("total_sessions") == F.col("total_browsing_only")) | ((F.col("total_bookings") >= 1) & (valid == 0))

@@ -13,33 +13,19 @@ from roamsight.sources.tables import Tables
 def retention(tables: Tables, kinds: tuple[str, ...] = ("active", "booker"), cohort_year: int | None = None) -> DataFrame:
     """Cohort size and users seen again per cohort kind, cohort year and later year.
 
-    One pass over the sessions reduces them to one row per user and year, for both kinds at once. A user's first year
-    is then a window over a user's few years, which replaces a join of the users with themselves.
+    One shuffle by user reduces the sessions to the few years a user was active and booked in, for both kinds at once;
+    the first of them is the user's cohort, which replaces a join of the users with themselves.
     """
-    seen = (
-        yearly_sessions(tables, ytd=True)
-        .where(F.col("user_id").isNotNull())
-        .groupBy("user_id", "year")
-        .agg(F.bool_or(F.col("trip_id").isNotNull()).alias("booked"))
-    )
-    of_user = Window.partitionBy("user_id")
-    per_kind = {
-        "active": (F.lit(True), F.min("year").over(of_user)),
-        "booker": (F.col("booked"), F.min(F.when(F.col("booked"), F.col("year"))).over(of_user)),
-    }
-    years = seen.select(
-        "year",
-        F.array(
-            *[
-                F.struct(F.lit(kind).alias("cohort_type"), per_kind[kind][0].alias("counts"), per_kind[kind][1].alias("first"))
-                for kind in kinds
-            ]
-        ).alias("cohorts"),
-    ).select("year", F.inline("cohorts"))
-    wanted = F.col("counts") if cohort_year is None else F.col("counts") & (F.col("first") == cohort_year)
+    seen = yearly_sessions(tables, ytd=True).where(F.col("user_id").isNotNull()).groupBy("user_id")
+    years = {"active": F.col("year"), "booker": F.when(F.col("trip_id").isNotNull(), F.col("year"))}
+    seen = seen.agg(*[F.collect_set(years[kind]).alias(kind) for kind in kinds])
+    cohorts = F.array(*[F.struct(F.lit(kind).alias("cohort_type"), F.array_min(kind).alias("first"), F.col(kind).alias("years")) for kind in kinds])
+    seen = seen.select(F.inline(cohorts))
+    if cohort_year is not None:
+        seen = seen.where(F.col("first") == cohort_year)
     counted = (
-        years.where(wanted)
-        .groupBy("cohort_type", F.col("first").alias("cohort_year_ytd"), F.col("year").alias("compare_year_ytd"))
+        seen.select("cohort_type", F.col("first").alias("cohort_year_ytd"), F.explode("years").alias("compare_year_ytd"))
+        .groupBy("cohort_type", "cohort_year_ytd", "compare_year_ytd")
         .agg(F.count(F.lit(1)).alias("retained_users"))
     )
     # everybody in a cohort is seen in its own year; these windows run over one row per year

@@ -57,6 +57,18 @@ class Segmentation:
     summary: DataFrame
 
 
+def stored_users(
+    tables: Tables,
+    params: Params,
+    short: bool = False,
+    cohort: Cohort | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] = stage,
+) -> DataFrame:
+    """The user table, or the columns of it that scoring reads, written once."""
+    users = user_table(tables, cohort or Cohort(tables, params, keep), params)
+    return keep(users.select(*SCORING_COLUMNS) if short else users, "users")
+
+
 def segment_users(
     tables: Tables,
     params: Params,
@@ -69,8 +81,7 @@ def segment_users(
     The user table feeds the cohort statistics and the scoring, so it is written once and read back. ``short`` stores
     only the columns that scoring reads and Catalyst drops all work behind the others; the summary is the same.
     """
-    users = user_table(tables, cohort or Cohort(tables, params, keep), params)
-    users = keep(users.select(*SCORING_COLUMNS) if short else users, "users")
+    users = stored_users(tables, params, short, cohort, keep)
     described = features(users, params, short)
     scores = score_users(described, params)
     assigned = assign_segments(scores, params)

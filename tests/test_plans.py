@@ -1,6 +1,7 @@
 """What Spark makes of the jobs: pushed filters, pruned columns, no needless or single-task shuffles."""
 
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,7 @@ from helpers import plan
 from roamsight.params import Params, Skew
 from roamsight.plans import kpis
 from roamsight.plans.cohort import Cohort, active_users
-from roamsight.plans.segmentation import SCORING_COLUMNS, segment_users
-from roamsight.plans.features import percentile_limits
+from roamsight.plans.segmentation import SCORING_COLUMNS, segment_users, stored_users
 from roamsight.plans.retention import retention
 from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_table
@@ -84,11 +84,18 @@ def test_cohort_statistics_are_constants_for_later_steps(stored):
         assert "Exchange" not in plan(step) and "Window" not in plan(step) and "Join" not in plan(step)
 
 
-def test_percentiles_rank_only_within_brackets(stored):
-    text = plan(percentile_limits(segment_users(stored, DERIVED_PARAMS).users, DERIVED_PARAMS))
-    windows = [line for line in text.splitlines() if re.search(r"Window \[", line)]
-    assert len(windows) == 1 and "[name#" in windows[0]
-    assert "partial_percentile_approx" in text and "CartesianProduct" not in text
+def test_percentiles_move_a_bounded_number_of_counts(stored, monkeypatch):
+    """Each round is one partial count per bucket; nothing ranks or sketches values."""
+    from roamsight.operators import percentiles
+
+    texts, taken = [], []
+    users = stored_users(stored, DERIVED_PARAMS)
+    real = type(users).collect
+    monkeypatch.setattr(type(users), "collect", lambda df: (texts.append(plan(df)), taken.append(real(df)), taken[-1])[2])
+    limits = percentiles.exact_percentiles(users, [percentiles.Percentile("p", "avg_clicks_booking", Decimal("0.2"))], 16)
+    assert limits["p"] is not None and texts
+    assert all("partial_count" in t and "Window" not in t and "percentile" not in t for t in texts)
+    assert all(len(t) <= 2 * 16 for t in taken)
 
 
 def test_yearly_counts_shuffle_narrow_rows(stored):
@@ -107,7 +114,7 @@ def test_retention_reads_sessions_once(stored):
     text = plan(retention(stored))
     assert len(re.findall(r"ReadSchema: struct<user_id", text)) == 1  # beside the cutoff's subquery
     assert "Join" not in text
-    assert len(exchanges(text, "user_id")) == 2  # per user and year, then a user's few years
+    assert len(exchanges(text, "user_id")) == 1 and "Window [min" not in text
 
 
 def test_hot_lists_are_small(stored):

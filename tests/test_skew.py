@@ -148,5 +148,5 @@ def test_users_are_the_same_on_every_route(skewed):
 
 def test_segments_are_the_same_on_every_route(tables):
     expected = rows(segment_users(tables, DERIVED_PARAMS).assigned)
-    forced = replace(DERIVED_PARAMS, broadcast_ids=0, skew=EAGER, percentile_accuracy=20)
+    forced = replace(DERIVED_PARAMS, broadcast_ids=0, skew=EAGER, percentile_buckets=7)
     assert rows(segment_users(tables, forced).assigned) == expected
