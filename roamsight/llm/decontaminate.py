@@ -262,8 +262,8 @@ def remove(
         return pa.array(out, pa.string())
 
     kept = found.where(~((F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(coverage) * F.col("n_words"))))
-    cut = kept.withColumn("cut_text", F.when(F.col("n_hit") > 0, without(text_col, "hit_spans")).otherwise(F.col(text_col)))
-    return cut.select(*[F.col("cut_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    left = F.when(F.col("n_hit") > 0, without(text_col, "hit_spans")).otherwise(F.col(text_col))
+    return kept.select(*[left.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def _without(text: bytes, spans: list[list[int]]) -> bytes:
@@ -271,7 +271,7 @@ def _without(text: bytes, spans: list[list[int]]) -> bytes:
     out, kept, number = [], 0, 0
     pieces = iter(spans)
     low, high = next(pieces)
-    for match in WORD.finditer(text):
+    for match in WORD.finditer(text.lower()):  # as long as the text
         if number == low:
             out.append(text[kept : match.start()])
         number += 1

@@ -30,12 +30,19 @@ TABLES = 4
 #: Codes of vectors with a cosine of 0.98 differ in about 4 of 64 bits; rerank up to four times that.
 MOST_BITS = 16
 ROUNDS = 50
+#: Distance from the mean, as a root mean square, from which on the mean is subtracted.
+SPREAD = 0.5
 
 
 def learn(vectors: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection to ``BITS`` numbers whose signs are the code. ``vectors`` are rows of length one."""
+    """Mean and projection to ``BITS`` numbers whose signs are the code. ``vectors`` are rows of length one.
+
+    Seen from the mean, vectors that all lie close to it would seem far apart; then the angle is measured from zero.
+    """
     rng = np.random.default_rng(seed)
     mean = vectors.mean(0)
+    if np.sqrt(((vectors - mean) ** 2).sum(1).mean()) < SPREAD:
+        mean = np.zeros_like(mean)
     centred = vectors - mean
     _, directions = np.linalg.eigh(centred.T @ centred)
     directions = directions[:, ::-1][:, :BITS]

@@ -75,19 +75,21 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     )
     lines = line.select("id", "key", digest(F.col("line")).alias("digest")).join(known, "digest")
     lines = lines.groupBy("id", "key").agg(F.array_sort(F.collect_set("licence")).alias("found"))
-    names = known.select(F.col("digest").alias("known_digest"), F.col("licence").alias("known_licence"))
+    lines = lines.select(*[F.col(name).alias(fresh(docs, f"line_{name}")) for name in lines.columns])
+    line_id, line_key, line_found = lines.columns
+    names = known.select(F.col("digest").alias(fresh(docs, "known_digest")), F.col("licence").alias(fresh(docs, "known_licence")))
     rows = docs.withColumns({whole: digest(F.col(text_col)), key: F.xxhash64(text_col)})
-    rows = rows.join(names, rows[whole] == names["known_digest"], "left")
-    rows = rows.join(lines, rows[id_col].eqNullSafe(lines["id"]) & (rows[key] == lines["key"]), "left")
+    rows = rows.join(names, F.col(whole) == F.col(names.columns[0]), "left")
+    rows = rows.join(lines, F.col(id_col).eqNullSafe(F.col(line_id)) & (F.col(key) == F.col(line_key)), "left")
     none = F.array().cast("array<string>")
     results = {
-        "canonical_sha256": rows[whole],
-        "licence": F.col("known_licence"),
-        "line_licences": F.when(rows[text_col].isNotNull(), F.coalesce("found", none)),
+        "canonical_sha256": F.col(whole),
+        "licence": F.col(names.columns[1]),
+        "line_licences": F.when(F.col(text_col).isNotNull(), F.coalesce(line_found, none)),
     }
     taken = set(results)
     return rows.select(
-        *[rows[f"`{name}`"] for name in docs.columns if name.lower() not in taken], *[c.alias(n) for n, c in results.items()]
+        *[F.col(f"`{name}`") for name in docs.columns if name.lower() not in taken], *[c.alias(n) for n, c in results.items()]
     )
 
 

@@ -2,7 +2,7 @@
 
 Pages of one host come from a template. Its tokens, tags with their path and short blocks of text, are found by their
 occurrence vectors: how often a token stands in each page of the host. Tokens with equal vectors form a class. A class is
-valid if it occurs in at least ``MOST_PAGES`` of the host's pages, has two tokens or more, and nests: its reach, from the mean
+valid if it occurs in at least ``MOST_PAGES`` of the host's pages, has two tokens or is a block of text, and nests: its reach, from the mean
 place of its first to that of its last token, lies inside that of another valid class or beside it. Nested valid classes
 are the template, and what stands between their tokens are its slots.
 
@@ -138,7 +138,7 @@ def parse(text: str) -> Page:
             at = close.end() if close else len(text)
             continue
         named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes))
-        path = f"{parent.path}/{name}" + (f".{named}" if named else "")
+        path = f"{parent.path}/{name}" + (f".{named}".replace("#", "") if named else "")
         page.tokens.append(path)
         if name in VOID or attributes.endswith("/"):
             continue
@@ -152,7 +152,8 @@ def parse(text: str) -> Page:
 
 
 def digest(token: str) -> int:
-    value = xxhash.xxh3_64_intdigest(token)
+    """Signed 64 bits; odd for a block of text, even for a tag."""
+    value = xxhash.xxh3_64_intdigest(token) & ~1 | ("#" in token)
     return value - (value >> 63 << 64)
 
 
@@ -216,7 +217,7 @@ def deduce(pages: DataFrame) -> DataFrame:
     classes = often.groupBy("host", "vector").agg(
         F.collect_set("token").alias("tokens"), F.min("place").alias("first"), F.max("place").alias("last")
     )
-    classes = classes.where(F.size("tokens") > 1)  # one token frames nothing
+    classes = classes.where((F.size("tokens") > 1) | (F.col("tokens")[0] % 2 != 0))  # one tag frames nothing
     return classes.groupBy("host").agg(_nested(F.collect_list(F.struct("first", "last", "tokens"))).alias("tokens"))
 
 
@@ -276,12 +277,13 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", text
     template = stage(deduce(narrow), "templates")
     own, salt = fresh(pages, "page_host"), fresh(pages, "salt")
     rows = pages.withColumn(own, name)
-    template = template.select(F.col("host").alias("template_host"), F.col("tokens").alias("template_tokens"))
-    if template.select(F.explode("template_tokens")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(template), rows[own] == template["template_host"], "left")
+    of, tokens, copy = (fresh(pages, n) for n in ("template_host", "template_tokens", "template_salt"))
+    template = template.select(F.col("host").alias(of), F.col("tokens").alias(tokens))
+    if template.select(F.explode(tokens)).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(template), rows[own] == template[of], "left")
     else:
-        copies = template.withColumn("template_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        copies = template.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rows = rows.withColumn(salt, F.pmod(F.xxhash64(url_col, html_col), F.lit(SALTS)).cast("int"))
-        joined = rows.join(copies, (rows[own] == copies["template_host"]) & (rows[salt] == copies["template_salt"]), "left")
-    results = with_results(joined, {text_col: _texts(F.col(html_col), F.col("template_tokens"))})
+        joined = rows.join(copies, (rows[own] == copies[of]) & (rows[salt] == copies[copy]), "left")
+    results = with_results(joined, {text_col: _texts(F.col(html_col), F.col(tokens))})
     return results.select(*[f"`{c}`" for c in pages.columns if c.lower() != text_col.lower()], text_col)

@@ -1,0 +1,126 @@
+import random
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from roamsight.llm import simhash
+from roamsight.llm.common import components, table
+from roamsight.llm.queries import op8_simhash
+
+
+def naive(text, words):
+    found = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m.group().lower(), (text or "").encode()))
+    shingles = [b" ".join(found[i : i + words]) for i in range(len(found) - words + 1)] or ([b" ".join(found)] if found else [])
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def groups(prints, near):
+    """Smallest index that each index reaches."""
+    parent = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in range(i):
+            if near(prints[i], prints[j]):
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    return parent
+
+
+def test_fingerprint_of_odd_texts():
+    random.seed(2)
+    texts = ["".join(random.choice("aB c\n\x0b é") for _ in range(random.randint(0, 30))) for _ in range(200)]
+    for text in ["", " ", "\x00", "one", "A b", "ß ſ İ", *texts]:
+        value = int(simhash.majority(simhash.shingle_hashes(text.encode(), 3))[0])
+        assert value & ((1 << 64) - 1) == naive(text, 3)
+
+
+def test_fingerprint_of_a_text_longer_than_a_chunk():
+    text = " ".join(f"w{i % 977}" for i in range(3 * simhash.CHUNK))
+    assert int(simhash.majority(simhash.shingle_hashes(text.encode(), 3))[0]) & ((1 << 64) - 1) == naive(text, 3)
+
+
+def test_links_connect_what_is_within_three_bits(spark):
+    random.seed(4)
+    values = {0}
+    for _ in range(60):
+        value = random.getrandbits(64)
+        for _ in range(random.randint(1, 6)):  # chains of small and too large steps
+            values.add(value)
+            for _ in range(random.choice([1, 2, 3, 3, 4])):
+                value ^= 1 << random.randrange(64)
+    prints = sorted(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in prints]
+    frame = spark.createDataFrame([(v,) for v in signed], "fingerprint bigint")
+    found = {r.node: r.component for r in components(simhash.links(frame)).collect()}
+    parent = groups(prints, lambda a, b: (a ^ b).bit_count() <= 3)
+    ours = {}
+    for i, v in enumerate(signed):
+        ours.setdefault(found.get(v, v), []).append(i)
+    theirs = {}
+    for i, p in enumerate(parent):
+        theirs.setdefault(p, []).append(i)
+    assert sorted(map(tuple, ours.values())) == sorted(map(tuple, theirs.values()))
+    for r in simhash.links(frame).collect():
+        assert ((r.a ^ r.b) & ((1 << 64) - 1)).bit_count() <= 3
+
+
+def test_registered_query_against_brute_force(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    rows = {r.doc_id: r for r in op8_simhash(spark, sf_dir).collect()}
+    ids = sorted(r.doc_id for r in docs)
+    prints = {r.doc_id: naive(r.text, 3) for r in docs}
+    parent = groups([prints[i] for i in ids], lambda a, b: (a ^ b).bit_count() <= 3)
+    assert len(rows) == len(ids)
+    for i, p in zip(ids, parent, strict=True):
+        assert (rows[i].fingerprint, rows[i].component_id) == (f"{prints[i]:016x}", ids[p])
+
+
+def test_dirty_rows(spark, make_docs, clashing):
+    text = "one two three four five six seven"
+    docs = make_docs([(5, text), (3, text), (3, text), (None, text), (7, None), (9, ""), (8, " \n"), (None, None)])
+    docs = clashing(docs, "fingerprint", "component", "digest", "id")
+    members = {(r.id, r.fingerprint, r.component.id) for r in simhash.memberships(docs, 3).collect()}
+    value = naive(text, 3)
+    value = value - (1 << 64) if value >> 63 else value
+    assert members == {(5, value, 3), (3, value, 3), (None, value, 3), (7, 0, 7), (9, 0, 7), (8, 0, 7), (None, 0, 7)}
+    for similarity in (None, 0.8):
+        kept = simhash.deduplicate(docs, 3, similarity)
+        assert sorted((r.doc_id, r.text, r.fingerprint) for r in kept.collect()) == [
+            (3, text, "extra fingerprint"),
+            (7, None, "extra fingerprint"),
+        ]
+    assert simhash.deduplicate(docs.limit(0)).collect() == []
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (200, 201), (201, 200)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(50)} | {200: 200, 201: 200}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_similar_texts_are_found(make_docs):
+    random.seed(6)
+    words = [f"word{i}" for i in range(5000)]
+    rows, truth = [], {}
+    for group in range(30):
+        base = [random.choice(words) for _ in range(300)]
+        for copy in range(4):
+            changed = list(base)
+            for place in random.sample(range(300), 2 * copy):  # 5-word shingles: similarity from 1 down to about 0.8
+                changed[place] = random.choice(words)
+            rows.append((len(rows), " ".join(changed)))
+            truth[rows[-1][0]] = group
+    shingles = {i: {tuple(t.split()[a : a + 5]) for a in range(296)} for i, t in rows}
+    members = {r.id: r.component.id for r in simhash.memberships(make_docs(rows), 5, 0.8).collect()}
+    assert all(truth[i] == truth[c] for i, c in members.items())  # nothing else is drawn in
+    near = [(i, j) for i in shingles for j in shingles if i < j and len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    assert sum(members[i] == members[j] for i, j in near) >= 0.95 * len(near) and len(near) >= 60
+
+
+@pytest.mark.parametrize("similarity", [None, 0.8])
+def test_a_large_group_of_copies_stays_one_row(spark, similarity):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("the same text in every document of them all").alias("text"))
+    assert [r.doc_id for r in simhash.deduplicate(docs, similarity=similarity).collect()] == [0]
