@@ -7,6 +7,7 @@ Quotients are rounded with integer arithmetic (see ``quotient``), because DuckDB
 from __future__ import annotations
 
 from checks.columns import COLUMNS
+from roamsight.sources.derived import CITIES
 
 _TYPES = {"i": "BIGINT", "d": "DOUBLE", "b": "BOOLEAN", "s": "VARCHAR"}
 
@@ -21,12 +22,17 @@ def quotient(num: str, den: str, digits: int, num_scale: int = 0) -> str:
     )
 
 
+# The place that stands for each nation.
+_CITIES = ", ".join(
+    "({}, '{}', '{}')".format(number, city.replace("'", "''"), country) for number, (city, country) in enumerate(CITIES)
+)
+
 _TABLES = {
     "places": """
-        SELECT n_nationkey AS nk, lower(n_name) AS city, concat('country_', n_regionkey) AS country,
+        SELECT n_nationkey AS nk, city, country,
                concat('AP', n_nationkey) AS airport, (20 + n_nationkey)::DOUBLE AS lat,
                (4 * n_nationkey - 120)::DOUBLE AS lon
-        FROM nation""",
+        FROM nation JOIN (VALUES """ + _CITIES + """) AS named(number, city, country) ON number = n_nationkey""",
     "buys": """
         SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS d, o_orderpriority AS prio,
                (k * 7919) % 10007 AS h1, (k * 104729) % 10009 AS h2, (k * 1299709) % 10037 AS h3, h1 % 5 IN (0, 1) AS trip
@@ -139,7 +145,7 @@ _SESSION_STEPS = {
                if(km > 3500, 'long-haul', if(km > 1500, 'medium-haul', if(km >= 0, 'short-haul', NULL)))
                    AS flight_distance_category,
                if(km IS NULL, NULL, if(home_country = destination_country, 'domestic',
-                  if(destination_country IN ('country_0', 'country_1'), 'international', 'intercontinental')))
+                  if(destination_country IN ('usa', 'canada', 'mexico'), 'international', 'intercontinental')))
                    AS flight_destination_category,
                if(fl, {quotient("fare_cents", "seats", 2, 2)}, NULL) AS flight_price_per_seat,
                if(fl AND km > 0, (fare_cents::DOUBLE / 100 / seats / (km * if(return_flight_booked, 2, 1)))::DECIMAL(18,4),
@@ -487,4 +493,6 @@ def oracle_sql() -> dict[str, str]:
     sql["retention_active"] = _sql("retention_active", _retention_steps(), "retention", "cohort_type = 'active'")
     sql["retention_booker"] = _sql("retention_booker", _retention_steps(), "retention", "cohort_type = 'booker'")
     sql["retention_heatmap"] = _sql("retention_heatmap", _retention_steps(), "retention", "cohort_year_ytd = 1995")
+    for name in ("trip_status", "session_base", "user_averages", "segment_summary"):
+        sql[f"{name}_large"] = sql[name]  # another route to the same rows
     return sql

@@ -6,21 +6,23 @@ INPUT holds the folders sessions, users, flights and hotels; small results are w
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
-from dataclasses import replace
+from collections.abc import Callable, Sequence
+from dataclasses import fields, replace
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.params import Params
+from roamsight.params import Params, Weights
 from roamsight.plans import kpis, retention
 from roamsight.plans.cohort import Cohort
-from roamsight.plans.segmentation import segment_users
+from roamsight.plans.segmentation import inspect_users, segment_users
 from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_averages
 from roamsight.sources.session import tune, tuned
 from roamsight.sources.sinks import write_summary_csv, write_table
+from roamsight.sources.staging import release
 from roamsight.sources.tables import Tables, read_tables
 
 Job = Callable[[Tables, Params], DataFrame]
@@ -42,12 +44,32 @@ SUMMARIES: dict[str, Job] = {
 }
 
 
-def run(spark: SparkSession, job: str, source: str, target: str, params: Params, file_format: str = "parquet") -> None:
-    tables = read_tables(spark, source, file_format)
+_WEIGHTS = [f.name for f in fields(Weights)]
+
+
+def _weight(text: str) -> tuple[str, Decimal]:
+    name, _, value = text.partition("=")
+    if name not in _WEIGHTS:
+        raise argparse.ArgumentTypeError(f"{name} is none of {', '.join(_WEIGHTS)}")
+    return name, Decimal(value)
+
+
+def run(
+    spark: SparkSession,
+    job: str,
+    source: str,
+    target: str,
+    params: Params,
+    file_format: str = "parquet",
+    user_ids: Sequence[str] = (),
+    text_ids: bool = False,
+) -> None:
+    tables = read_tables(spark, source, file_format, text_ids)
     if job in SUMMARIES:
         write_summary_csv(SUMMARIES[job](tables, params), target)
     else:
-        write_table(TABLES[job](tables, params), target)
+        found = TABLES[job](tables, params)
+        write_table(inspect_users(found, list(user_ids)) if user_ids else found, target)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -60,6 +82,12 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--min-sessions", type=int, default=Params.min_sessions, help="members need more than this")
     parser.add_argument("--as-of", type=date.fromisoformat, default=Params.as_of_date, help="day on which ages count")
     parser.add_argument("--cohort-year", type=int, default=Params.retention_cohort_year, help="for retention")
+    parser.add_argument("--low-percentile", type=Decimal, default=Params.low_percentile)
+    parser.add_argument("--high-percentile", type=Decimal, default=Params.high_percentile)
+    parser.add_argument("--others-threshold", type=Decimal, default=Params.others_threshold, help="below it nobody is assigned")
+    parser.add_argument("--weight", action="append", default=[], type=_weight, metavar="NAME=VALUE", help=", ".join(_WEIGHTS))
+    parser.add_argument("--user-id", action="append", default=[], help="keep only these users (session and user tables)")
+    parser.add_argument("--text-ids", action="store_true", help="user, trip and session ids are strings")
     parser.add_argument("--with-segment", action="append", default=[], choices=["Weekender", "Senior Traveler"])
     chosen = parser.parse_args(arguments)
     params = replace(
@@ -69,10 +97,22 @@ def main(arguments: list[str] | None = None) -> None:
         as_of_date=chosen.as_of,
         retention_cohort_year=chosen.cohort_year,
         optional_segments=tuple(chosen.with_segment),
+        low_percentile=chosen.low_percentile,
+        high_percentile=chosen.high_percentile,
+        others_threshold=chosen.others_threshold,
+        weights=replace(Weights(), **dict(chosen.weight)),
     )
+    if chosen.user_id and chosen.job in SUMMARIES:
+        parser.error("--user-id needs a job that returns sessions or users")
     spark = tune(tuned(SparkSession.builder.appName(f"roamsight {chosen.job}")).getOrCreate())
-    run(spark, chosen.job, chosen.input, chosen.output, params, chosen.format)
+    run(spark, chosen.job, chosen.input, chosen.output, params, chosen.format, chosen.user_id, chosen.text_ids)
 
 
-if __name__ == "__main__":
+def command() -> None:
+    """One job, and its staged tables removed."""
     main()
+    release(SparkSession.active())
+
+
+if __name__ == "__main__":
+    command()

@@ -7,28 +7,30 @@ only takes another route to the same rows. Without hot keys the joins are plain
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamsight.params import Skew
+from roamsight.sources.staging import stage
 
 _SLICE = "_slice"
 _SLICES = "_slices"
 
 
-def hot_keys(weights: DataFrame, key: str, weight: str, skew: Skew) -> DataFrame | None:
-    """Keys that hold more than ``1 / parts`` of all rows and the number of slices to cut each into; None if there are none.
+def hot_keys(
+    weights: DataFrame, key: str, weight: str, skew: Skew, keep: Callable[[DataFrame, str], DataFrame] = stage
+) -> DataFrame | None:
+    """Keys with more rows than the target and the number of slices to cut each into; None if there are none.
 
-    ``weights`` has one row per key. Fewer than ``skew.parts`` keys can each hold more than ``1 / parts``, so the list
-    is small enough for the driver and for a broadcast whatever the input size.
+    ``weights`` has one row per key. The stored list has fewer than ``skew.max_keys`` rows, see :class:`Skew`.
     """
-    total = weights.agg(F.sum(weight)).scalar()
-    share = F.col(weight) * F.lit(skew.parts) / total
-    found = weights.where((F.col(weight) > F.lit(skew.min_rows)) & (share > 1)).select(
-        key, F.ceil(share).cast("int").alias(_SLICES)
-    )
-    rows = found.collect()
-    return weights.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    share = F.ceil(weights.agg(F.sum(weight)).scalar() / F.lit(skew.max_keys))
+    target = F.greatest(F.lit(skew.target_rows).cast("bigint"), share)
+    found = weights.where(F.col(weight) > target).select(key, F.ceil(F.col(weight) / target).cast("int").alias(_SLICES))
+    found = keep(found, "hot_keys")
+    return None if found.isEmpty() else found
 
 
 def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: DataFrame | None, how: str) -> DataFrame:
@@ -36,7 +38,7 @@ def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: Da
 
     Fact rows of a hot key go to a slice by the hash of ``row_id``, which must differ between them and stay the same
     when a task runs again; the key's dimension row is repeated once per slice. All other keys have a single slice. In
-    total at most ``2 * parts`` dimension rows are added. Without hot keys ``row_id`` is not used.
+    total two dimension rows per ``target_rows`` fact rows are added at most. Without hot keys ``row_id`` is not used.
     """
     if hot is None:
         return facts.join(dim, key, how)
@@ -50,20 +52,15 @@ def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: Da
     return sliced_facts.drop(_SLICES).join(sliced_dim.drop(_SLICES), [key, _SLICE], how).drop(_SLICE)
 
 
-def join_split(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+def join_split(
+    facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: DataFrame | None, number: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """Add the columns of ``dim`` to facts whose key is often NULL.
 
     Rows with a NULL key are kept with empty columns; rows with a key that ``dim`` lacks are dropped.
-    NULL keys never reach a shuffle, and hot keys meet a broadcast of the hot dimension rows, fewer than ``parts``.
-    Only the rest is shuffled, and ``dim`` with it on its own key.
+    NULL keys never reach a shuffle, and hot keys are cut into slices. ``number`` adds ``row_id`` to each part, after
+    the split, so that the conditions on the key still reach the scan.
     """
-    with_key = facts.where(F.col(key).isNotNull())
-    parts = [with_key, facts.where(F.col(key).isNull())]
-    if hot is not None:
-        hot = F.broadcast(hot.select(key))
-        hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-        parts = [with_key.join(hot, key, "left_anti"), parts[1], with_key.join(hot_dim, key)]
-    joined = parts[0].join(dim, key)
-    for part in parts[1:]:
-        joined = joined.unionByName(part, allowMissingColumns=True)
-    return joined
+    with_key = number(facts.where(F.col(key).isNotNull()))
+    without = number(facts.where(F.col(key).isNull()))
+    return join_sliced(with_key, dim, key, row_id, hot, "inner").unionByName(without, allowMissingColumns=True)

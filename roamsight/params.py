@@ -9,14 +9,15 @@ from decimal import Decimal
 
 @dataclass(frozen=True)
 class Skew:
-    """When a join key counts as hot.
+    """When a join key counts as hot, and into what its rows are cut.
 
-    A key is hot when it holds more than ``1 / parts`` of all rows *and* more than ``min_rows`` rows.
-    The first condition bounds the list: fewer than ``parts`` keys can each hold more than ``1 / parts``.
+    A key is hot when it has more rows than one task should get, ``target_rows``; it is cut into slices of at most that
+    many. The list of hot keys may be broadcast, so it is bounded: the target grows to ``1 / max_keys`` of all rows where
+    that is more, and fewer than ``max_keys`` keys can each hold a larger share.
     """
 
-    parts: int = 1000
-    min_rows: int = 1_000_000
+    target_rows: int = 1_000_000
+    max_keys: int = 1_000_000
 
 
 @dataclass(frozen=True)

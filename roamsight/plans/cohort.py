@@ -68,25 +68,31 @@ class Cohort:
 
     def __init__(self, tables: Tables, params: Params, keep: Callable[[DataFrame, str], DataFrame] = stage):
         self._tables, self._params, self._keep = tables, params, keep
-        members = _with_age(tables.users, params).join(active_users(tables, params), "user_id")
+        self._active = keep(active_users(tables, params), "active_users")
+        members = _with_age(tables.users, params).join(self._active, "user_id")
         self.profiles = keep(members, "profiles")
         size = self.profiles.agg(
             F.count(F.lit(1)).alias("users"), F.coalesce(F.sum("cohort_sessions"), F.lit(0)).alias("sessions")
         ).first()
         self.members_only = size.users <= params.broadcast_ids
-        self._too_few_for_hot_keys = self.members_only and size.sessions <= params.skew.min_rows
+        self._too_few_for_hot_keys = self.members_only and size.sessions <= params.skew.target_rows
 
     @cached_property
     def sessions(self) -> DataFrame:
         recent = recent_sessions(self._tables, self._params)
-        if self.hot_users is not None:
-            # Copies of one session share every column, so slices need a number of their own. Numbered at the scan,
-            # where a task that runs again reads the same rows in the same order.
-            recent = recent.withColumn(ROW_NUMBER, F.monotonically_increasing_id())
         if not self.members_only:
             return recent
         return recent.join(F.broadcast(self.profiles.select("user_id")), "user_id", "left_semi")
 
+    def numbered(self, sessions: DataFrame) -> DataFrame:
+        """Copies of one session share every column, so slices need a number of their own.
+
+        Numbered in the stage of the scan, where a task that runs again reads the same rows in the same order.
+        """
+        if self._too_few_for_hot_keys:
+            return sessions
+        return sessions.withColumn(ROW_NUMBER, F.monotonically_increasing_id())
+
     @cached_property
     def user_trips(self) -> DataFrame:
         return self._keep(_user_trips(self.sessions), "user_trips")
@@ -95,15 +101,15 @@ class Cohort:
     def hot_users(self) -> DataFrame | None:
         if self._too_few_for_hot_keys:
             return None
-        weights = self.profiles if self.members_only else active_users(self._tables, self._params)
-        return hot_keys(weights, "user_id", "cohort_sessions", self._params.skew)
+        weights = self.profiles if self.members_only else self._active
+        return hot_keys(weights, "user_id", "cohort_sessions", self._params.skew, self._keep)
 
     @cached_property
     def hot_trips(self) -> DataFrame | None:
         if self._too_few_for_hot_keys:
             return None
         weights = self.user_trips.groupBy("trip_id").agg(F.sum("trip_sessions").alias("trip_sessions"))
-        return hot_keys(weights, "trip_id", "trip_sessions", self._params.skew)
+        return hot_keys(weights, "trip_id", "trip_sessions", self._params.skew, self._keep)
 
     def of_members(self, df: DataFrame, row_id: str) -> DataFrame:
         """Rows of sessions or user_trips that belong to members; ``row_id`` tells rows of one user apart."""
@@ -123,7 +129,7 @@ class Cohort:
 
     @property
     def member_sessions(self) -> DataFrame:
-        return self.of_members(self.sessions, ROW_NUMBER).drop(ROW_NUMBER)
+        return self.of_members(self.numbered(self.sessions), ROW_NUMBER).drop(ROW_NUMBER)
 
     @property
     def member_trips(self) -> DataFrame:

@@ -24,6 +24,7 @@ from roamsight.params import Params
 from roamsight.plans.cohort import ROW_NUMBER, Cohort
 from roamsight.sources.tables import Tables
 
+_BROADCAST_DESTINATIONS = 100_000
 _FRI_SAT = (5, 6)
 _SAT_SUN = (6, 7)
 
@@ -78,6 +79,12 @@ def _trip_shape() -> dict[str, Column]:
     }
 
 
+def _countries(tables: Tables) -> DataFrame:
+    """The destination list, broadcast if it is as short as the built-in one or at least bounded."""
+    short = tables.mapping.limit(_BROADCAST_DESTINATIONS + 1).count() <= _BROADCAST_DESTINATIONS
+    return F.broadcast(tables.mapping) if short else tables.mapping
+
+
 def trips(tables: Tables, cohort: Cohort) -> DataFrame:
     """One row per trip of the cohort: its status, flight, hotel and destination country.
 
@@ -87,7 +94,7 @@ def trips(tables: Tables, cohort: Cohort) -> DataFrame:
         cohort.member_trips.groupBy("trip_id")
         .agg(*[F.bool_or(c).alias(c) for c in ("any_cancelled", "any_flight", "any_hotel")])
     )
-    flights = cohort.of_trips(tables.flights).join(F.broadcast(tables.mapping), "destination", "left")
+    flights = cohort.of_trips(tables.flights).join(_countries(tables), "destination", "left")
     booked = (F.col("any_flight") & F.col("trip_airline").isNotNull()) | (
         F.col("any_hotel") & F.col("hotel_name").isNotNull()
     )
@@ -107,9 +114,9 @@ def joined_sessions(tables: Tables, cohort: Cohort) -> DataFrame:
     Trips come first and users last: rows then lie by user, and a per-user aggregation that follows
     has little left to move.
     """
-    with_trip = join_split(cohort.sessions, trips(tables, cohort), "trip_id", cohort.hot_trips).withColumn(
-        "trip_status", F.coalesce(F.col("trip_status"), F.lit("none"))
-    )
+    described = trips(tables, cohort)
+    with_trip = join_split(cohort.sessions, described, "trip_id", ROW_NUMBER, cohort.hot_trips, cohort.numbered)
+    with_trip = with_trip.withColumn("trip_status", F.coalesce(F.col("trip_status"), F.lit("none")))
     profiles = cohort.profiles.drop("cohort_sessions")
     return join_sliced(with_trip, profiles, "user_id", ROW_NUMBER, cohort.hot_users, "inner")
 

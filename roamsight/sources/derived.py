@@ -13,23 +13,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamsight.params import Params
+from roamsight.sources.destinations import DESTINATION_COUNTRIES, destination_countries
 from roamsight.sources.tables import FLIGHTS, HOTELS, SESSIONS, USERS, Tables, conform
 
 DERIVED_PARAMS = replace(
     Params(),
     cohort_start=date(1997, 1, 1),
     as_of_date=date(2001, 12, 31),
-    neighbour_countries=("country_0", "country_1"),
     retention_cohort_year=1995,
 )
 
 
+#: Every fifth of the built-in destinations stands for a nation; the last nation is a place that the list does not know.
+CITIES = [*DESTINATION_COUNTRIES[:120:5], ("atlantis", "nowhere")]
+SALTS = 8
+
+
 def _nations(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("n_nationkey")
+    city, country = (F.array(*[F.lit(pair[i]) for pair in CITIES])[key.cast("int")] for i in (0, 1))
     return spark.read.parquet(f"{folder}/nation.parquet").select(
         key.alias("nation"),
-        F.lower("n_name").alias("city"),
-        F.concat(F.lit("country_"), F.col("n_regionkey")).alias("country"),
+        city.alias("city"),
+        country.alias("country"),
         F.concat(F.lit("AP"), key).alias("airport"),
         (key + 20).cast("double").alias("lat"),
         (key * 4 - 120).cast("double").alias("lon"),
@@ -85,7 +91,8 @@ def _flights(trips: DataFrame, customers: DataFrame, nations: DataFrame) -> Data
         trips.where(F.col("by_air") & (F.col("h3") % 50 != 1))
         .withColumn("target", F.col("h2") % 25)
         .join(F.broadcast(target), "target")
-        .join(customers.select("customer", "airport"), "customer")
+        .withColumn("salt", F.pmod("order", F.lit(SALTS)).cast("int"))  # a customer may hold a large share of all trips
+        .join(customers.select("customer", "airport", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")), ["customer", "salt"])
         .select(
             F.col("order").alias("trip_id"),
             F.when(F.col("h1") % 17 == 0, "ELSEWHERE").otherwise(F.col("airport")).alias("origin_airport"),
@@ -156,7 +163,5 @@ def derive_tables(spark: SparkSession, folder: str) -> Tables:
         users=conform(_users(customers, orders), USERS),
         flights=conform(_flights(trips, customers, nations), FLIGHTS),
         hotels=conform(_hotels(trips, nations), HOTELS),
-        mapping=nations.where("nation <> 24").select(
-            F.col("city").alias("destination"), F.col("country").alias("destination_country")
-        ),
+        mapping=destination_countries(spark),
     )

@@ -82,13 +82,18 @@ class Tables:
     mapping: DataFrame
 
 
-def read_tables(spark: SparkSession, path: str, file_format: str = "parquet") -> Tables:
+_IDS = {"session_id", "user_id", "trip_id"}
+
+
+def read_tables(spark: SparkSession, path: str, file_format: str = "parquet", text_ids: bool = False) -> Tables:
     """Read ``path/{sessions,users,flights,hotels}``; the destination list is built in.
 
-    Ids may also be strings and fares may carry other precisions; pass such frames to :func:`conform` instead.
+    With ``text_ids``, ids are strings. Fares may carry other precisions; pass such frames to :func:`conform` instead.
     """
 
     def read(name: str, schema: T.StructType) -> DataFrame:
+        if text_ids:
+            schema = T.StructType([T.StructField(f.name, _TEXT if f.name in _IDS else f.dataType) for f in schema])
         reader = spark.read.format(file_format).schema(schema)
         if file_format == "csv":
             reader = reader.option("header", True)
@@ -105,9 +110,8 @@ def read_tables(spark: SparkSession, path: str, file_format: str = "parquet") ->
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Keep the schema's columns and cast each to its type; id columns keep the type they have."""
-    ids = {"session_id", "user_id", "trip_id"}
     return df.select(
-        *[F.col(f.name) if f.name in ids else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+        *[F.col(f.name) if f.name in _IDS else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
     )
 
 

@@ -1,6 +1,6 @@
 """Entry point for spark-submit."""
 
-from roamsight.__main__ import main
+from roamsight.__main__ import command
 
 if __name__ == "__main__":
-    main()
+    command()

@@ -7,8 +7,8 @@ import pytest
 
 import __spark_entry__ as registry
 
-QUERIES = registry.queries()
-SQL = registry.oracle_sql()
+QUERIES = {name: registry.queries()[name] for name in registry._jobs()}
+SQL = {name: sql for name, sql in registry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -1,6 +1,7 @@
 """What Spark makes of the jobs: pushed filters, pruned columns, no needless or single-task shuffles."""
 
 import re
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -118,10 +119,19 @@ def test_retention_reads_sessions_once(stored):
 
 
 def test_hot_lists_are_small(stored):
-    """The list that is broadcast has fewer rows than the parts asked for, whatever the data."""
-    for parts in (5, 50, 500):
-        params = Params(cohort_start=DERIVED_PARAMS.cohort_start, skew=Skew(parts=parts, min_rows=0))
+    """The list that is broadcast has fewer rows than allowed, whatever the data, and slices follow the target."""
+    for keys in (5, 50, 500):
+        params = Params(cohort_start=DERIVED_PARAMS.cohort_start, skew=Skew(target_rows=0, max_keys=keys))
         hot = Cohort(stored, params).hot_users
-        assert hot is None or hot.count() < parts
-        if hot is not None:
-            assert hot.agg(F.max("_slices")).first()[0] <= parts
+        assert hot is None or hot.count() < keys
+
+
+def test_large_routes_read_each_table_once(stored):
+    """With hot keys and no broadcast: trips are described once, and conditions on trip_id reach the scan."""
+    params = replace(DERIVED_PARAMS, broadcast_ids=0, skew=Skew(target_rows=9))
+    cohort = Cohort(stored, params)
+    assert cohort.hot_users is not None
+    text = plan(session_base(stored, cohort, params))
+    assert len(re.findall(r"ReadSchema: struct<trip_id:bigint,origin_airport", text)) == 1
+    assert len(re.findall(r"ReadSchema: struct<trip_id:bigint,hotel_name", text)) == 1
+    assert "IsNotNull(trip_id)" in text and "IsNull(trip_id)" in text

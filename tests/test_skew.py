@@ -13,7 +13,7 @@ from roamsight.plans.segmentation import segment_users
 from roamsight.plans.sessions import session_base
 from roamsight.sources.derived import DERIVED_PARAMS
 
-EAGER = Skew(parts=20, min_rows=0)
+EAGER = Skew(target_rows=100)
 
 
 @pytest.fixture(scope="module")
@@ -34,12 +34,22 @@ def hot(facts):
     return hot_keys(weights, "k", "n", EAGER)
 
 
+def test_no_slice_exceeds_the_target(spark):
+    """A key with a small share of the rows is cut too, as soon as it has more rows than a task should get."""
+    facts = spark.range(200_000).select(F.when(F.col("id") % 2000 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
+    weights = facts.groupBy("k").agg(F.count("*").alias("n"))
+    found = hot_keys(weights, "k", "n", Skew(target_rows=30))
+    assert {r.k: r._slices for r in found.collect()} == {-1: 4}  # 100 rows, 0.05 % of all
+    joined = facts.join(found, "k").groupBy(F.pmod(F.xxhash64("row"), "_slices")).count().collect()
+    assert len(joined) == 4 and max(r["count"] for r in joined) <= 45  # by hash, so about the target
+
+
 def test_hot_keys_are_few_and_sliced_by_share(facts, hot):
-    assert {r.k: r._slices for r in hot.collect()} == {7: 10}  # half of the rows with a key, in twentieths
+    assert {r.k: r._slices for r in hot.collect()} == {7: 10}  # 1,000 rows in slices of 100
     weights = facts.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
-    for parts in (2, 7, 60):
-        found = hot_keys(weights, "k", "n", Skew(parts=parts, min_rows=0))
-        assert found is None or found.count() < parts
+    for keys in (1, 2, 7, 60):  # the list stays shorter than asked for, whatever the target
+        found = hot_keys(weights, "k", "n", Skew(target_rows=0, max_keys=keys))
+        assert found is None or found.count() < keys
     assert hot_keys(weights, "k", "n", Skew()) is None  # too few rows altogether
 
 
@@ -62,17 +72,21 @@ def test_join_sliced_spreads_the_hot_key(spark, facts, dim, hot):
 def test_join_split(facts, dim, hot):
     expected = facts.join(dim, "k", "left").where("k is null or v is not null")
     for keys in (hot, None):
-        assert rows(join_split(facts, dim, "k", keys)) == rows(expected)
+        assert rows(join_split(facts, dim, "k", "row", keys, lambda part: part)) == rows(expected)
 
 
-def test_join_split_shuffles_neither_null_nor_hot_keys(spark, facts, dim, hot):
+def test_join_split_reads_the_dimension_once_and_shuffles_no_null_keys(spark, facts, dim, hot):
     from roamsight.sources.staging import stage
 
     stored = stage(facts, "facts")
-    text = plan(join_split(stored, dim.hint("shuffle_merge"), "k", hot))
-    shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning(k" in line]
-    assert len(shuffled) == 2  # the ordinary rows and the dimension, once each
-    assert "LeftAnti" in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(join_split(stored, dim, "k", "row", hot, lambda part: part))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = [line for line in text.splitlines() if "hashpartitioning(" in line and "_slice" in line]
+    assert len(shuffled) == 2  # the rows with a key and the dimension, once each
+    assert "isnotnull(k" in text and "isnull(k" in text
 
 
 @pytest.fixture(scope="module")
@@ -96,9 +110,9 @@ def skewed(spark):
 
 ROUTES = {
     "plain": Params(min_sessions=3),
-    "hot keys": Params(min_sessions=3, skew=Skew(parts=50, min_rows=0)),
+    "hot keys": Params(min_sessions=3, skew=Skew(target_rows=6)),
     "long member list": Params(min_sessions=3, broadcast_ids=0),
-    "long member list, hot keys": Params(min_sessions=3, broadcast_ids=0, skew=Skew(parts=50, min_rows=0)),
+    "long member list, hot keys": Params(min_sessions=3, broadcast_ids=0, skew=Skew(target_rows=6)),
 }
 
 
@@ -106,7 +120,7 @@ def test_session_base_is_the_same_on_every_route(skewed):
     results = {}
     for name, params in ROUTES.items():
         cohort = Cohort(skewed, params)
-        if params.skew.min_rows == 0:
+        if params.skew.target_rows == 6:
             assert cohort.hot_users is not None and cohort.hot_trips is not None
         results[name] = rows(session_base(skewed, cohort, params))
     assert len(results["plain"]) == 300  # the unknown user's sessions are gone, and cancel nothing
@@ -126,7 +140,7 @@ def test_copies_of_one_session_are_spread(spark, broadcast_ids):
         users=[{"user_id": u} for u in range(1, 30)],
         flights=[{"trip_id": 7}],
     )
-    params = Params(min_sessions=3, broadcast_ids=broadcast_ids, skew=Skew(parts=20, min_rows=0))
+    params = Params(min_sessions=3, broadcast_ids=broadcast_ids, skew=Skew(target_rows=20))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
