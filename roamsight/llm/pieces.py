@@ -15,8 +15,11 @@ Null texts give null ids; an empty text gives no ids.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import string
+from array import array
 from dataclasses import dataclass
 
 import ahocorasick
@@ -30,8 +33,8 @@ from roamsight.llm.common import fresh, with_results
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CACHED = 200_000
-CACHED_LENGTH = 64
+CACHED = 400_000
+PASSING = 100_000
 MOST_PIECES = 1_000_000
 #: What spelling one byte costs; lower than any ordinary piece, so bytes are used where no piece fits.
 BYTE_SCORE = -1e6
@@ -39,25 +42,24 @@ BYTE_SCORE = -1e6
 RANKED = -1000
 
 
-class Cache:
-    """Solved parts: the most recent ones in two generations of bounded size."""
+class Cache(dict):
+    """Ids of solved parts, as bytes of 32-bit numbers. The first parts stay, as frequent ones come early; later ones pass through."""
 
     def __init__(self) -> None:
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        super().__init__()
+        self.passing: list[str] = []
 
-    def get(self, part: str) -> list[int] | None:
-        found = self.young.get(part)
-        if found is None:
-            found = self.old.get(part)
-            if found is not None:
-                self.put(part, found)
-        return found
+    def put(self, part: str, found: bytes) -> None:
+        self[part] = found
+        if len(self) > CACHED:
+            self.passing.append(part)
 
-    def put(self, part: str, found: list[int]) -> None:
-        if len(self.young) >= CACHED:
-            self.old, self.young = self.young, {}
-        self.young[part] = found
+    def trim(self) -> None:
+        """Between texts: forget what passed through, once it is many parts."""
+        if len(self.passing) > PASSING:
+            for part in self.passing:
+                del self[part]
+            self.passing.clear()
 
 
 @dataclass
@@ -71,20 +73,22 @@ class Vocabulary:
         self.text_of = {number: piece.replace(BLANK, " ").encode() for piece, (number, _) in self.pieces.items()}
         self.text_of |= {number: bytes([byte]) for byte, number in enumerate(self.byte_ids)}
         inside = {piece[i : i + 2] for piece in self.pieces for i in range(len(piece) - 1)}
-        before_blank = not any(pair[1] == BLANK and pair[0] != BLANK for pair in inside)
-        around_line = not any("\n" in pair for pair in inside)
-        self.cut = self._pattern(before_blank, around_line)
+        self.cut = self._pattern(inside)
         self.machine = None
 
     @staticmethod
-    def _pattern(before_blank: bool, around_line: bool) -> re.Pattern | None:
-        """Parts between places that no piece spans; they concatenate to the whole text."""
-        stop = (BLANK if before_blank else "") + ("\n" if around_line else "")
-        if not stop:
+    def _pattern(inside: set[str]) -> re.Pattern | None:
+        """Parts between places that no piece spans; they concatenate to the whole text.
+
+        A part is a line end, or blanks with what follows up to the next blank or line end. Letters are also cut from
+        a sign after them, if no piece has a letter before that sign.
+        """
+        if any(pair[1] == BLANK and pair[0] != BLANK or "\n" in pair for pair in inside):
             return None
-        line = "\n|" if around_line else ""
-        blanks = f"{BLANK}+[^{stop}]*|" if before_blank else ""
-        return re.compile(f"{line}{blanks}[^{stop}]+")
+        joined = {pair[1] for pair in inside if pair[0].isalpha()}
+        stops = "".join(sign for sign in string.punctuation + string.digits if sign not in joined)
+        letters = r"[^\W\d_]++"
+        return re.compile(rf"\n|{BLANK}*+{letters}(?=[{re.escape(stops)}{BLANK}\n]|\Z)|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
 
     def automaton(self) -> ahocorasick.Automaton:
         if self.machine is None:
@@ -102,60 +106,60 @@ class Vocabulary:
     def best(self, part: str) -> list[int]:
         """Ids of the best segmentation of a text in which every U+2581 stands for a blank."""
         n = len(part)
+        machine = self.automaton()
         score = [0.0] + [float("-inf")] * n
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        start_of, piece_of = [0] * (n + 1), [-1] * (n + 1)
         at = 0  # positions up to here have their final score
-        machine = self.automaton()
         for last, (length, number, value) in machine.iter(part) if len(machine) else ():
             while at < last:
                 if score[at + 1] < score[at] + BYTE_SCORE:
-                    self._spell(part, at, score, back)
+                    self._spell(part, at, score, start_of, piece_of)
                 at += 1
-            start = last + 1 - length
+            end = last + 1
+            start = end - length
             total = score[start] + value
-            if total > score[last + 1] or total == score[last + 1] and start < back[last + 1][0]:
-                score[last + 1] = total
-                back[last + 1] = (start, number)
+            if total > score[end] or total == score[end] and start < start_of[end]:
+                score[end], start_of[end], piece_of[end] = total, start, number
         for at in range(at, n):
-            self._spell(part, at, score, back)
+            if score[at + 1] < score[at] + BYTE_SCORE:
+                self._spell(part, at, score, start_of, piece_of)
         ids: list[int] = []
         while n:
-            start, number = back[n]
-            if number >= 0:
-                ids.append(number)
+            start = start_of[n]
+            if piece_of[n] >= 0:
+                ids.append(piece_of[n])
             else:
                 ids += [self.byte_ids[b] for b in reversed(part[start:n].replace(BLANK, " ").encode())]
             n = start
-        return ids[::-1]
+        ids.reverse()
+        return ids
 
     @staticmethod
-    def _spell(part: str, at: int, score: list[float], back: list[tuple[int, int]]) -> None:
+    def _spell(part: str, at: int, score: list[float], start_of: list[int], piece_of: list[int]) -> None:
         """The choice that each position always has: its last character in bytes."""
         total = score[at] + BYTE_SCORE * len(part[at].encode())
         if total > score[at + 1]:
-            score[at + 1] = total
-            back[at + 1] = (at, -1)
+            score[at + 1], start_of[at + 1], piece_of[at + 1] = total, at, -1
 
-    def encode(self, text: str, cache: Cache) -> list[int]:
+    def encode(self, text: str, cache: Cache) -> np.ndarray:
+        """Ids as 32-bit numbers."""
         if not text:
-            return []
-        ids: list[int] = []
-        own = [self.byte_ids[b] for b in BLANK.encode()]
+            return np.empty(0, np.int32)
+        out: list[bytes] = []
+        own = np.array([self.byte_ids[b] for b in BLANK.encode()], np.int32).tobytes()
         for i, stretch in enumerate((" " + text).split(BLANK)):  # no piece may cover a U+2581 of the text itself
             if i:
-                ids += own
+                out.append(own)
             marked = stretch.replace(" ", BLANK)
-            for part in self.cut.findall(marked) if self.cut else [marked] if marked else []:
-                found = cache.get(part)
-                if found is None:
-                    found = self.best(part)
-                    if len(part) <= CACHED_LENGTH:
-                        cache.put(part, found)
-                ids += found
-        return ids
+            parts = self.cut.findall(marked) if self.cut else [marked] if marked else []
+            for part in [p for p in set(parts) if p not in cache]:
+                cache.put(part, array("i", self.best(part)).tobytes())
+            out += map(cache.__getitem__, parts)
+            cache.trim()
+        return np.frombuffer(b"".join(out), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.text_of.__getitem__, ids))[1:].decode("utf-8")
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.text_of.__getitem__, ids.tolist()))[1:].decode("utf-8")
 
 
 def vocabulary(model: str = MODEL) -> Vocabulary:
@@ -196,7 +200,7 @@ def encoded(spark: SparkSession, text: Column, known: Vocabulary) -> Column:
         for text in texts:
             valid.append(text.is_valid)
             if text.is_valid:
-                ids = np.array(words.encode(text.as_py(), _cache), np.int32)
+                ids = words.encode(text.as_py(), _cache)
                 parts.append(ids)
                 total += len(ids)
             offsets.append(total)
@@ -207,6 +211,26 @@ def encoded(spark: SparkSession, text: Column, known: Vocabulary) -> Column:
     return encode(text)
 
 
+def checked(spark: SparkSession, text: Column, known: Vocabulary) -> Column:
+    """Number and SHA-256 of each text's ids (32-bit, little end first), and whether they decode to the text."""
+    shared = spark.sparkContext.broadcast(known)
+
+    @F.arrow_udf("struct<n_pieces:bigint,ids_sha256:string,same:boolean>")
+    def check(texts: pa.Array) -> pa.Array:
+        words = shared.value
+        out = []
+        for text in texts:
+            if not text.is_valid:
+                out.append({"n_pieces": None, "ids_sha256": None, "same": None})
+                continue
+            ids = words.encode(text.as_py(), _cache)
+            digest = hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest()
+            out.append({"n_pieces": len(ids), "ids_sha256": digest, "same": words.decode(ids) == text.as_py()})
+        return pa.array(out, pa.struct([("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("same", pa.bool_())]))
+
+    return check(text)
+
+
 def decoded(spark: SparkSession, ids: Column, known: Vocabulary) -> Column:
     """The text of each array of piece ids."""
     shared = spark.sparkContext.broadcast(known)
@@ -214,7 +238,7 @@ def decoded(spark: SparkSession, ids: Column, known: Vocabulary) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         words = shared.value
-        return pa.array([words.decode(ids.as_py()) if ids.is_valid else None for ids in lists], pa.string())
+        return pa.array([words.decode(ids.values.to_numpy()) if ids.is_valid else None for ids in lists], pa.string())
 
     return decode(ids)
 
@@ -229,6 +253,12 @@ def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text
     return with_results(docs, {text_col: decoded(docs.sparkSession, F.col(ids_col), vocabulary(model))})
 
 
+def summary(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
+    """Docs with ``n_pieces``, ``ids_sha256`` and ``same``: :func:`round_trip` where the ids themselves are not wanted."""
+    found = checked(docs.sparkSession, F.col(text_col), vocabulary(model))
+    return with_results(docs, {name: found[name] for name in ("n_pieces", "ids_sha256", "same")})
+
+
 def round_trip(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
     """Docs with ``piece_ids``, ``n_pieces`` and ``same``, whether decoding gives the text back; null where it is null."""
     back = fresh(docs, "decoded")

@@ -43,9 +43,8 @@ def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number and digest of every document's piece ids, and whether they decode to the text."""
-    done = pieces.round_trip(table(spark, folder, "documents").select("doc_id", "text"))
-    ids = F.sha2(F.array_join(F.transform("piece_ids", lambda n: n.cast("string")), " ").cast("binary"), 256)
-    return done.select("doc_id", F.col("n_pieces").cast("long"), ids.alias("ids_sha256"), "same")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.summary(docs).select("doc_id", "n_pieces", "ids_sha256", "same")
 
 
 def op6_suffix_automaton(spark: SparkSession, folder: str) -> DataFrame:
