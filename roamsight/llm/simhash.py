@@ -156,9 +156,12 @@ def similar_links(distinct: DataFrame, similarity: float) -> DataFrame:
     A Jaccard similarity s of the shingles is a cosine of 2s / (1 + s), whose angle is the expected share of differing bits.
     So many bits are beyond any ball, but some block of a wide fingerprint has at most one of them with high probability:
     each block emits its ball (odd blocks walk one bit, even ones wait). Whoever meets is linked to the smallest and to the
-    next smaller visitor, never to all, after comparing all bits.
+    next smaller visitor, never to all. ``fingerprint`` is the first number of ``bits``; it travels along, and pairs that differ
+    in more of its bits than four standard deviations over the expected share never become rows. The rest compare all bits.
     """
-    most = math.floor(64 * NUMBERS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    most = math.floor(64 * NUMBERS * share)
+    near = math.floor(64 * share + 4 * math.sqrt(64 * share * (1 - share)))
     cut = []
     for block in range(BLOCKS):
         at, shift = divmod(block * BLOCK_BITS, 64)
@@ -174,7 +177,8 @@ def similar_links(distinct: DataFrame, similarity: float) -> DataFrame:
     same = Window.partitionBy("variant").orderBy("fingerprint")
     met = sent.withColumns({"low": F.first("fingerprint").over(same), "previous": F.lag("fingerprint").over(same)})
     met = met.where("previous is not null")
-    pairs = met.select(F.col("fingerprint").alias("a"), F.explode(F.array("low", "previous")).alias("b")).distinct()
+    others = F.expr(f"filter(array(low, previous), other -> bit_count(fingerprint ^ other) <= {near})")
+    pairs = met.select(F.col("fingerprint").alias("a"), F.explode(others).alias("b")).distinct()
     left = distinct.select(F.col("fingerprint").alias("a"), F.col("bits").alias("bits_a"))
     right = distinct.select(F.col("fingerprint").alias("b"), F.col("bits").alias("bits_b"))
     differing = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(NUMBERS))
@@ -187,16 +191,16 @@ def memberships(
     """One row per row of docs: ``id``, ``digest`` of the text, ``fingerprint`` and ``component``.
 
     Without ``similarity``, fingerprints have 64 bits and all pairs within ``RADIUS`` are linked. With it, fingerprints are
-    ``NUMBERS`` times as wide (``fingerprint`` is then their digest) and see :func:`similar_links`. ``component`` holds the
+    ``NUMBERS`` times as wide, ``fingerprint`` is their first number (texts that share it are one), and
+    :func:`similar_links` links them. ``component`` holds the
     row that stays of each component: the smallest id, and among rows of that id the smallest digest. Null ids come last.
     Everything after the fingerprints works on distinct ones, however many copies they have.
     """
     bits = fingerprint(F.col(text_col), words, 1 if similarity is None else NUMBERS).alias("bits")
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), bits)
-    value = F.col("bits")[0] if similarity is None else F.xxhash64("bits")
-    narrow = stage(narrow.select("*", value.alias("fingerprint")), "fingerprints")
+    narrow = stage(narrow.select("*", F.col("bits")[0].alias("fingerprint")), "fingerprints")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
-    distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), F.first("bits").alias("bits"))
+    distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("bits").alias("bits"))
     distinct = stage(distinct, "distinct_fingerprints")
     found = links(distinct.select("fingerprint")) if similarity is None else similar_links(distinct, similarity)
     placed = distinct.join(components(found), F.col("fingerprint") == F.col("node"), "left")
