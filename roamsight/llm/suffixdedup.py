@@ -276,10 +276,12 @@ def cut(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "
         raise ValueError("keep is 'first' or 'none'")
     found = repeated_spans(docs, length, keep, id_col, text_col)
     found = found.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    of, of_digest, cuts = fresh(docs, "cut_id"), fresh(docs, "cut_digest"), fresh(docs, "cut_spans")
+    found = found.select(F.col("id").alias(of), F.col("digest").alias(of_digest), F.col("spans").alias(cuts))
     digest, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
     rows = docs.withColumn(digest, F.xxhash64(text_col))
     joined = rows.join(
-        found.hint("shuffle_hash"), rows[id_col].eqNullSafe(found["id"]) & (rows[digest] == found["digest"]), "left"
+        found.hint("shuffle_hash"), rows[id_col].eqNullSafe(F.col(of)) & (rows[digest] == F.col(of_digest)), "left"
     )
     repeat = F.lit(False)
     if keep == "first":
@@ -312,7 +314,7 @@ def cut(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "
         return pa.array(out, shape)
 
     kept = [rows[f"`{name}`"] for name in docs.columns if name.lower() != "cut"]
-    return joined.select(*kept, apply(rows[text_col], F.col("spans"), repeat).alias("cut"))
+    return joined.select(*kept, apply(rows[text_col], F.col(cuts), repeat).alias("cut"))
 
 
 def deduplicate(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
