@@ -29,7 +29,9 @@ that are equal in all columns get equal results.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+import random
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,8 @@ RADIUS = 3
 SEED = 42
 CHUNK = 1 << 14
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
-#: A wide fingerprint, and the blocks of it that are retrieved by.
-NUMBERS, BLOCKS, BLOCK_BITS = 8, 20, 24
+#: A wide fingerprint, and the keys of drawn bits that it is met by: 25 of 20 bits in each of eight rounds, 12 long ones.
+NUMBERS, ROUNDS, KEY_BITS, LONG_BITS = 8, 8, 20, 40
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -150,35 +152,79 @@ def links(distinct: DataFrame) -> DataFrame:
     return found.select(F.col("fingerprint").alias("a"), F.col("centre").alias("b")).distinct()
 
 
-def similar_links(distinct: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) of wide fingerprints (fingerprint, bits) that differ in no more bits than this similarity leaves.
+@cache
+def _orders() -> list[np.ndarray]:
+    """Fixed orders of the bits of a wide fingerprint, one per round of keys and one for the long keys."""
+    draw = random.Random(SEED)
+    return [np.array(draw.sample(range(64 * NUMBERS), 64 * NUMBERS)) for _ in range(ROUNDS + 1)]
+
+
+def _cut(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bits as rows of numbers of ``width`` bits each; a rest is left out."""
+    n = bits.shape[1] // width
+    return bits[:, : n * width].reshape(len(bits), n, width).astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
+
+
+def block_keys(bits: Column, long: bool) -> Column:
+    """Keys that a wide fingerprint is met by: ``KEY_BITS`` drawn bits each, or a few of ``LONG_BITS``, with the key's number."""
+
+    @F.arrow_udf("array<bigint>")
+    def cut(rows: pa.Array) -> pa.Array:
+        raw = rows.flatten().to_numpy(zero_copy_only=False).astype("<i8").view(np.uint8).reshape(len(rows), 8 * NUMBERS)
+        ones = np.unpackbits(raw, axis=1, bitorder="little")
+        width, orders = (LONG_BITS, _orders()[ROUNDS:]) if long else (KEY_BITS, _orders()[:ROUNDS])
+        keys = np.concatenate([_cut(ones[:, order], width) for order in orders], axis=1)
+        keys |= np.arange(keys.shape[1], dtype=np.int64) << width
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(keys.shape[1])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))
+
+    return cut(bits)
+
+
+def similar_links(distinct: DataFrame, similarity: float, confirmed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b) of wide fingerprints (fingerprint, bits) that connect all pairs that meet and are ``confirmed``.
 
     A Jaccard similarity s of the shingles is a cosine of 2s / (1 + s), whose angle is the expected share of differing bits.
-    So many bits are beyond any ball, but some block of a wide fingerprint has at most one of them with high probability:
-    each block emits its ball (odd blocks walk one bit, even ones wait). Whoever meets is linked to the smallest and to the
-    next smaller visitor, never to all. ``fingerprint`` is the first number of ``bits``; it travels along, and pairs that differ
-    in more of its bits than four standard deviations over the expected share never become rows. The rest compare all bits.
+    So many bits are beyond any ball, but among many keys of few drawn bits some are equal: at 0.8 a key of ``KEY_BITS`` = 20
+    bits is equal in one of 27 cases, and there are 200 keys. Whoever meets in a key is tested, however many they are:
+
+    1. A few long keys gather those that are very near; each is tried against the smallest of its bucket only. That
+       need not find anything, but it joins dense groups, whose pairs grow with the square.
+    2. In each short key, fingerprints of different groups are compared with each other, all of them. Pairs within a group
+       are connected already; the largest group of a bucket meets the others but not itself.
+
+    ``probe``, the first 64 bits, travels along; pairs that differ in too many of it never become rows, nor do pairs
+    that meet by chance, nearly always. The rest are confirmed once each.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most = math.floor(64 * NUMBERS * share)
-    near = math.floor(64 * share + 4 * math.sqrt(64 * share * (1 - share)))
-    cut = []
-    for block in range(BLOCKS):
-        at, shift = divmod(block * BLOCK_BITS, 64)
-        value = f"shiftrightunsigned(bits[{at}], {shift})"
-        if shift + BLOCK_BITS > 64:
-            value = f"({value} | shiftleft(bits[{at + 1}], {64 - shift}))"
-        cut.append(f"struct({block} as block, {value} & {(1 << BLOCK_BITS) - 1}L as value)")
-    blocks = distinct.select("fingerprint", F.expr(f"inline(array({', '.join(cut)}))"))
-    walked = F.expr(f"array_prepend(transform(sequence(0, {BLOCK_BITS - 1}), i -> value ^ shiftleft(1L, i)), value)")
-    variants = F.explode(F.when(F.expr("bit_count(value) % 2 = 1"), walked).otherwise(F.array("value")))
-    sent = blocks.select("fingerprint", F.col("block").cast("long").alias("block"), variants.alias("value"))
-    sent = sent.select("fingerprint", F.expr(f"(block << {BLOCK_BITS}) | value").alias("variant"))
-    same = Window.partitionBy("variant").orderBy("fingerprint")
-    met = sent.withColumns({"low": F.first("fingerprint").over(same), "previous": F.lag("fingerprint").over(same)})
-    met = met.where("previous is not null")
-    others = F.expr(f"filter(array(low, previous), other -> bit_count(fingerprint ^ other) <= {near})")
-    pairs = met.select(F.col("fingerprint").alias("a"), F.explode(others).alias("b")).distinct()
+    near = math.ceil(64 * share + 4 * math.sqrt(64 * share * (1 - share)))
+    nodes = distinct.select("fingerprint", F.col("bits")[0].alias("probe"), "bits")
+
+    dense = nodes.select("fingerprint", "probe", F.explode(block_keys(F.col("bits"), True)).alias("key"))
+    low = F.min(F.struct("fingerprint", "probe")).over(Window.partitionBy("key"))
+    dense = dense.withColumn("low", low).where("fingerprint <> low.fingerprint")
+    dense = dense.where(F.bit_count(F.col("probe").bitwiseXOR(F.col("low.probe"))) <= near)
+    dense = dense.select(F.col("fingerprint").alias("a"), F.col("low.fingerprint").alias("b")).distinct()
+    first = stage(confirmed(dense), "dense_links")
+
+    groups = stage(components(first), "dense_groups")
+    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
+    groups = groups.join(sizes, "component").select(F.col("node").alias("fingerprint"), F.col("component").alias("held"), "size")
+    sent = nodes.join(groups, "fingerprint", "left")
+    sent = sent.select("fingerprint", "probe", "held", "size", F.explode(block_keys(F.col("bits"), False)).alias("key"))
+    largest = F.max(F.struct("size", "held")).over(Window.partitionBy("key"))
+    sent = sent.withColumn("main", F.col("held").isNotNull() & (F.col("held") == largest["held"])).drop("size")
+    a = sent.where(~F.coalesce("main", F.lit(False)))
+    a = a.select(F.col("fingerprint").alias("a"), F.col("probe").alias("pa"), F.col("held").alias("ha"), F.col("key").alias("ka"))
+    b = sent.select(F.col("fingerprint").alias("b"), F.col("probe").alias("pb"), F.col("held").alias("hb"), "main", F.col("key").alias("kb"))
+    other = F.expr(f"ka = kb and (main or a < b) and coalesce(ha <> hb, true) and bit_count(pa ^ pb) <= {near}")
+    met = a.hint("merge").join(b, other).select("a", "b").distinct()
+    return first.union(confirmed(met))
+
+
+def few_differ(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) that differ in no more bits than this similarity leaves."""
+    most = math.floor(64 * NUMBERS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
     left = distinct.select(F.col("fingerprint").alias("a"), F.col("bits").alias("bits_a"))
     right = distinct.select(F.col("fingerprint").alias("b"), F.col("bits").alias("bits_b"))
     differing = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(NUMBERS))
@@ -202,7 +248,10 @@ def memberships(
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
     distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("bits").alias("bits"))
     distinct = stage(distinct, "distinct_fingerprints")
-    found = links(distinct.select("fingerprint")) if similarity is None else similar_links(distinct, similarity)
+    if similarity is None:
+        found = links(distinct.select("fingerprint"))
+    else:
+        found = similar_links(distinct, similarity, lambda pairs: few_differ(pairs, distinct, similarity))
     placed = distinct.join(components(found), F.col("fingerprint") == F.col("node"), "left")
     placed = placed.select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("group"))
     smallest = placed.groupBy("group").agg(F.min("first").alias("component"))

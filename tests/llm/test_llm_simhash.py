@@ -124,3 +124,28 @@ def test_similar_texts_are_found(make_docs):
 def test_a_large_group_of_copies_stays_one_row(spark, similarity):
     docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("the same text in every document of them all").alias("text"))
     assert [r.doc_id for r in simhash.deduplicate(docs, similarity=similarity).collect()] == [0]
+
+
+def test_all_that_meet_are_compared_however_many(spark):
+    """Strangers a quarter away from a pair crowd its buckets, before it and between its two in order; it is found all the same."""
+    random.seed(8)
+    low, high = 1 << 62, 1 << 63  # of the first number, which is signed
+
+    def flipped(value, n):
+        for place in random.sample(range(512), n):
+            value ^= 1 << place
+        return value
+
+    prints, pairs = set(), []
+    for _ in range(30):
+        one = random.getrandbits(512) | low | high
+        other = (flipped(one, 70) | low) & ~high
+        prints |= {one, other}
+        prints |= {(flipped(one, 128) | low | high) ^ random.choice((low, low | high)) for _ in range(1000)}
+        pairs.append((one, other))
+    numbers = lambda v: [n - (n >> 63 << 64) for n in (v >> 64 * i & ((1 << 64) - 1) for i in range(8))]
+    rows = [(numbers(v)[0], numbers(v)) for v in prints]
+    distinct = spark.createDataFrame(rows, "fingerprint bigint, bits array<bigint>").localCheckpoint()
+    found = simhash.similar_links(distinct, 0.8, lambda met: simhash.few_differ(met, distinct, 0.8))
+    found = {frozenset(r) for r in found.collect()}
+    assert sum(frozenset((numbers(a)[0], numbers(b)[0])) in found for a, b in pairs) >= 29
