@@ -90,6 +90,22 @@ def majority(chunks: Iterable[np.ndarray], numbers: int = 1) -> np.ndarray:
     return np.packbits(2 * ones > n, bitorder="little").view("<i8")
 
 
+def set_fingerprint(text: Column, words: int) -> Column:
+    """A digest of the set of shingles, then the wide SimHash over its members: ``1 + NUMBERS`` signed numbers."""
+
+    @F.arrow_udf("array<bigint>")
+    def hashed(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts:
+            members = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else b"", words)
+            digest = np.array([xxhash.xxh3_64_intdigest(members.tobytes())], np.uint64).view(np.int64)
+            cut = (members[at : at + CHUNK] for at in range(0, len(members), CHUNK))
+            out.append(np.concatenate([digest, majority(cut, NUMBERS)]))
+        return pa.array(out, pa.list_(pa.int64()))
+
+    return hashed(text)
+
+
 def fingerprint(text: Column, words: int, numbers: int = 1) -> Column:
     """SimHash over shingles of so many words, as an array of signed 64-bit numbers."""
 
@@ -223,35 +239,78 @@ def similar_links(distinct: DataFrame, similarity: float, confirmed: Callable[[D
 
 
 def few_differ(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) that differ in no more bits than this similarity leaves."""
-    most = math.floor(64 * NUMBERS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """Pairs (a, b) that differ in no more bits than similar ones do, four standard deviations over the largest share.
+
+    The share at a similarity is largest where a text of four shingles is a part of one of five: 3/16 at 0.8.
+    """
+    share = max(math.acos(2 * similarity / (1 + similarity)) / math.pi, 3 / 16)
+    most = math.ceil(64 * NUMBERS * share + 4 * math.sqrt(64 * NUMBERS * share * (1 - share)))
     left = distinct.select(F.col("fingerprint").alias("a"), F.col("bits").alias("bits_a"))
     right = distinct.select(F.col("fingerprint").alias("b"), F.col("bits").alias("bits_b"))
     differing = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(NUMBERS))
     return pairs.join(left, "a").join(right, "b").where(f"{differing} <= {most}").select("a", "b")
 
 
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) whose sets of shingles have this Jaccard similarity or more; ``texts`` has (fingerprint, text) of all of them."""
+
+    @F.arrow_udf("array<bigint>")
+    def shingled(rows: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t.as_buffer().to_pybytes(), words).view(np.int64) for t in rows], pa.list_(pa.int64()))
+
+    sets = stage(texts.select("fingerprint", shingled("text").alias("shingles")), "shingle_sets")
+
+    @F.arrow_udf("boolean")
+    def alike(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for one, other in zip(left, right, strict=True):
+            one, other = (side.values.to_numpy(zero_copy_only=False) for side in (one, other))
+            both = len(np.intersect1d(one, other, assume_unique=True))
+            out.append(both / (len(one) + len(other) - both) >= similarity)
+        return pa.array(out, pa.bool_())
+
+    left = sets.select(F.col("fingerprint").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("fingerprint").alias("b"), F.col("shingles").alias("of_b"))
+    return pairs.join(left, "a").join(right, "b").where(alike("of_a", "of_b")).select("a", "b")
+
+
 def memberships(
     docs: DataFrame, words: int = 5, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of docs: ``id``, ``digest`` of the text, ``fingerprint`` and ``component``.
 
-    Without ``similarity``, fingerprints have 64 bits and all pairs within ``RADIUS`` are linked. With it, fingerprints are
-    ``NUMBERS`` times as wide, ``fingerprint`` is their first number (texts that share it are one), and
-    :func:`similar_links` links them. ``component`` holds the
+    Without ``similarity``, fingerprints have 64 bits and all pairs within ``RADIUS`` are linked. With it, texts are one
+    if their sets of shingles are equal; ``fingerprint`` is a digest of the set, and SimHashes ``NUMBERS`` times as wide
+    retrieve the pairs (:func:`similar_links`) whose sets are then compared themselves (:func:`similar`). ``component`` holds the
     row that stays of each component: the smallest id, and among rows of that id the smallest digest. Null ids come last.
     Everything after the fingerprints works on distinct ones, however many copies they have.
     """
-    bits = fingerprint(F.col(text_col), words, 1 if similarity is None else NUMBERS).alias("bits")
+    bits = (fingerprint(F.col(text_col), words) if similarity is None else set_fingerprint(F.col(text_col), words)).alias("bits")
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), bits)
-    narrow = stage(narrow.select("*", F.col("bits")[0].alias("fingerprint")), "fingerprints")
+    wide = [] if similarity is None else [F.expr(f"slice(bits, 2, {NUMBERS})").alias("bits")]
+    narrow = stage(narrow.select("id", "digest", F.col("bits")[0].alias("fingerprint"), *wide), "fingerprints")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
-    distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("bits").alias("bits"))
+    distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), *[F.min("bits").alias("bits") for _ in wide])
     distinct = stage(distinct, "distinct_fingerprints")
     if similarity is None:
         found = links(distinct.select("fingerprint"))
     else:
-        found = similar_links(distinct, similarity, lambda pairs: few_differ(pairs, distinct, similarity))
+        texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
+
+        def confirmed(pairs: DataFrame) -> DataFrame:
+            pairs = stage(few_differ(pairs, distinct, similarity), "near_pairs")
+            nodes = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct()
+            named = distinct.join(nodes, "fingerprint").select("fingerprint", "first.id", "first.digest")
+            same = texts["id"].eqNullSafe(named["id"]) & (texts["digest"] == named["digest"])
+            found = texts.join(named, same).select("fingerprint", "text").dropDuplicates(["fingerprint"])
+            return similar(pairs, found, words, similarity)
+
+        found = similar_links(distinct, similarity, confirmed)
     placed = distinct.join(components(found), F.col("fingerprint") == F.col("node"), "left")
     placed = placed.select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("group"))
     smallest = placed.groupBy("group").agg(F.min("first").alias("component"))

@@ -149,3 +149,24 @@ def test_all_that_meet_are_compared_however_many(spark):
     found = simhash.similar_links(distinct, 0.8, lambda met: simhash.few_differ(met, distinct, 0.8))
     found = {frozenset(r) for r in found.collect()}
     assert sum(frozenset((numbers(a)[0], numbers(b)[0])) in found for a, b in pairs) >= 29
+
+
+def test_similarity_is_that_of_the_shingles(make_docs):
+    """Pairs right at 0.8, and below it, of long and very short texts: both directions against brute force."""
+    random.seed(9)
+    rows, new = [], lambda n: [f"w{random.getrandbits(40)}" for _ in range(n)]
+    for _ in range(60):
+        for n, changed in ((104, 10), (104, 11), (104, 12), (104, 14), (9, 1), (8, 1), (12, 2), (14, 2)):  # words, changed at the end
+            base = new(n)
+            rows.append((len(rows), " ".join(base)))
+            rows.append((len(rows), " ".join(base[: n - changed] + (new(changed) if n > 50 else []))))
+    sets = [{tuple(t.split()[a : a + 5]) for a in range(len(t.split()) - 4)} for _, t in rows]
+    component = {r.id: r.component.id for r in simhash.memberships(make_docs(rows), 5, 0.8).collect()}
+    right = missed = 0
+    for i in range(0, len(rows), 2):  # only the two of a pair share shingles
+        together = component[i] == component[i + 1]
+        if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]):
+            right, missed = right + together, missed + (not together)
+        else:
+            assert not together
+    assert right + missed == 240 and missed <= 0.04 * (right + missed)
