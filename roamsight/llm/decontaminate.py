@@ -36,7 +36,7 @@ def words(text: bytes) -> Iterator[list[bytes]]:
     at = 0
     while at < len(text):
         end = at + SLICE
-        while end < len(text) and WORD.match(text[end - 1 : end]):  # do not cut a word
+        while end < len(text) and WORD.match(text[end - 1 : end].lower()):  # do not cut a word
             end += 1
         yield WORD.findall(text[at:end].lower())
         at = end

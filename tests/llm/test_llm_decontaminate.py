@@ -102,3 +102,12 @@ def test_dirty_rows(spark, make_docs, clashing):
     assert kept == [(0, " z z z z z z z z z", extra), (1, "q ! r", extra), (1, "q ! r", extra), (3, "", extra), (4, "", extra)]
     assert decontaminate.remove(docs.limit(0), items).collect() == []
     assert decontaminate.remove(docs, items.limit(0)).count() == 6
+
+
+def test_words_of_a_long_text_in_capitals(spark, make_docs):
+    text = "ABCDEFG HIJK " * 200_000  # over 2 MiB, and both slices end within a word
+    assert [w for part in decontaminate.words(text.encode()) for w in part] == words(text)
+    item = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    kept = decontaminate.remove(make_docs([(1, f"{text}before {item.upper()} after")]), items).first()
+    assert kept.text == f"{text}before  after"
