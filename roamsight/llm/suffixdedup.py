@@ -22,6 +22,7 @@ numbered where they meet their result. Matches never cross documents. Null texts
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ from roamsight.llm.common import fresh
 from roamsight.sources.staging import stage
 
 GRAM = 128
+#: A word is eight bytes of a hash where passages are measured in words.
+WORD, WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+"), 8
 RUN = 512
 GROUP = 64
 STARTS = 1 << 15
@@ -327,3 +330,56 @@ def deduplicate(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text
 
     changed = F.when(F.col("cut.n_removed") > 0, whole_characters("cut.kept")).otherwise(F.col(text_col))
     return done.withColumn(text_col, F.when(F.col(text_col).isNotNull(), changed)).drop("cut")
+
+
+def deduplicate_words(docs: DataFrame, words: int = 51, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Docs with later copies of passages of so many words cut out, however many bytes these have; null stays null.
+
+    Words are what stands between ASCII white space. The corpus is searched as strings of word hashes, so copies may differ in
+    white space, and matches are whole words. A cut runs from the first byte of its first word to the first byte
+    of the next word that stays, or takes the white space before it at the end of a text.
+    """
+    length = words * WORD_BYTES
+
+    @F.arrow_udf("binary")
+    def hashed(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts:
+            found = WORD.findall(text.as_buffer().to_pybytes()) if text.is_valid else []
+            out.append(np.array([xxhash.xxh3_64_intdigest(w) for w in found], "<u8").tobytes())
+        return pa.array(out, pa.binary())
+
+    @F.arrow_udf("string")
+    def without(texts: pa.Array, spans_: pa.Array, again: pa.Array) -> pa.Array:
+        out = []
+        for text, pieces, copied in zip(texts, spans_.to_pylist(), again.to_pylist(), strict=True):
+            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+            places = [m.span() for m in WORD.finditer(raw)] if pieces or copied else []
+            gone = np.zeros(len(places), bool)
+            gone[:] = copied and len(places) >= words
+            for piece in pieces or ():
+                gone[-(-piece["low"] // WORD_BYTES) : piece["high"] // WORD_BYTES] = True
+            kept, at = [], 0
+            for low, high in spans(gone):
+                first = places[low][0]
+                kept.append(raw[at:first] if high < len(places) else raw[at:first].rstrip(b" \t\n\v\f\r"))
+                at = places[high][0] if high < len(places) else len(raw)
+            out.append(b"".join([*kept, raw[at:]]).decode())
+        return pa.array(out, pa.string())
+
+    of, of_digest, cuts = (fresh(docs, name) for name in ("cut_id", "cut_digest", "cut_spans"))
+    digest, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
+    narrow = docs.select(F.col(id_col).alias("id"), hashed(text_col).alias("text"))
+    narrow = stage(narrow.where(F.octet_length("text") >= length), "word_hashes")
+    found = repeated_spans(narrow, length, "first", "id", "text")
+    found = found.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    found = found.select(F.col("id").alias(of), F.col("digest").alias(of_digest), F.col("spans").alias(cuts))
+    rows = docs.withColumn(digest, F.xxhash64(hashed(text_col)))
+    joined = rows.join(
+        found.hint("shuffle_hash"), rows[id_col].eqNullSafe(F.col(of)) & (rows[digest] == F.col(of_digest)), "left"
+    )
+    order = [F.xxhash64(rows[f"`{name}`"]) for name, kind in docs.dtypes if not kind.startswith("map")]
+    joined = joined.withColumn(copy, F.row_number().over(Window.partitionBy(rows[id_col], rows[digest]).orderBy(*order)))
+    cut_ = F.col(cuts).isNotNull() | (F.col(copy) > 1)
+    left = F.when(F.col(text_col).isNotNull() & cut_, without(text_col, cuts, F.col(copy) > 1)).otherwise(F.col(text_col))
+    return joined.select(*[left.alias(c) if c == text_col else joined[f"`{c}`"] for c in docs.columns])

@@ -114,3 +114,29 @@ def test_characters_stay_whole(make_docs):
 def test_removed_counts_are_those_of_the_whole_table(make_docs, texts):
     total = suffixdedup.cut(make_docs(list(enumerate(texts))), 400, "none").agg(F.sum("cut.n_removed")).first()[0]
     assert total == sum(map(sum, marked([t.encode() for t in texts], 400, False)))
+
+
+def test_passages_in_words_go_but_for_the_first(make_docs):
+    """51 words of under 400 bytes, which no length of 400 bytes sees; 50 words stay."""
+    new = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    passage, short = new("é", 51), new("s", 50)
+    assert len(passage.encode()) < 400
+    rows = [
+        (1, f"{new('a', 80)} {passage} {new('b', 9)}"),
+        (2, f"{new('c', 9)}\n{passage.replace(' ', '  ', 3)} {new('d', 80)}"),
+        (3, f"{new('e', 30)} {short} {new('f', 30)}"),
+        (4, f"{new('g', 30)} {short} {new('h', 30)}"),
+        (5, f"{new('i', 9)} {passage}"),
+        (6, passage),
+        (7, None),
+    ]
+    docs = make_docs(rows)
+    assert {r.doc_id: r.text for r in suffixdedup.deduplicate(docs, 400).collect()} == dict(rows)
+    found = suffixdedup.deduplicate_words(docs)
+    assert found.columns == docs.columns
+    expected = dict(rows) | {2: f"{new('c', 9)}\n{new('d', 80)}", 5: new("i", 9), 6: ""}
+    assert {r.doc_id: r.text for r in found.collect()} == expected
+    again = make_docs([(8, "x " * 400), (9, "y " * 60), (9, "y " * 60)])
+    left = sorted((r.doc_id, r.text.split()) for r in suffixdedup.deduplicate_words(again).collect())
+    # a text that repeats itself keeps its first word, as with bytes; of rows that are equal only one keeps it
+    assert left == [(8, ["x"]), (9, []), (9, ["y"])]
