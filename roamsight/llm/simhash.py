@@ -28,10 +28,7 @@ that are equal in all columns get equal results.
 
 from __future__ import annotations
 
-import math
-import random
-from collections.abc import Callable, Iterable, Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +42,6 @@ from roamsight.sources.staging import stage
 RADIUS = 3
 SEED = 42
 CHUNK = 1 << 14
-_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
-#: A wide fingerprint, and the keys of drawn bits that it is met by: 25 of 20 bits in each of eight rounds, 12 long ones.
-NUMBERS, ROUNDS, KEY_BITS, LONG_BITS = 8, 8, 20, 40
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -73,47 +67,24 @@ def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
         yield np.array([digest(clean[a:b], SEED) for a, b in pairs], np.dtype("<u8"))
 
 
-def majority(chunks: Iterable[np.ndarray], numbers: int = 1) -> np.ndarray:
-    """The bits that are one in more than half of the hashes, as signed numbers; further numbers take the hash mixed anew."""
-    ones, n = np.zeros(64 * numbers, np.int64), 0
+def majority(chunks: Iterable[np.ndarray]) -> int:
+    """The bits that are one in more than half of the hashes, as a signed number."""
+    ones, n = np.zeros(64, np.int64), 0
     for hashes in chunks:
         n += len(hashes)
-        mixed = hashes[:, None] + np.arange(numbers, dtype=np.uint64) * _MIX[0]
-        if numbers > 1:
-            for multiplier in _MIX[1:]:
-                mixed[:, 1:] ^= mixed[:, 1:] >> np.uint64(31)
-                mixed[:, 1:] *= multiplier
-            mixed[:, 1:] ^= mixed[:, 1:] >> np.uint64(32)
-        bits = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8), axis=1, bitorder="little")
+        bits = np.unpackbits(hashes[:, None].view(np.uint8), axis=1, bitorder="little")
         for at in range(0, len(bits), 255):  # so many ones fit a byte
             ones += bits[at : at + 255].sum(0, dtype=np.uint8)
-    return np.packbits(2 * ones > n, bitorder="little").view("<i8")
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def set_fingerprint(text: Column, words: int) -> Column:
-    """A digest of the set of shingles, then the wide SimHash over its members: ``1 + NUMBERS`` signed numbers."""
+def fingerprint(text: Column, words: int) -> Column:
+    """SimHash over shingles of so many words, as a signed 64-bit number."""
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("bigint")
     def hashed(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts:
-            members = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else b"", words)
-            digest = np.array([xxhash.xxh3_64_intdigest(members.tobytes())], np.uint64).view(np.int64)
-            cut = (members[at : at + CHUNK] for at in range(0, len(members), CHUNK))
-            out.append(np.concatenate([digest, majority(cut, NUMBERS)]))
-        return pa.array(out, pa.list_(pa.int64()))
-
-    return hashed(text)
-
-
-def fingerprint(text: Column, words: int, numbers: int = 1) -> Column:
-    """SimHash over shingles of so many words, as an array of signed 64-bit numbers."""
-
-    @F.arrow_udf("array<bigint>")
-    def hashed(texts: pa.Array) -> pa.Array:
-        found = (majority(shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else b"", words), numbers) for t in texts)
-        values = np.concatenate(list(found)) if len(texts) else np.empty(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, numbers, dtype=np.int32)), pa.array(values))
+        found = [majority(shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else b"", words)) for t in texts]
+        return pa.array(found, pa.int64())
 
     return hashed(text)
 
@@ -168,149 +139,17 @@ def links(distinct: DataFrame) -> DataFrame:
     return found.select(F.col("fingerprint").alias("a"), F.col("centre").alias("b")).distinct()
 
 
-@cache
-def _orders() -> list[np.ndarray]:
-    """Fixed orders of the bits of a wide fingerprint, one per round of keys and one for the long keys."""
-    draw = random.Random(SEED)
-    return [np.array(draw.sample(range(64 * NUMBERS), 64 * NUMBERS)) for _ in range(ROUNDS + 1)]
-
-
-def _cut(bits: np.ndarray, width: int) -> np.ndarray:
-    """Rows of bits as rows of numbers of ``width`` bits each; a rest is left out."""
-    n = bits.shape[1] // width
-    return bits[:, : n * width].reshape(len(bits), n, width).astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
-
-
-def block_keys(bits: Column, long: bool) -> Column:
-    """Keys that a wide fingerprint is met by: ``KEY_BITS`` drawn bits each, or a few of ``LONG_BITS``, with the key's number."""
-
-    @F.arrow_udf("array<bigint>")
-    def cut(rows: pa.Array) -> pa.Array:
-        raw = rows.flatten().to_numpy(zero_copy_only=False).astype("<i8").view(np.uint8).reshape(len(rows), 8 * NUMBERS)
-        ones = np.unpackbits(raw, axis=1, bitorder="little")
-        width, orders = (LONG_BITS, _orders()[ROUNDS:]) if long else (KEY_BITS, _orders()[:ROUNDS])
-        keys = np.concatenate([_cut(ones[:, order], width) for order in orders], axis=1)
-        keys |= np.arange(keys.shape[1], dtype=np.int64) << width
-        ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(keys.shape[1])
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))
-
-    return cut(bits)
-
-
-def similar_links(distinct: DataFrame, similarity: float, confirmed: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links (a, b) of wide fingerprints (fingerprint, bits) that connect all pairs that meet and are ``confirmed``.
-
-    A Jaccard similarity s of the shingles is a cosine of 2s / (1 + s), whose angle is the expected share of differing bits.
-    So many bits are beyond any ball, but among many keys of few drawn bits some are equal: at 0.8 a key of ``KEY_BITS`` = 20
-    bits is equal in one of 27 cases, and there are 200 keys. Whoever meets in a key is tested, however many they are:
-
-    1. A few long keys gather those that are very near; each is tried against the smallest of its bucket only. That
-       need not find anything, but it joins dense groups, whose pairs grow with the square.
-    2. In each short key, fingerprints of different groups are compared with each other, all of them. Pairs within a group
-       are connected already; the largest group of a bucket meets the others but not itself.
-
-    ``probe``, the first 64 bits, travels along; pairs that differ in too many of it never become rows, nor do pairs
-    that meet by chance, nearly always. The rest are confirmed once each.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    near = math.ceil(64 * share + 4 * math.sqrt(64 * share * (1 - share)))
-    nodes = distinct.select("fingerprint", F.col("bits")[0].alias("probe"), "bits")
-
-    dense = nodes.select("fingerprint", "probe", F.explode(block_keys(F.col("bits"), True)).alias("key"))
-    low = F.min(F.struct("fingerprint", "probe")).over(Window.partitionBy("key"))
-    dense = dense.withColumn("low", low).where("fingerprint <> low.fingerprint")
-    dense = dense.where(F.bit_count(F.col("probe").bitwiseXOR(F.col("low.probe"))) <= near)
-    dense = dense.select(F.col("fingerprint").alias("a"), F.col("low.fingerprint").alias("b")).distinct()
-    first = stage(confirmed(dense), "dense_links")
-
-    groups = stage(components(first), "dense_groups")
-    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    groups = groups.join(sizes, "component").select(F.col("node").alias("fingerprint"), F.col("component").alias("held"), "size")
-    sent = nodes.join(groups, "fingerprint", "left")
-    sent = sent.select("fingerprint", "probe", "held", "size", F.explode(block_keys(F.col("bits"), False)).alias("key"))
-    largest = F.max(F.struct("size", "held")).over(Window.partitionBy("key"))
-    sent = sent.withColumn("main", F.col("held").isNotNull() & (F.col("held") == largest["held"])).drop("size")
-    a = sent.where(~F.coalesce("main", F.lit(False)))
-    a = a.select(F.col("fingerprint").alias("a"), F.col("probe").alias("pa"), F.col("held").alias("ha"), F.col("key").alias("ka"))
-    b = sent.select(F.col("fingerprint").alias("b"), F.col("probe").alias("pb"), F.col("held").alias("hb"), "main", F.col("key").alias("kb"))
-    other = F.expr(f"ka = kb and (main or a < b) and coalesce(ha <> hb, true) and bit_count(pa ^ pb) <= {near}")
-    met = a.hint("merge").join(b, other).select("a", "b").distinct()
-    return first.union(confirmed(met))
-
-
-def few_differ(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) that differ in no more bits than similar ones do, four standard deviations over the largest share.
-
-    The share at a similarity is largest where a text of four shingles is a part of one of five: 3/16 at 0.8.
-    """
-    share = max(math.acos(2 * similarity / (1 + similarity)) / math.pi, 3 / 16)
-    most = math.ceil(64 * NUMBERS * share + 4 * math.sqrt(64 * NUMBERS * share * (1 - share)))
-    left = distinct.select(F.col("fingerprint").alias("a"), F.col("bits").alias("bits_a"))
-    right = distinct.select(F.col("fingerprint").alias("b"), F.col("bits").alias("bits_b"))
-    differing = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(NUMBERS))
-    return pairs.join(left, "a").join(right, "b").where(f"{differing} <= {most}").select("a", "b")
-
-
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The distinct hashes of a text's shingles, in order."""
-    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words)]))
-
-
-def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose sets of shingles have this Jaccard similarity or more; ``texts`` has (fingerprint, text) of all of them."""
-
-    @F.arrow_udf("array<bigint>")
-    def shingled(rows: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_buffer().to_pybytes(), words).view(np.int64) for t in rows], pa.list_(pa.int64()))
-
-    sets = stage(texts.select("fingerprint", shingled("text").alias("shingles")), "shingle_sets")
-
-    @F.arrow_udf("boolean")
-    def alike(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for one, other in zip(left, right, strict=True):
-            one, other = (side.values.to_numpy(zero_copy_only=False) for side in (one, other))
-            both = len(np.intersect1d(one, other, assume_unique=True))
-            out.append(both / (len(one) + len(other) - both) >= similarity)
-        return pa.array(out, pa.bool_())
-
-    left = sets.select(F.col("fingerprint").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("fingerprint").alias("b"), F.col("shingles").alias("of_b"))
-    return pairs.join(left, "a").join(right, "b").where(alike("of_a", "of_b")).select("a", "b")
-
-
-def memberships(
-    docs: DataFrame, words: int = 5, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def memberships(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: ``id``, ``digest`` of the text, ``fingerprint`` and ``component``.
 
-    Without ``similarity``, fingerprints have 64 bits and all pairs within ``RADIUS`` are linked. With it, texts are one
-    if their sets of shingles are equal; ``fingerprint`` is a digest of the set, and SimHashes ``NUMBERS`` times as wide
-    retrieve the pairs (:func:`similar_links`) whose sets are then compared themselves (:func:`similar`). ``component`` holds the
-    row that stays of each component: the smallest id, and among rows of that id the smallest digest. Null ids come last.
-    Everything after the fingerprints works on distinct ones, however many copies they have.
+    ``component`` holds the row that stays of each component: the smallest id, and among rows of that id the smallest
+    digest. Null ids come last. Everything after the fingerprints works on distinct ones, however many copies they have.
     """
-    bits = (fingerprint(F.col(text_col), words) if similarity is None else set_fingerprint(F.col(text_col), words)).alias("bits")
-    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), bits)
-    wide = [] if similarity is None else [F.expr(f"slice(bits, 2, {NUMBERS})").alias("bits")]
-    narrow = stage(narrow.select("id", "digest", F.col("bits")[0].alias("fingerprint"), *wide), "fingerprints")
+    bits = fingerprint(F.col(text_col), words).alias("fingerprint")
+    narrow = stage(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), bits), "fingerprints")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
-    distinct = narrow.groupBy("fingerprint").agg(F.min(row).alias("first"), *[F.min("bits").alias("bits") for _ in wide])
-    distinct = stage(distinct, "distinct_fingerprints")
-    if similarity is None:
-        found = links(distinct.select("fingerprint"))
-    else:
-        texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
-
-        def confirmed(pairs: DataFrame) -> DataFrame:
-            pairs = stage(few_differ(pairs, distinct, similarity), "near_pairs")
-            nodes = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct()
-            named = distinct.join(nodes, "fingerprint").select("fingerprint", "first.id", "first.digest")
-            same = texts["id"].eqNullSafe(named["id"]) & (texts["digest"] == named["digest"])
-            found = texts.join(named, same).select("fingerprint", "text").dropDuplicates(["fingerprint"])
-            return similar(pairs, found, words, similarity)
-
-        found = similar_links(distinct, similarity, confirmed)
+    distinct = stage(narrow.groupBy("fingerprint").agg(F.min(row).alias("first")), "distinct_fingerprints")
+    found = links(distinct.select("fingerprint"))
     placed = distinct.join(components(found), F.col("fingerprint") == F.col("node"), "left")
     placed = placed.select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("group"))
     smallest = placed.groupBy("group").agg(F.min("first").alias("component"))
@@ -318,11 +157,9 @@ def memberships(
     return narrow.join(placed, "fingerprint").select("id", "digest", "fingerprint", "component")
 
 
-def deduplicate(
-    docs: DataFrame, words: int = 5, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def deduplicate(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without near-duplicates: of each component one row stays, as :func:`memberships` names it."""
-    members = memberships(docs, words, similarity, id_col, text_col)
+    members = memberships(docs, words, id_col, text_col)
     stays = members.select("component.id", "component.digest").distinct()
     same, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
     rows = docs.withColumn(same, F.xxhash64(text_col))
