@@ -12,7 +12,8 @@ from roamsight.llm.common import table, with_results
 from roamsight.sources.staging import stage
 
 WINDOW = 10
-PASSAGE_BYTES = 400
+PASSAGE_WORDS = 51
+SHINGLE_WORDS = 3
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -21,28 +22,40 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def toxic_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents that the toxicity model, trained on labelled documents, scores at its threshold or more."""
+    """Drops documents that the toxicity model, trained on labelled documents, scores at its threshold or more.
+
+    Null and empty texts have a score too. Rows without id stay; they are scored like others, but never have a label.
+    """
     model = toxicity.train(docs, table(spark, folder, "labels"))
     return toxicity.scored(docs, model).where(F.col("score") < toxicity.REJECTED).select(*docs.columns)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps one document of each group of similar ones (shingles of five words, similarity 0.8 or more)."""
-    return simhash.deduplicate(docs, words=5, similarity=0.8)
+    """Keeps one document of each group of near copies: fingerprints of shingles of three words, three bits or fewer apart.
+
+    Null, empty and blank texts share the fingerprint zero and are one group. The smallest id stays; no id comes last.
+    """
+    return simhash.deduplicate(docs, words=SHINGLE_WORDS)
 
 
 def distinct_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Cuts passages of 400 bytes or more that stood in the corpus before; texts change, rows stay."""
-    return _measured(suffixdedup.deduplicate(docs, PASSAGE_BYTES))
+    """Cuts passages of 51 words or more that stood in the corpus before; texts change, rows stay.
+
+    Null stays null. Rows without id come first in the order of the corpus; of rows equal in id and text one keeps it.
+    """
+    return _measured(suffixdedup.deduplicate_words(docs, PASSAGE_WORDS))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Cuts windows of benchmark items out of the texts; drops documents that hardly hold anything else."""
+    """Cuts windows of benchmark items out of the texts; drops documents that hardly hold anything else.
+
+    Null and empty texts hold no window and stay, as do all documents where the benchmark is empty.
+    """
     return _measured(decontaminate.remove(docs, table(spark, folder, "benchmark"), WINDOW))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Adds piece ids, their number, and whether they decode to the text."""
+    """Adds piece ids, their number, and whether they decode to the text; a null text has none."""
     return pieces.round_trip(docs)
 
 
