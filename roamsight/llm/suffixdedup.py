@@ -18,25 +18,27 @@ many times its size; only the suffixes that can match are sorted, in buckets:
 Positions are ordered by document id (nulls first), a digest of the text, and offset; rows equal in id and text are
 numbered where they meet their result. Matches never cross documents. Null texts count as empty; texts shorter than
 ``length`` are never touched.
+
+All of this holds for strings of :class:`Unit`: bytes, or words, each as a number of eight bytes. Starts, lengths and spans count
+units.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamsight.llm.common import fresh
-from roamsight.sources.staging import stage
+from roamsight.sources.staging import stage, unstage
 
-GRAM = 128
-#: A word is eight bytes of a hash where passages are measured in words.
-WORD, WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+"), 8
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 RUN = 512
 GROUP = 64
 STARTS = 1 << 15
@@ -44,17 +46,40 @@ BLOCK = 1 << 22
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """A mixed 64-bit hash of the ``GRAM`` bytes at each position, doubled from the eight bytes that fill a number."""
-    x = raw.astype(np.uint64)
-    for width in (1, 2, 4):
-        x = (x[:-width] << np.uint64(8 * width)) | x[width:]
-    width = 8
-    while width < GRAM:
+@dataclass(frozen=True)
+class Unit:
+    """What strings consist of: ``width`` bytes each; a gram has ``gram`` units, a power of two; ``code`` turns a text into units."""
+
+    width: int
+    gram: int
+    code: Callable[[bytes], bytes]
+
+
+def word_hashes(text: bytes) -> bytes:
+    """A hash of eight bytes for each word."""
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(w) for w in WORD.findall(text)], "<u8").tobytes()
+
+
+BYTES = Unit(1, 128, bytes)
+WORDS = Unit(8, 8, word_hashes)
+
+
+def gram_hashes(raw: bytes, unit: Unit = BYTES) -> np.ndarray:
+    """A mixed 64-bit hash of the gram at each unit, doubled from what fills a number: one word, or eight bytes."""
+    width = 1
+    if unit.width == 8:
+        x = np.frombuffer(raw, "<u8") * _MIX[2]
+    else:
+        x = np.frombuffer(raw, np.uint8).astype(np.uint64)
+        for width in (1, 2, 4):
+            x = (x[:-width] << np.uint64(8 * width)) | x[width:]
+        width = 8
+    while width < unit.gram:
         x = (x[:-width] * _MIX[0]) ^ ((x[width:] ^ (x[width:] >> np.uint64(29))) * _MIX[1])
         x ^= x >> np.uint64(32)
         width *= 2
-    x *= _MIX[2]
+    x = x * _MIX[2]
     return x ^ (x >> np.uint64(29))
 
 
@@ -68,26 +93,27 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def runs(text: bytes, length: int) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(first start, number of starts, smallest hash, digest of the bytes, whether the hash occurs twice) of each run.
+def runs(coded: bytes, length: int, unit: Unit = BYTES) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(first start, number of starts, smallest hash, digest of the string, whether the hash occurs twice) of each run.
 
     Long texts are worked off in overlapping blocks; a run that a block cuts is two runs, as are runs over ``RUN``.
     """
-    for base in range(0, len(text) - length + 1, BLOCK):
-        part = text[base : base + BLOCK + length - 1]
-        hashes = gram_hashes(np.frombuffer(part, np.uint8))
-        least = sliding_min(hashes, length - GRAM + 1)
+    w = unit.width
+    for base in range(0, len(coded) // w - length + 1, BLOCK):
+        part = coded[base * w : (base + BLOCK + length - 1) * w]
+        hashes = gram_hashes(part, unit)
+        least = sliding_min(hashes, length - unit.gram + 1)
         cuts = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(least)]
         values = least[cuts[:-1]].view(np.int64).tolist()
         for at, end, value in zip(cuts[:-1], cuts[1:], values, strict=True):
             for a in range(at, end, RUN):
                 n = min(RUN, end - a)
-                twice = np.count_nonzero(hashes[a : a + n + length - GRAM] == least[a]) > 1
-                digest = xxhash.xxh3_64_intdigest(part[a : a + n + length - 1])
+                twice = np.count_nonzero(hashes[a : a + n + length - unit.gram] == least[a]) > 1
+                digest = xxhash.xxh3_64_intdigest(part[a * w : (a + n + length - 1) * w])
                 yield base + a, n, value, digest - (digest >> 63 << 64), twice
 
 
-def _runs_of(schema: pa.Schema, length: int):
+def _runs_of(schema: pa.Schema, length: int, unit: Unit):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, digests, texts = batch.columns
@@ -95,7 +121,7 @@ def _runs_of(schema: pa.Schema, length: int):
                 rows, found = [], []
                 for i, text in enumerate(texts.slice(low, 256), low):
                     if text.is_valid:
-                        mine = list(runs(text.as_buffer().to_pybytes(), length))
+                        mine = list(runs(unit.code(text.as_buffer().to_pybytes()), length, unit))
                         rows += [i] * len(mine)
                         found += mine
                 if rows:
@@ -124,21 +150,22 @@ def longest_previous(lcp: list[int], position: list[int]) -> list[int]:
     return found
 
 
-def match_starts(contents: list[bytes], length: int, first: bool) -> list[np.ndarray]:
+def match_starts(contents: list[bytes], length: int, first: bool, unit: Unit = BYTES) -> list[np.ndarray]:
     """Which starts of each content have a match: earlier in the given order if ``first``, anywhere otherwise."""
-    counts = [len(c) - length + 1 for c in contents]
-    windows = [np.lib.stride_tricks.sliding_window_view(np.frombuffer(c, np.uint8), length) for c in contents]
+    counts = [len(c) // unit.width - length + 1 for c in contents]
+    long = length * unit.width
+    windows = [np.lib.stride_tricks.sliding_window_view(np.frombuffer(c, np.uint8), long)[:: unit.width] for c in contents]
     table = np.ascontiguousarray(np.concatenate(windows))
-    order = np.argsort(table.view(f"S{length}").ravel(), kind="stable")
+    order = np.argsort(table.view(f"S{long}").ravel(), kind="stable")
     table = table[order]
     differ = table[1:] != table[:-1]
-    shared = np.where(differ.any(1), differ.argmax(1), length)
+    shared = np.where(differ.any(1), differ.argmax(1), long)
     if first:
         best = np.array(longest_previous([0, *shared.tolist()], order.tolist()))
     else:
         best = np.maximum(np.concatenate([[0], shared]), np.concatenate([shared, [0]]))
     hit = np.zeros(len(table), bool)
-    hit[order] = best >= length
+    hit[order] = best >= long
     return np.split(hit, np.cumsum(counts)[:-1])
 
 
@@ -148,8 +175,8 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2], edge[1::2], strict=True))
 
 
-def _fetched(schema: pa.Schema, length: int):
-    """The bytes of small buckets' runs; of the others, each start with the 128-bit hash of its string."""
+def _fetched(schema: pa.Schema, length: int, unit: Unit):
+    """The units of small buckets' runs; of the others, each start with the 128-bit hash of its string."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,15 +184,15 @@ def _fetched(schema: pa.Schema, length: int):
                 part = batch.slice(low, 64)
                 rows, out = [], []
                 for i, (text, wanted) in enumerate(zip(part["text"], part["wanted"].to_pylist(), strict=True)):
-                    raw = text.as_buffer().to_pybytes()
+                    raw, size = unit.code(text.as_buffer().to_pybytes()), unit.width
                     for w in wanted:
                         at, n = w["at"], w["n"]
                         if not w["split"]:
-                            out.append((at, n, w["hash"], 0, raw[at : at + n + length - 1]))
+                            out.append((at, n, w["hash"], 0, raw[at * size : (at + n + length - 1) * size]))
                             rows.append(i)
                             continue
                         for a in range(at, at + n):
-                            one = xxhash.xxh3_128_intdigest(raw[a : a + length])
+                            one = xxhash.xxh3_128_intdigest(raw[a * size : (a + length) * size])
                             high, tail = one >> 64, one & ((1 << 64) - 1)
                             out.append((a, 1, high - (high >> 63 << 64), tail - (tail >> 63 << 64), None))
                             rows.append(i)
@@ -178,12 +205,12 @@ def _fetched(schema: pa.Schema, length: int):
     return emit
 
 
-def _matched(schema: pa.Schema, length: int, first: bool):
+def _matched(schema: pa.Schema, length: int, first: bool, unit: Unit):
     """Spans of matching starts, from rows sorted by bucket and position; whole buckets are taken together."""
 
     def sort(rows: list[dict]) -> pa.RecordBatch:
         out = []
-        for row, hit in zip(rows, match_starts([r["content"] for r in rows], length, first), strict=True):
+        for row, hit in zip(rows, match_starts([r["content"] for r in rows], length, first, unit), strict=True):
             out += [(row["id"], row["digest"], row["at"] + a, row["at"] + b + length - 1) for a, b in spans(hit)]
         columns = zip(*out, strict=True) if out else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -212,7 +239,7 @@ def _arrow(df: DataFrame) -> pa.Schema:
     return to_arrow_schema(df.schema)
 
 
-def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_col: str) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_col: str, unit: Unit = BYTES) -> DataFrame:
     """Spans [low, high) to remove, some of them overlapping: ``id``, ``digest`` of the text, ``low``, ``high``."""
     first = keep == "first"
     spark = docs.sparkSession
@@ -222,13 +249,14 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
     whole = texts.where(F.octet_length("text") >= length)
 
     shape = like(("at", "bigint"), ("n", "int"), ("hash", "bigint"), ("bytes", "bigint"), ("twice", "boolean"))
-    found = stage(whole.mapInArrow(_runs_of(_arrow(shape), length), shape.schema), "runs")
+    found = stage(whole.mapInArrow(_runs_of(_arrow(shape), length, unit), shape.schema), "runs")
     buckets = found.groupBy("hash").agg(
         F.count("*").alias("total"), F.min("bytes").alias("low"), F.max("bytes").alias("high"), F.max("twice").alias("twice")
     )
     mixed = (F.col("low") != F.col("high")) | F.col("twice")
     buckets = buckets.where((F.col("total") > 1) | F.col("twice")).select("hash", mixed.alias("mixed"))
     shared = stage(found.join(buckets, "hash"), "shared_runs")
+    unstage(found)
 
     position = F.struct("id", "digest", "at")
     equal = shared.groupBy("hash", "bytes").agg(
@@ -253,13 +281,13 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
         wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("digest") == F.col("wdigest"))
     ).select("id", "digest", "text", "wanted")
     shape = like(("at", "bigint"), ("n", "int"), ("hash", "bigint"), ("more", "bigint"), ("content", "binary"))
-    fetched = stage(fetched.mapInArrow(_fetched(_arrow(shape), length), shape.schema), "run_bytes")
+    fetched = stage(fetched.mapInArrow(_fetched(_arrow(shape), length, unit), shape.schema), "run_bytes")
 
     small = fetched.where("content is not null")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = small.repartition(partitions, "hash").sortWithinPartitions("hash", "id", "digest", "at")
     shape = like(("low", "bigint"), ("high", "bigint"))
-    sorted_ = small.mapInArrow(_matched(_arrow(shape), length, first), shape.schema)
+    sorted_ = small.mapInArrow(_matched(_arrow(shape), length, first, unit), shape.schema)
 
     dealt = fetched.where("content is null")
     strings = dealt.groupBy("hash", "more").agg(F.min(position).alias("first"), F.max(position).alias("last"))
@@ -267,7 +295,25 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
     if first:
         met = met.where(~position.eqNullSafe(F.col("first")))
     met = met.select("id", "digest", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
-    return copies.union(sorted_).union(met)
+    spans_ = stage(copies.union(sorted_).union(met), "repeated_spans")
+    unstage(shared, equal, fetched)
+    return spans_
+
+
+def _with_spans(docs: DataFrame, found: DataFrame, numbered: bool, id_col: str, text_col: str) -> tuple[DataFrame, str, Column]:
+    """Docs with their spans, the spans' column, and whether a row is equal to an earlier one in id and text (if ``numbered``)."""
+    found = found.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    of, of_digest, cuts = fresh(docs, "cut_id"), fresh(docs, "cut_digest"), fresh(docs, "cut_spans")
+    found = found.select(F.col("id").alias(of), F.col("digest").alias(of_digest), F.col("spans").alias(cuts))
+    digest, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
+    rows = docs.withColumn(digest, F.xxhash64(text_col))
+    same = rows[id_col].eqNullSafe(F.col(of)) & (rows[digest] == F.col(of_digest))
+    joined = rows.join(found.hint("shuffle_hash"), same, "left")
+    if not numbered:
+        return joined, cuts, F.lit(False)
+    order = [F.xxhash64(rows[f"`{name}`"]) for name, kind in docs.dtypes if not kind.startswith("map")]
+    joined = joined.withColumn(copy, F.row_number().over(Window.partitionBy(rows[id_col], rows[digest]).orderBy(*order)))
+    return joined, cuts, F.col(copy) > 1
 
 
 def cut(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,19 +324,7 @@ def cut(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     found = repeated_spans(docs, length, keep, id_col, text_col)
-    found = found.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
-    of, of_digest, cuts = fresh(docs, "cut_id"), fresh(docs, "cut_digest"), fresh(docs, "cut_spans")
-    found = found.select(F.col("id").alias(of), F.col("digest").alias(of_digest), F.col("spans").alias(cuts))
-    digest, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
-    rows = docs.withColumn(digest, F.xxhash64(text_col))
-    joined = rows.join(
-        found.hint("shuffle_hash"), rows[id_col].eqNullSafe(F.col(of)) & (rows[digest] == F.col(of_digest)), "left"
-    )
-    repeat = F.lit(False)
-    if keep == "first":
-        order = [F.xxhash64(rows[f"`{name}`"]) for name, kind in docs.dtypes if not kind.startswith("map")]
-        joined = joined.withColumn(copy, F.row_number().over(Window.partitionBy(rows[id_col], rows[digest]).orderBy(*order)))
-        repeat = F.col(copy) > 1
+    joined, cuts, repeat = _with_spans(docs, found, keep == "first", id_col, text_col)
 
     shape = pa.struct([("kept", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
 
@@ -316,8 +350,8 @@ def cut(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "
             out.append({"kept": b"".join(kept), "n_bytes": len(raw), "n_removed": removed, "n_spans": count})
         return pa.array(out, shape)
 
-    kept = [rows[f"`{name}`"] for name in docs.columns if name.lower() != "cut"]
-    return joined.select(*kept, apply(rows[text_col], F.col(cuts), repeat).alias("cut"))
+    kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() != "cut"]
+    return joined.select(*kept, apply(text_col, cuts, repeat).alias("cut"))
 
 
 def deduplicate(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -335,19 +369,11 @@ def deduplicate(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text
 def deduplicate_words(docs: DataFrame, words: int = 51, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Docs with later copies of passages of so many words cut out, however many bytes these have; null stays null.
 
-    Words are what stands between ASCII white space. The corpus is searched as strings of word hashes, so copies may differ in
-    white space, and matches are whole words. A cut runs from the first byte of its first word to the first byte
-    of the next word that stays, or takes the white space before it at the end of a text.
+    Words are what stands between ASCII white space, and the corpus is searched as strings of word hashes, so copies may
+    differ in white space. A cut runs from the first byte of its first word to the first byte of the next word that stays,
+    or takes the white space before it at the end of a text. Rows that are equal in id and text are numbered; all but one lose
+    all words if they have that many. Rows without id come first in the order of the corpus.
     """
-    length = words * WORD_BYTES
-
-    @F.arrow_udf("binary")
-    def hashed(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts:
-            found = WORD.findall(text.as_buffer().to_pybytes()) if text.is_valid else []
-            out.append(np.array([xxhash.xxh3_64_intdigest(w) for w in found], "<u8").tobytes())
-        return pa.array(out, pa.binary())
 
     @F.arrow_udf("string")
     def without(texts: pa.Array, spans_: pa.Array, again: pa.Array) -> pa.Array:
@@ -358,7 +384,7 @@ def deduplicate_words(docs: DataFrame, words: int = 51, id_col: str = "doc_id",
             gone = np.zeros(len(places), bool)
             gone[:] = copied and len(places) >= words
             for piece in pieces or ():
-                gone[-(-piece["low"] // WORD_BYTES) : piece["high"] // WORD_BYTES] = True
+                gone[piece["low"] : piece["high"]] = True
             kept, at = [], 0
             for low, high in spans(gone):
                 first = places[low][0]
@@ -367,19 +393,7 @@ def deduplicate_words(docs: DataFrame, words: int = 51, id_col: str = "doc_id",
             out.append(b"".join([*kept, raw[at:]]).decode())
         return pa.array(out, pa.string())
 
-    of, of_digest, cuts = (fresh(docs, name) for name in ("cut_id", "cut_digest", "cut_spans"))
-    digest, copy = fresh(docs, "text_digest"), fresh(docs, "copy")
-    narrow = docs.select(F.col(id_col).alias("id"), hashed(text_col).alias("text"))
-    narrow = stage(narrow.where(F.octet_length("text") >= length), "word_hashes")
-    found = repeated_spans(narrow, length, "first", "id", "text")
-    found = found.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
-    found = found.select(F.col("id").alias(of), F.col("digest").alias(of_digest), F.col("spans").alias(cuts))
-    rows = docs.withColumn(digest, F.xxhash64(hashed(text_col)))
-    joined = rows.join(
-        found.hint("shuffle_hash"), rows[id_col].eqNullSafe(F.col(of)) & (rows[digest] == F.col(of_digest)), "left"
-    )
-    order = [F.xxhash64(rows[f"`{name}`"]) for name, kind in docs.dtypes if not kind.startswith("map")]
-    joined = joined.withColumn(copy, F.row_number().over(Window.partitionBy(rows[id_col], rows[digest]).orderBy(*order)))
-    cut_ = F.col(cuts).isNotNull() | (F.col(copy) > 1)
-    left = F.when(F.col(text_col).isNotNull() & cut_, without(text_col, cuts, F.col(copy) > 1)).otherwise(F.col(text_col))
-    return joined.select(*[left.alias(c) if c == text_col else joined[f"`{c}`"] for c in docs.columns])
+    joined, cuts, copied = _with_spans(docs, repeated_spans(docs, words, "first", id_col, text_col, WORDS), True, id_col, text_col)
+    changed = F.col(text_col).isNotNull() & (F.col(cuts).isNotNull() | copied)
+    left = F.when(changed, without(text_col, cuts, copied)).otherwise(F.col(text_col))
+    return joined.select(*[left.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

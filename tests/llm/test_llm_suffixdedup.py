@@ -140,3 +140,41 @@ def test_passages_in_words_go_but_for_the_first(make_docs):
     left = sorted((r.doc_id, r.text.split()) for r in suffixdedup.deduplicate_words(again).collect())
     # a text that repeats itself keeps its first word, as with bytes; of rows that are equal only one keeps it
     assert left == [(8, ["x"]), (9, []), (9, ["y"])]
+
+
+def test_words_on_dirty_tables(make_docs, clashing):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = make_docs([(None, text), (1, text), (1, text), (2, None), (3, ""), (None, None)])
+    docs = clashing(docs, "id", "digest", "low", "high", "cut_spans", "copy")
+    found = suffixdedup.deduplicate_words(docs)
+    assert found.columns == docs.columns
+    left = sorted((r.doc_id or 0, r.text or "", r["copy"]) for r in found.collect())
+    e = "extra copy"
+    assert left == [(0, "", e), (0, text, e), (1, "", e), (1, "", e), (2, "", e), (3, "", e)]
+    assert suffixdedup.deduplicate_words(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [8, 11])
+def test_words_against_brute_force(make_docs, n):
+    """Few different words, so that windows repeat inside texts and across them in every way."""
+    rng = random.Random(n)
+    rows = []
+    for i in range(60):
+        found = [f"é{rng.randrange(40)}" for _ in range(rng.randrange(60))]
+        if rows and i % 2:
+            other = rows[rng.randrange(len(rows))][1].split()
+            a = rng.randrange(max(1, len(other)))
+            found[5:5] = other[a : a + rng.randrange(30)]
+        rows.append((i, " ".join(found + found[: rng.choice([0, 0, 20])])))
+    seen, expected = set(), {}
+    for i, text in rows:
+        found, gone = text.split(), [False] * len(text.split())
+        for a in range(len(found) - n + 1):
+            window = tuple(found[a : a + n])
+            if window in seen:
+                gone[a : a + n] = [True] * n
+            seen.add(window)
+        expected[i] = [w for w, g in zip(found, gone, strict=True) if not g]
+    left = {r.doc_id: r.text.split() for r in suffixdedup.deduplicate_words(make_docs(rows), n).collect()}
+    assert left == expected
+    assert sum(map(len, left.values())) < sum(len(t.split()) for _, t in rows)
