@@ -11,7 +11,8 @@ many times its size; only the suffixes that can match are sorted, in buckets:
    and are represented by the earliest. Long copies and passages consist of such runs, whatever their number.
 3. Where a bucket still holds different runs, mostly the two ends of a shared passage, the bytes of the representatives are
    fetched. Their starts are sorted as suffixes of ``length`` bytes; from the common prefixes of neighbours and the
-   previous and next smaller position in that order follows each start's longest previous factor.
+   previous and next smaller position in that order follows each start's longest previous factor; where no copy is to
+   stay, also its longest next factor.
 4. A bucket with over ``GROUP`` different runs (a passage in very many different surroundings) is split: its strings are dealt out
    by their own 128-bit hashes and matched where they meet, in counts combined before the shuffle.
 
@@ -160,10 +161,10 @@ def match_starts(contents: list[bytes], length: int, first: bool, unit: Unit = B
     table = table[order]
     differ = table[1:] != table[:-1]
     shared = np.where(differ.any(1), differ.argmax(1), long)
-    if first:
-        best = np.array(longest_previous([0, *shared.tolist()], order.tolist()))
-    else:
-        best = np.maximum(np.concatenate([[0], shared]), np.concatenate([shared, [0]]))
+    common, places = [0, *shared.tolist()], order.tolist()
+    best = np.array(longest_previous(common, places))
+    if not first:  # the factor that occurs later: the same array with positions counted from the end
+        best = np.maximum(best, longest_previous(common, [-at for at in places]))
     hit = np.zeros(len(table), bool)
     hit[order] = best >= long
     return np.split(hit, np.cumsum(counts)[:-1])
