@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamsight.sources.staging import stage, unstage
 
+T = TypeVar("T")
+
+#: A task has one core; what a batch has needed goes back to the system rather than to the worker's own stock.
+WORKERS = {
+    "OPENBLAS_NUM_THREADS": "1",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+}
+
+_kept: dict = {}
+
+
+def kept_by(owner: object, make: Callable[[], T]) -> T:
+    """What a worker keeps from one batch to the next. Workers outlive stages; only the last owner's is kept."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables; Arrow batches small enough for very long texts in it, workers that find this package."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
+    for name, value in WORKERS.items():
+        environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm.common import fresh, with_results
+from roamsight.llm.common import fresh, kept_by, with_results
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -186,9 +186,6 @@ def vocabulary(model: str = MODEL) -> Vocabulary:
     return Vocabulary(pieces, [byte_ids[b] for b in range(256)])
 
 
-_cache = Cache()
-
-
 def encoded(spark: SparkSession, text: Column, known: Vocabulary) -> Column:
     """Piece ids of each text as array<int>."""
     shared = spark.sparkContext.broadcast(known)
@@ -200,7 +197,7 @@ def encoded(spark: SparkSession, text: Column, known: Vocabulary) -> Column:
         for text in texts:
             valid.append(text.is_valid)
             if text.is_valid:
-                ids = words.encode(text.as_py(), _cache)
+                ids = words.encode(text.as_py(), kept_by("pieces", Cache))
                 parts.append(ids)
                 total += len(ids)
             offsets.append(total)
@@ -223,7 +220,7 @@ def checked(spark: SparkSession, text: Column, known: Vocabulary) -> Column:
             if not text.is_valid:
                 out.append({"n_pieces": None, "ids_sha256": None, "same": None})
                 continue
-            ids = words.encode(text.as_py(), _cache)
+            ids = words.encode(text.as_py(), kept_by("pieces", Cache))
             digest = hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest()
             out.append({"n_pieces": len(ids), "ids_sha256": digest, "same": words.decode(ids) == text.as_py()})
         return pa.array(out, pa.struct([("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("same", pa.bool_())]))

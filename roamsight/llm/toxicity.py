@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm.common import with_results
+from roamsight.llm.common import kept_by, with_results
 from roamsight.sources.staging import stage
 
 ORDER = 5
@@ -284,9 +284,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-_cache: dict[int, dict[str, float]] = {}
-
-
 def _evidence(spark: SparkSession, text: Column, model: Model) -> list[Column]:
     shared = spark.sparkContext.broadcast(model)
     names = (*EVIDENCE, "score")
@@ -294,12 +291,10 @@ def _evidence(spark: SparkSession, text: Column, model: Model) -> list[Column]:
     @F.arrow_udf(f"struct<{', '.join(f'{name}:double' for name in names)}>")
     def measure(texts: pa.Array) -> pa.Array:
         model = shared.value
-        if id(model) not in _cache:  # one cache per model in a worker
-            _cache.clear()
-            _cache[id(model)] = {}
+        cache = kept_by(("toxicity", id(model)), dict)
         found = np.zeros((len(texts), len(names)))
         for low in range(0, len(texts), 100):
-            evidence = model.evidence(texts.slice(low, 100).to_pylist(), _cache[id(model)])
+            evidence = model.evidence(texts.slice(low, 100).to_pylist(), cache)
             found[low : low + 100] = np.column_stack([evidence, model.score(evidence)])
         return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(column)) for column in found.T], names=list(names))
 
