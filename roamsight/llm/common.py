@@ -37,8 +37,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables; Arrow batches small enough for very long texts in it, workers that find this package."""
     environment = spark.sparkContext.environment
     environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
-    for name, value in WORKERS.items():
-        environment.setdefault(name, value)
+    for variable, value in WORKERS.items():
+        environment.setdefault(variable, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark.read.parquet(f"{folder}/{name}.parquet")
