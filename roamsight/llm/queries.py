@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm import decontaminate, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls
+from roamsight.llm import decontaminate, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls, whitening
 from roamsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,22 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "canonical_sha256", "licence", names)
 
 
+def op11_secular_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Leading whitened components of every vector, one row each."""
+    done, model = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    parts = done.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    shares = F.array(*map(F.lit, model.explained.tolist())).cast("array<double>")
+    return parts.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, "place").alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
