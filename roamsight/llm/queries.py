@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm import decontaminate, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls, whitening
+from roamsight.llm import decontaminate, hnsw, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls, whitening
 from roamsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,11 @@ def op11_secular_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every one whose id is divisible by 20."""
+    return hnsw.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
