@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamsight.llm import decontaminate, hnsw, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls, whitening
+from roamsight.llm import conversations, decontaminate, hnsw, itq, licences, pieces, sharding, simhash, suffixdedup, templates, toxicity, urls, whitening
 from roamsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,12 @@ def op12_hnsw(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op13_path_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and digest of every conversation after damage."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(conversations.damage(rows), rows)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
