@@ -101,6 +101,8 @@ _YEARLY = {
 _TEXT = {
     **{name: "session_id:i " + columns for name, columns in _SESSIONS.items()},
     "session_base": "session_id:i " + " ".join(c for n, c in _SESSIONS.items() if n != "cohort_sessions"),
+    "session_inspection": "session_id:i user_id:i " + " ".join(c for n, c in _SESSIONS.items() if n != "cohort_sessions"),
+    "user_inspection": "user_id:i " + _USER_TOTALS["user_averages"],
     "trip_status": "trip_id:i trip_status:s",
     **{name: "user_id:i " + columns for name, columns in {**_USER_TOTALS, **_FEATURES}.items()},
     "percentile_limits": _FEATURES["feature_percentile_flags"].replace(":i", ":d"),

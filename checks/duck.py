@@ -495,4 +495,9 @@ def oracle_sql() -> dict[str, str]:
     sql["retention_heatmap"] = _sql("retention_heatmap", _retention_steps(), "retention", "cohort_year_ytd = 1995")
     for name in ("trip_status", "session_base", "user_averages", "segment_summary"):
         sql[f"{name}_large"] = sql[name]  # another route to the same rows
+    for name in ("trip_status", "cohort_sessions"):
+        sql[f"{name}_laid_out"] = sql[name]
+    chosen = "user_id IN (1, 2, 4, 5, 7, 8, 10, 11, 13, 14, 16, 17, 19, 20, 22, 23, 25, 26, 28, 29)"
+    sql["session_inspection"] = _sql("session_inspection", _SESSION_STEPS, "base", chosen, flight_distance_km="round(km, 6)")
+    sql["user_inspection"] = _sql("user_inspection", to_users, "averages", chosen)
     return sql

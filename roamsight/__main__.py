@@ -1,6 +1,8 @@
-"""Run one job over stored tables: ``spark-submit run.py JOB INPUT OUTPUT`` or ``python -m roamsight JOB INPUT OUTPUT``.
+"""Run jobs over stored tables: ``spark-submit run.py JOB INPUT OUTPUT`` or ``python -m roamsight JOB INPUT OUTPUT``.
 
-INPUT holds the folders sessions, users, flights and hotels; small results are written as CSV, large ones as Parquet.
+INPUT holds the folders sessions, users, flights and hotels, or what the job ``lay-out`` has made of them (``--laid-out``); small
+results are written as CSV, large ones as Parquet. ``--also JOB`` runs further jobs over the same tables, which then share what
+they have in common; their results go to folders of their names below OUTPUT, as does that of the first.
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ from pyspark.sql import functions as F
 from roamsight.params import Params, Weights
 from roamsight.plans import kpis, retention
 from roamsight.plans.cohort import Cohort
+from roamsight.plans.inspection import inspect_averages, inspect_sessions
 from roamsight.plans.segmentation import inspect_users, segment_users
 from roamsight.plans.sessions import session_base
 from roamsight.plans.users import user_averages
+from roamsight.sources.layout import read_laid_out, write_laid_out
 from roamsight.sources.session import tune, tuned
 from roamsight.sources.sinks import write_summary_csv, write_table
 from roamsight.sources.staging import release
@@ -44,6 +48,10 @@ SUMMARIES: dict[str, Job] = {
 }
 
 
+#: Jobs that read only what bears on the users of ``--user-id``.
+INSPECTIONS = {"session-base": inspect_sessions, "user-averages": inspect_averages}
+LAY_OUT = "lay-out"
+
 _WEIGHTS = [f.name for f in fields(Weights)]
 
 
@@ -63,10 +71,17 @@ def run(
     file_format: str = "parquet",
     user_ids: Sequence[str] = (),
     text_ids: bool = False,
+    laid_out: bool = False,
+    buckets: int = 200,
 ) -> None:
-    tables = read_tables(spark, source, file_format, text_ids)
-    if job in SUMMARIES:
+    tables = read_laid_out(spark, source) if laid_out else read_tables(spark, source, file_format, text_ids)
+    if job == LAY_OUT:
+        write_laid_out(tables, target, buckets)
+    elif job in SUMMARIES:
         write_summary_csv(SUMMARIES[job](tables, params), target)
+    elif user_ids and job in INSPECTIONS:
+        ids = list(user_ids) if text_ids else [int(i) for i in user_ids]
+        write_table(INSPECTIONS[job](tables, params, ids), target)
     else:
         found = TABLES[job](tables, params)
         write_table(inspect_users(found, list(user_ids)) if user_ids else found, target)
@@ -74,10 +89,13 @@ def run(
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="roamsight", description=__doc__)
-    parser.add_argument("job", choices=[*TABLES, *SUMMARIES])
+    parser.add_argument("job", choices=[*TABLES, *SUMMARIES, LAY_OUT])
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv", "orc"], help="of the input")
+    parser.add_argument("--also", action="append", default=[], choices=[*TABLES, *SUMMARIES], help="one more job")
+    parser.add_argument("--laid-out", action="store_true", help=f"INPUT was written by {LAY_OUT}")
+    parser.add_argument("--buckets", type=int, default=200, help=f"of flights and hotels, for {LAY_OUT}")
     parser.add_argument("--cohort-start", type=date.fromisoformat, default=Params.cohort_start)
     parser.add_argument("--min-sessions", type=int, default=Params.min_sessions, help="members need more than this")
     parser.add_argument("--as-of", type=date.fromisoformat, default=Params.as_of_date, help="day on which ages count")
@@ -102,14 +120,20 @@ def main(arguments: list[str] | None = None) -> None:
         others_threshold=chosen.others_threshold,
         weights=replace(Weights(), **dict(chosen.weight)),
     )
-    if chosen.user_id and chosen.job in SUMMARIES:
+    jobs = list(dict.fromkeys([chosen.job, *chosen.also]))
+    if chosen.user_id and not TABLES.keys() >= set(jobs):
         parser.error("--user-id needs a job that returns sessions or users")
-    spark = tune(tuned(SparkSession.builder.appName(f"roamsight {chosen.job}")).getOrCreate())
-    run(spark, chosen.job, chosen.input, chosen.output, params, chosen.format, chosen.user_id, chosen.text_ids)
+    if chosen.text_ids and (chosen.laid_out or LAY_OUT in jobs):
+        parser.error("tables that are laid out have numbers as ids")
+    spark = tune(tuned(SparkSession.builder.appName(f"roamsight {' '.join(jobs)}")).getOrCreate())
+    for job in jobs:
+        target = f"{chosen.output.rstrip('/')}/{job}" if len(jobs) > 1 else chosen.output
+        options = (chosen.format, chosen.user_id, chosen.text_ids, chosen.laid_out, chosen.buckets)
+        run(spark, job, chosen.input, target, params, *options)
 
 
 def command() -> None:
-    """One job, and its staged tables removed."""
+    """The jobs, then their staged tables are removed."""
     main()
     release(SparkSession.active())
 

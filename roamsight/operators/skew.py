@@ -13,24 +13,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamsight.params import Skew
-from roamsight.sources.staging import stage
+from roamsight.sources.staging import Keep, measured
 
 _SLICE = "_slice"
 _SLICES = "_slices"
 
 
 def hot_keys(
-    weights: DataFrame, key: str, weight: str, skew: Skew, keep: Callable[[DataFrame, str], DataFrame] = stage
+    weights: DataFrame, key: str, weight: str, skew: Skew, keep: Keep = measured, total: int | None = None
 ) -> DataFrame | None:
     """Keys with more rows than the target and the number of slices to cut each into; None if there are none.
 
-    ``weights`` has one row per key. The stored list has fewer than ``skew.max_keys`` rows, see :class:`Skew`.
+    ``weights`` has one row per key, and ``total`` is the sum of the weights where the caller knows it. The stored list has
+    fewer than ``skew.max_keys`` rows, see :class:`Skew`.
     """
-    share = F.ceil(weights.agg(F.sum(weight)).scalar() / F.lit(skew.max_keys))
-    target = F.greatest(F.lit(skew.target_rows).cast("bigint"), share)
+    if total is None:
+        total = weights.agg(F.sum(weight)).first()[0] or 0
+    target = F.lit(max(skew.target_rows, -(-total // skew.max_keys))).cast("bigint")
     found = weights.where(F.col(weight) > target).select(key, F.ceil(F.col(weight) / target).cast("int").alias(_SLICES))
-    found = keep(found, "hot_keys")
-    return None if found.isEmpty() else found
+    found, size = keep(found, "hot_keys", keys=F.count(F.lit(1)))
+    return found if size["keys"] else None
 
 
 def join_sliced(facts: DataFrame, dim: DataFrame, key: str, row_id: str, hot: DataFrame | None, how: str) -> DataFrame:

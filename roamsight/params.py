@@ -74,4 +74,5 @@ class Params:
     # execution
     skew: Skew = field(default_factory=Skew)
     broadcast_ids: int = 2_000_000  # longest list of user or trip ids that may be broadcast
+    filter_words: int = 1 << 21  # of 64 bits, broadcast in place of a longer list; four ids a word let one stranger in 300 pass
     percentile_buckets: int = 4096  # counted per wanted rank and round

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamsight.functions.exprs import full_years
+from roamsight.operators.membership import filter_words, key_filter, perhaps_in
 from roamsight.operators.skew import hot_keys, join_sliced
 from roamsight.params import Params
-from roamsight.sources.staging import stage
-from roamsight.sources.tables import Tables
+from roamsight.sources.staging import Keep, done, shared
+from roamsight.sources.tables import DAY, Tables
 
 ROW_NUMBER = "_row"
 
 
 def recent_sessions(tables: Tables, params: Params) -> DataFrame:
-    return tables.sessions.where(F.col("session_start") >= F.lit(params.cohort_start.isoformat()).cast("timestamp_ntz"))
+    """Sessions from the cohort date on; of sessions that are laid out by day, earlier days are not even listed."""
+    start = params.cohort_start.isoformat()
+    recent = tables.sessions.where(F.col("session_start") >= F.lit(start).cast("timestamp_ntz"))
+    if DAY in recent.columns:
+        recent = recent.where(F.col(DAY) >= F.lit(start).cast("date")).drop(DAY)
+    return recent
 
 
 def active_users(tables: Tables, params: Params) -> DataFrame:
@@ -62,27 +67,44 @@ class Cohort:
     trip and user. Both are stored, so reading them again is cheap.
 
     ``sessions`` are the recent sessions. A member list of at most ``params.broadcast_ids`` ids is broadcast and drops
-    all other sessions at the scan; then ``members_only`` is set. A longer list is left to the joins
-    that follow, which need no extra shuffle for it. Flights and hotels are reduced to the cohort's trips the same way.
+    all other sessions at the scan; then ``members_only`` is set. For a longer list a filter of bounded size drops nearly all
+    of them at the scan (:mod:`roamsight.operators.membership`); the joins that follow drop the rest and need no extra
+    shuffle for it. Flights and hotels are reduced to the cohort's trips the same way.
+
+    What is stored is shared with other cohorts of the same tables and parameters; :meth:`close` gives it up.
     """
 
-    def __init__(self, tables: Tables, params: Params, keep: Callable[[DataFrame, str], DataFrame] = stage):
-        self._tables, self._params, self._keep = tables, params, keep
-        self._active = keep(active_users(tables, params), "active_users")
+    def __init__(self, tables: Tables, params: Params, keep: Keep = shared):
+        self._tables, self._params, self._stored, self._store = tables, params, [], keep
+        weight = F.coalesce(F.sum("cohort_sessions"), F.lit(0))
+        self._active, all_ = self._keep(active_users(tables, params), "active_users", sessions=weight)
         members = _with_age(tables.users, params).join(self._active, "user_id")
-        self.profiles = keep(members, "profiles")
-        size = self.profiles.agg(
-            F.count(F.lit(1)).alias("users"), F.coalesce(F.sum("cohort_sessions"), F.lit(0)).alias("sessions")
-        ).first()
-        self.members_only = size.users <= params.broadcast_ids
-        self._too_few_for_hot_keys = self.members_only and size.sessions <= params.skew.target_rows
+        self.profiles, size = self._keep(members, "profiles", users=F.count(F.lit(1)), sessions=weight)
+        self._users, self._weights = size["users"], (all_["sessions"], size["sessions"])
+        self.members_only = size["users"] <= params.broadcast_ids
+        self._too_few_for_hot_keys = self.members_only and size["sessions"] <= params.skew.target_rows
+
+    def _keep(self, df: DataFrame, name: str, **measures) -> tuple[DataFrame, dict]:
+        kept = self._store(df, name, **measures)
+        self._stored.append(kept[0])
+        return kept
+
+    def close(self) -> None:
+        """Results that read this cohort have been written. Tables that nobody else shares go."""
+        done(*self._stored)
+        self._stored.clear()
+
+    def _only(self, df: DataFrame, keys: DataFrame, key: str, few: bool, distinct: int) -> DataFrame:
+        """Rows whose key is among the keys: exactly these if the keys are few, else nearly only these."""
+        if few:
+            return df.join(F.broadcast(keys.select(key)), key, "left_semi")
+        words = filter_words(distinct, self._params.filter_words)
+        return perhaps_in(df, key, self._keep(key_filter(keys, key, words), f"{key}_filter")[0], words)
 
     @cached_property
     def sessions(self) -> DataFrame:
         recent = recent_sessions(self._tables, self._params)
-        if not self.members_only:
-            return recent
-        return recent.join(F.broadcast(self.profiles.select("user_id")), "user_id", "left_semi")
+        return self._only(recent, self.profiles, "user_id", self.members_only, self._users)
 
     def numbered(self, sessions: DataFrame) -> DataFrame:
         """Copies of one session share every column, so slices need a number of their own.
@@ -94,22 +116,28 @@ class Cohort:
         return sessions.withColumn(ROW_NUMBER, F.monotonically_increasing_id())
 
     @cached_property
+    def _trips(self) -> tuple[DataFrame, dict]:
+        sessions = F.coalesce(F.sum("trip_sessions"), F.lit(0))
+        return self._keep(_user_trips(self.sessions), "user_trips", rows=F.count(F.lit(1)), sessions=sessions)
+
+    @property
     def user_trips(self) -> DataFrame:
-        return self._keep(_user_trips(self.sessions), "user_trips")
+        return self._trips[0]
 
     @cached_property
     def hot_users(self) -> DataFrame | None:
         if self._too_few_for_hot_keys:
             return None
         weights = self.profiles if self.members_only else self._active
-        return hot_keys(weights, "user_id", "cohort_sessions", self._params.skew, self._keep)
+        total = self._weights[self.members_only]
+        return hot_keys(weights, "user_id", "cohort_sessions", self._params.skew, self._keep, total)
 
     @cached_property
     def hot_trips(self) -> DataFrame | None:
         if self._too_few_for_hot_keys:
             return None
         weights = self.user_trips.groupBy("trip_id").agg(F.sum("trip_sessions").alias("trip_sessions"))
-        return hot_keys(weights, "trip_id", "trip_sessions", self._params.skew, self._keep)
+        return hot_keys(weights, "trip_id", "trip_sessions", self._params.skew, self._keep, self._trips[1]["sessions"])
 
     def of_members(self, df: DataFrame, row_id: str) -> DataFrame:
         """Rows of sessions or user_trips that belong to members; ``row_id`` tells rows of one user apart."""
@@ -118,14 +146,9 @@ class Cohort:
         return join_sliced(df, self.profiles.select("user_id"), "user_id", row_id, self.hot_users, "left_semi")
 
     def of_trips(self, df: DataFrame) -> DataFrame:
-        """Flights or hotels without rows that no session of the cohort can meet, if the trips are few enough."""
-        if not self._few_trips:
-            return df
-        return df.join(F.broadcast(self.user_trips.select("trip_id")), "trip_id", "left_semi")
-
-    @cached_property
-    def _few_trips(self) -> bool:
-        return self.user_trips.count() <= self._params.broadcast_ids
+        """Flights or hotels without rows that no session of the cohort can meet."""
+        rows = self._trips[1]["rows"]
+        return self._only(df, self.user_trips, "trip_id", rows <= self._params.broadcast_ids, rows)
 
     @property
     def member_sessions(self) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamsight.functions.exprs import month_day, ratio
+from roamsight.sources.staging import shared
 from roamsight.sources.tables import Tables
 
 GROWTH = {
@@ -18,23 +21,33 @@ GROWTH = {
 _COUNTS = ("sessions", "trips_booked", "active_users", "repeat_bookers", "bookers_total", "new_users")
 
 
+def session_days(tables: Tables) -> tuple[DataFrame, date | None]:
+    """User, trip and day of every session, all that KPIs and retention read of them, and the latest day.
+
+    Stored in one pass over the sessions, which also finds the latest day; all reports of an application share the copy.
+    """
+    days = tables.sessions.select("user_id", "trip_id", F.to_date("session_start").alias("day"))
+    found, seen = shared(days, "session_days", latest=F.max("day"))
+    return found, seen["latest"]
+
+
 def ytd_cutoff(tables: Tables) -> DataFrame:
     """One row: date, month and day of the latest session."""
-    latest = F.max("session_start")
-    return tables.sessions.agg(
-        F.to_date(latest).alias("max_sess_date"), F.month(latest).alias("m"), F.dayofmonth(latest).alias("d")
-    )
+    latest = F.lit(session_days(tables)[1]).cast("date")
+    row = tables.sessions.sparkSession.range(1)
+    return row.select(latest.alias("max_sess_date"), F.month(latest).alias("m"), F.dayofmonth(latest).alias("d"))
 
 
 def up_to_cutoff(tables: Tables, day: Column) -> Column:
     """True for days up to the cutoff's month and day in their own year; 29 February needs no special case."""
-    return month_day(day) <= ytd_cutoff(tables).select(F.col("m") * 100 + F.col("d")).scalar()
+    latest = session_days(tables)[1]
+    return month_day(day) <= F.lit(latest and latest.month * 100 + latest.day).cast("int")
 
 
 def yearly_sessions(tables: Tables, ytd: bool) -> DataFrame:
-    start = F.col("session_start")
-    chosen = tables.sessions.where(up_to_cutoff(tables, start)) if ytd else tables.sessions
-    return chosen.select(F.year(start).alias("year"), "user_id", "trip_id")
+    days, day = session_days(tables)[0], F.col("day")
+    chosen = days.where(up_to_cutoff(tables, day)) if ytd else days
+    return chosen.select(F.year(day).alias("year"), "user_id", "trip_id")
 
 
 def trips_per_user_year(tables: Tables, ytd: bool = False) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,7 +12,7 @@ from roamsight.plans.cohort import Cohort
 from roamsight.plans.features import features
 from roamsight.plans.segments import assign_segments, score_users, scores_tall, summarise_segments
 from roamsight.plans.users import user_table
-from roamsight.sources.staging import stage
+from roamsight.sources.staging import Keep, shared
 from roamsight.sources.tables import Tables
 
 # what scoring reads from the user table
@@ -62,11 +61,11 @@ def stored_users(
     params: Params,
     short: bool = False,
     cohort: Cohort | None = None,
-    keep: Callable[[DataFrame, str], DataFrame] = stage,
+    keep: Keep = shared,
 ) -> DataFrame:
     """The user table, or the columns of it that scoring reads, written once."""
     users = user_table(tables, cohort or Cohort(tables, params, keep), params)
-    return keep(users.select(*SCORING_COLUMNS) if short else users, "users")
+    return keep(users.select(*SCORING_COLUMNS) if short else users, "users")[0]
 
 
 def segment_users(
@@ -74,7 +73,7 @@ def segment_users(
     params: Params,
     short: bool = False,
     cohort: Cohort | None = None,
-    keep: Callable[[DataFrame, str], DataFrame] = stage,
+    keep: Keep = shared,
 ) -> Segmentation:
     """Run the segmentation.
 

@@ -90,10 +90,10 @@ def trips(tables: Tables, cohort: Cohort) -> DataFrame:
 
     A booking only counts when the matching flight or hotel row is there.
     """
-    seen = (
-        cohort.member_trips.groupBy("trip_id")
-        .agg(*[F.bool_or(c).alias(c) for c in ("any_cancelled", "any_flight", "any_hotel")])
-    )
+    seen = cohort.member_trips
+    if tables.trip_buckets:  # the trips seen go where flights and hotels lie
+        seen = seen.repartition(tables.trip_buckets, "trip_id")
+    seen = seen.groupBy("trip_id").agg(*[F.bool_or(c).alias(c) for c in ("any_cancelled", "any_flight", "any_hotel")])
     flights = cohort.of_trips(tables.flights).join(_countries(tables), "destination", "left")
     booked = (F.col("any_flight") & F.col("trip_airline").isNotNull()) | (
         F.col("any_hotel") & F.col("hotel_name").isNotNull()

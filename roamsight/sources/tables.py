@@ -73,15 +73,21 @@ MAPPING = _schema(destination=_TEXT, destination_country=_TEXT)
 
 @dataclass(frozen=True)
 class Tables:
-    """sessions may repeat a trip; users, flights, hotels and mapping have one row per key."""
+    """sessions may repeat a trip; users, flights, hotels and mapping have one row per key.
+
+    ``trip_buckets`` is set where flights and hotels are stored in so many buckets by trip. Sessions that are laid out by
+    day have one more column, ``DAY``.
+    """
 
     sessions: DataFrame
     users: DataFrame
     flights: DataFrame
     hotels: DataFrame
     mapping: DataFrame
+    trip_buckets: int | None = None
 
 
+DAY = "session_day"
 _IDS = {"session_id", "user_id", "trip_id"}
 
 

@@ -120,3 +120,64 @@ def test_command_line_with_text_ids(spark, tables, tmp_path):
     main(["assigned", str(tmp_path / "in"), str(tmp_path / "out"), "--cohort-start", "1997-01-01", "--text-ids"])
     users = [r.user_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert users and all(u.startswith("id-") for u in users)
+
+
+def test_tables_with_the_same_plan_are_stored_once(spark, tables):
+    """Plans are told apart by what they do and read, and the last reader takes the copy along."""
+    staging.release(spark)
+    make = lambda n: tables.users.where(F.col("user_id") > n).select("user_id")
+    first, values = staging.shared(make(5), "some", n=F.count(F.lit(1)))
+    again, _ = staging.shared(make(5), "some", n=F.count(F.lit(1)))
+    other, more = staging.shared(make(6), "some", n=F.count(F.lit(1)))
+    assert again is first and other is not first and values["n"] == first.count() and more["n"] == other.count()
+    folder = staging.staging_folder(spark).removeprefix("file:")
+    assert len(os.listdir(folder)) == 2
+    staging.done(first)
+    assert again.count() == values["n"]
+    staging.done(again, spark.range(1))
+    assert len(os.listdir(folder)) == 1
+    assert staging.shared(make(5), "some", n=F.count(F.lit(1)))[0].count() == values["n"]
+    staging.release(spark)
+    assert not os.path.exists(folder) and staging.shared(make(6), "some", n=F.count(F.lit(1)))[0].count() == more["n"]
+
+
+def test_measures_of_empty_tables(spark):
+    empty = spark.range(5).where("id > 9")
+    copy, values = staging.measured(empty, "none", n=F.count(F.lit(1)), most=F.max("id"))
+    assert copy.count() == 0 and values == {"n": 0, "most": None}
+
+
+def test_a_closed_cohort_leaves_nothing(spark, tables):
+    from roamsight.plans.cohort import Cohort
+    from roamsight.sources.derived import DERIVED_PARAMS
+
+    staging.release(spark)
+    one, two = Cohort(tables, DERIVED_PARAMS), Cohort(tables, DERIVED_PARAMS)
+    folder = staging.staging_folder(spark).removeprefix("file:")
+    assert one.user_trips is two.user_trips and len(os.listdir(folder)) == 3
+    one.close()
+    assert two.profiles.count() and len(os.listdir(folder)) == 3
+    two.close()
+    assert os.listdir(folder) == []
+
+
+def test_command_line_over_laid_out_tables(spark, tables, tmp_path):
+    from roamsight.__main__ import main
+
+    source, days = tmp_path / "in", str(tmp_path / "days")
+    for name in ("sessions", "users", "flights", "hotels"):
+        getattr(tables, name).write.parquet(str(source / name))
+    dates = ["--cohort-start", "1997-01-01", "--as-of", "2001-12-31", "--cohort-year", "1995"]
+    main(["lay-out", str(source), days, "--buckets", "3"])
+    both = ["--also", "user-averages", "--also", "kpi-ytd"]
+    main(["session-base", str(source), str(tmp_path / "plain"), *dates, *both])
+    main(["session-base", days, str(tmp_path / "laid"), *dates, *both, "--laid-out"])
+    for job in ("session-base", "user-averages"):
+        assert rows(spark.read.parquet(str(tmp_path / "laid" / job))) == rows(spark.read.parquet(str(tmp_path / "plain" / job)))
+    assert os.listdir(tmp_path / "laid" / "kpi-ytd")
+    main(["session-base", days, str(tmp_path / "one"), *dates, "--laid-out", "--user-id", "1", "--user-id", "4"])
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert rows(one) == rows(spark.read.parquet(str(tmp_path / "plain" / "session-base")).where("user_id in (1, 4)"))
+    for wrong in (["session-base", "--laid-out", "--text-ids"], ["user-averages", "--also", "kpi-ytd", "--user-id", "1"]):
+        with pytest.raises(SystemExit):
+            main([wrong[0], days, str(tmp_path / "wrong"), *wrong[1:]])

@@ -143,3 +143,19 @@ def test_counts_per_year(calendar):
 def test_retention_by_first_year(calendar):
     found = [tuple(r)[:5] for r in retention_heatmap(calendar, 2020).collect()]
     assert found == [("active", 2020, 2020, 1, 1), ("active", 2020, 2024, 1, 1), ("booker", 2020, 2020, 1, 1)]
+
+
+def test_years_beyond_the_bitmap_are_refused(spark):
+    from datetime import datetime
+
+    from pyspark.errors import PySparkException
+
+    from helpers import make_tables
+
+    edge = [{"session_id": 1, "user_id": 1, "session_start": datetime(1980, 1, 1)}, {"session_id": 2, "user_id": 1, "session_start": datetime(2042, 1, 1)}]
+    found = {tuple(r)[:5] for r in retention(make_tables(spark, sessions=edge)).collect()}
+    assert ("active", 1980, 2042, 1, 1) in found
+    for year in (1979, 2043):
+        wrong = make_tables(spark, sessions=[{"session_id": 1, "user_id": 1, "session_start": datetime(year, 1, 1)}])
+        with pytest.raises(PySparkException, match=f"year outside 1980 to 2042: {year}"):
+            retention(wrong).collect()
