@@ -1,5 +1,8 @@
+import textwrap
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from roamsight.llm import licences
 from roamsight.llm.common import table
@@ -36,6 +39,44 @@ def test_lines(make_docs, known):
     assert {r.doc_id: (r.licence, r.line_licences) for r in rows} == {1: (None, ["Apache-2.0", "MIT"]), 2: (None, ["Apache-2.0", "MIT"]), 3: (None, [])}
 
 
+TEXTS = [(name, text) for name, text in KNOWN if len(text) > 200]
+
+
+def test_known_texts_in_any_wrapping(make_docs, known):
+    """Also on one line, and behind names of holders there or on lines of their own."""
+    forms, expected = [], []
+    for name, text in TEXTS:
+        words = " ".join(text.split())
+        made = ["\n".join(textwrap.wrap(words, width, break_long_words=False)) for width in (40, 80, 1000)]
+        made += [f"© 2020 A. B. <a@b.c>\n{text}", f"Copyright 2019, 2020 The A Authors\nCopyright © B\nAll rights reserved.\n\n{text}"]
+        if any(words.lower().startswith(opening) for opening in licences.OPENINGS):
+            made.append(f"Copyright (c) 2020-2024 Some One, Inc. All rights reserved. {words}")
+        forms += made
+        expected += [name] * len(made)
+    rows = {r.doc_id: r.licence for r in licences.scan(make_docs(list(enumerate(forms))), known).collect()}
+    assert [rows[i] for i in range(len(forms))] == expected
+
+
+def test_no_line_may_be_missing(make_docs, known):
+    """A text without one of its lines is another text."""
+    forms, kinds = [], []
+    for name, text in TEXTS:
+        lines = text.split("\n")
+        for i, line in enumerate(lines):
+            if line and i:
+                forms.append("\n".join(lines[:i] + lines[i + 1 :]))
+                kinds.append(name)
+    rows = {r.doc_id: r.licence for r in licences.scan(make_docs(list(enumerate(forms))), known).collect()}
+    assert [(kinds[i], rows[i]) for i in rows if rows[i]] == [("ISC", "0BSD")]  # which is just that
+
+
+def test_sentences_about_holders_stay(spark):
+    texts = ["copyright holders be liable", "the above copyright notice", "copyright owner 2020", "(c) you must retain", "copyright 2020 name", "x © y\nz", "(c) 1999 q\nr"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r.i: r.c for r in frame.select("i", licences.canonical(F.col("t")).alias("c")).collect()}
+    assert [found[i] for i in range(len(texts))] == ["copyright holders be liable", "the above copyright notice", "copyright holder 2020", "c you must retain", "", "x z", "r"]
+
+
 def test_dirty_rows(make_docs, known, clashing, monkeypatch):
     docs = make_docs([(1, None), (2, ""), (2, ""), (None, MIT), (None, MIT), (5, "...\n©"), (6, "licence " * 50_000)])
     docs = clashing(docs, "digest", "licence", "found", "key", "id", "known_licence", "known_digest")
@@ -64,7 +105,8 @@ def test_registered_query_against_sql(spark, sf_dir):
 
 
 def test_known_texts_and_sql_agree(make_docs, spark, tmp_path, known):
-    docs = make_docs([(i, text) for i, (_, text) in enumerate(KNOWN)])
+    more = ["Copyright (c) 2020 A Permission to use", "(c) you", "copyright 2020", "a\n© b\nc all rights reserved.", "Copyright, 1999 ©\n", "É ©x"]
+    docs = make_docs([(i, text) for i, text in enumerate([text for _, text in KNOWN] + more)])
     docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
     db = duckdb.connect()
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/docs/*.parquet'")
