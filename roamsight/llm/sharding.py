@@ -37,9 +37,13 @@ class Shard:
     weight: float = 1.0
 
 
-def tree(shards: int, region: int = 8, rack: int = 4) -> list[Shard]:
-    """A first cluster: shards of equal weight, so many per region and per rack."""
-    return [Shard(i // region, i % region // rack, i) for i in range(shards)]
+def tree(shards: int, region: int = 8, rack: int = 4, start: int = 16) -> list[Shard]:
+    """A cluster of shards of equal weight: up to ``start`` of them, so many per region and per rack, then :func:`grown`.
+
+    From ``start`` on, the tree with one more shard is therefore the grown tree.
+    """
+    nodes = [Shard(i // region, i % region // rack, i) for i in range(min(shards, start))]
+    return grown(nodes, shards - start) if shards > start else nodes
 
 
 def grown(nodes: list[Shard], shards: int = 1, weight: float = 1.0) -> list[Shard]:

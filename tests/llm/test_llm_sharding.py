@@ -61,13 +61,23 @@ def test_a_changed_weight_moves_rows_only_to_its_subtree(spark):
 
 @pytest.mark.parametrize("n", [1, 5, 16, 17])
 def test_one_more_shard_only_takes_rows(spark, n):
-    nodes = sharding.tree(n) if n < 17 else sharding.grown(sharding.tree(16))
+    nodes = sharding.tree(n)
     a, b = shards(spark, 4000, nodes), shards(spark, 4000, sharding.grown(nodes))
     assert all(b[i] in (a[i], n) for i in a)
     assert sum(b[i] == n for i in b) == pytest.approx(4000 / (n + 1), rel=0.2)
     assert sum(a[i] != b[i] for i in a) == sum(b[i] == n for i in b)
 
 
+def test_every_tree_beyond_the_first_is_grown(spark):
+    assert all(sharding.tree(n + 1) == sharding.grown(sharding.tree(n)) for n in range(16, 40))
+    assert all(len({s.shard for s in sharding.tree(n)}) == n for n in range(1, 41))
+    sizes = (16, 17, 18, 24, 25)
+    trees = [sharding.placed(F.col("id"), sharding.tree(n)).alias(f"t{n}") for n in sizes]
+    for r in spark.range(2000).select(*trees).collect():
+        for a, b in zip(sizes, sizes[1:], strict=False):
+            assert r[f"t{b}"] == r[f"t{a}"] or r[f"t{b}"] >= a
+
+
 def test_registered_query(spark, sf_dir):
     docs = {r.doc_id: r.text or "" for r in table(spark, sf_dir, "documents").collect()}
     rows = op4_hash_tree(spark, sf_dir).collect()
