@@ -65,7 +65,10 @@ MARKED = re.compile(
 )
 #: These name the head of the page outside the article, and the article's own heading inside.
 HEADS = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-]|\d)", re.IGNORECASE)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"[>\"']")
+#: Words that name adverts also on elements inside a block, where the others may name what a link is about.
+ADVERT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*)(?:$|[\s_-]|\d)", re.IGNORECASE)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 WHITE = re.compile(r"\s+")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
@@ -89,6 +92,58 @@ class Page:
     tokens: list[str] = field(default_factory=list)
 
 
+class Scanner:
+    """Finds comments, declarations and tags from left to right, in time that grows with the text however broken it is.
+
+    A tag ends at the first > outside of quotes. Where none follows, its < is text. Quotes that such a search has
+    passed lead nowhere, so a later search that comes upon one of them ends there.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.last = text, text.rfind(">")
+        self.nowhere: set[int] = set()
+        self.missing: dict[str, int] = {}
+
+    def _quote_end(self, quote: str, at: int) -> int:
+        if at >= self.missing.get(quote, len(self.text)):
+            return -1
+        end = self.text.find(quote, at)
+        if end < 0:
+            self.missing[quote] = at
+        return end
+
+    def _tag_end(self, at: int) -> int:
+        passed = []
+        while at <= self.last:
+            stop = STOP.search(self.text, at)
+            if stop[0] == ">":
+                return stop.start()
+            if stop.start() in self.nowhere:
+                break
+            passed.append(stop.start())
+            end = self._quote_end(stop[0], stop.end())
+            if end < 0:
+                break
+            at = end + 1
+        self.nowhere.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str | None, str]:
+        """(start, end, name of a tag or None, its attributes) of the next of them; start is -1 if there is none."""
+        text = self.text
+        while (start := text.find("<", at)) >= 0:
+            if text.startswith("<!--", start):
+                end = text.find("-->", start + 4)
+                return start, len(text) if end < 0 else end + 3, None, ""
+            if text[start + 1 : start + 2] in ("!", "?") and start < self.last:
+                return start, text.find(">", start) + 1, None, ""
+            tag = TAG.match(text, start)
+            if tag and (end := self._tag_end(tag.end())) >= 0:
+                return start, end + 1, tag[1], text[tag.end() : end]
+            at = start + 1
+        return -1, len(text), None, ""
+
+
 def parse(text: str) -> Page:
     """Blocks and tokens of one page in a single pass."""
     page = Page()
@@ -105,22 +160,33 @@ def parse(text: str) -> Page:
                 if len(block) <= LONGEST_CONSTANT:
                     page.tokens.append(f"{top.path}#{block}")
 
-    at = 0
+    scanner, at = Scanner(text), 0
+    advert, inside = "", 0  # an open advert inside a block, and how many elements of its name are open
     while True:
-        match = TOKEN.search(text, at)
-        if match is None:
-            pieces.append(text[at:])
+        start, end, tag, attributes = scanner.next(at)
+        if start < 0:
+            if not advert:
+                pieces.append(text[at:])
             break
-        pieces.append(text[at : match.start()])
-        at = match.end()
-        if match[1] is None:
+        if not advert:
+            pieces.append(text[at:start])
+        at = end
+        if tag is None:
             continue
-        name, attributes = match[1].lower(), match[2]
-        closing = text[match.start() + 1] == "/"
+        name = tag.lower()
+        closing = text[start + 1] == "/"
         if name in INLINE:
-            if name == "br":
+            if name == "br" and not advert:
                 pieces.append(" ")
+            elif advert:
+                inside += (name == advert) * (-1 if closing else 1)
+                advert = advert if inside else ""
+            elif not closing and name not in VOID and not attributes.endswith("/"):
+                named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes))
+                if ADVERT.search(named) or HIDDEN.search(attributes):
+                    advert, inside = name, 1
             continue
+        advert = ""  # a new block ends it
         end_block()
         if closing:
             for depth in range(len(stack) - 1, 0, -1):

@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -24,6 +26,9 @@ SHAPE = "page_id bigint, url string, html string"
         ("<nav>only a menu", ""),
         ("<script>never closed", ""),
         ("a < b &amp; c", "a < b & c"),
+        ("<p>a <span class='ad'>no <span>no</span> no</span>b <b class=adage>c</b><i hidden>no</p><p>d", "a b c d"),
+        ("<p>a <a b=\"c", 'a <a b="c'),
+        ("<p>a<!b<p c='>'>d", "a'>d"),
         ("", ""),
     ],
 )
@@ -76,3 +81,23 @@ def test_registered_query_against_the_marked_article(spark, sf_dir):
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"</?b>", "", b).replace("<br>", " "))).strip() for b in re.split(r"</?(?:p|h\d)\b[^>]*>", inside)]
         assert rows[r.page_id].text == " ".join(b for b in blocks if b)
         assert rows[r.page_id].n_chars == len(rows[r.page_id].text) and rows[r.page_id].url == r.url
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<p title="x ', "<p title='x\" ", "<!", "<!--", "<", "</", "<a b=\">", "&", "<p>", "<b class=ad>", "<x '\""])
+def test_long_broken_pages(piece):
+    """Two megabytes of what never ends; time has to grow with the text alone."""
+    start = time.perf_counter()
+    templates.main_text(piece * (2_000_000 // len(piece)), set())
+    assert time.perf_counter() - start < 20
+
+
+def test_scanner_against_a_plain_search():
+    rng = random.Random(3)
+    plain = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+    for _ in range(3000):
+        text = "".join(rng.choice(["<", ">", '"', "'", "a", " ", "/", "!", "-", "<a ", "<!--", "-->", "="]) for _ in range(rng.randrange(25)))
+        scanner, at, found = templates.Scanner(text), 0, []
+        while (one := scanner.next(at))[0] >= 0:
+            found.append(one)
+            at = one[1]
+        assert found == [(m.start(), m.end(), m[1], m[2] or "") for m in plain.finditer(text)]
