@@ -13,8 +13,10 @@ many times its size; only the suffixes that can match are sorted, in buckets:
    fetched. Their starts are sorted as suffixes of ``length`` bytes; from the common prefixes of neighbours and the
    previous and next smaller position in that order follows each start's longest previous factor; where no copy is to
    stay, also its longest next factor.
-4. A bucket with over ``GROUP`` different runs (a passage in very many different surroundings) is split: its strings are dealt out
-   by their own 128-bit hashes and matched where they meet, in counts combined before the shuffle.
+4. A bucket with over ``GROUP`` different runs (a passage in very many different surroundings) is split: its runs are cut at
+   starts that the hash of their string picks, one in ``PIECE``, so that inside the passage all are cut alike. Equal pieces
+   are copies as a whole; only of different ones, mostly one at either end of the passage, the strings are dealt out by their
+   128-bit hashes and matched where they meet. Both are counts combined before the shuffle.
 
 Positions are ordered by document id (nulls first), a digest of the text, and offset; rows equal in id and text are
 numbered where they meet their result. Matches never cross documents. Null texts count as empty; texts shorter than
@@ -42,6 +44,7 @@ from roamsight.sources.staging import stage, unstage
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 RUN = 512
 GROUP = 64
+PIECE = 8
 STARTS = 1 << 15
 BLOCK = 1 << 22
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
@@ -177,7 +180,11 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _fetched(schema: pa.Schema, length: int, unit: Unit):
-    """The units of small buckets' runs; of the others, each start with the 128-bit hash of its string."""
+    """The units of small buckets' runs; the others cut into pieces, each with its digest and the 128-bit hashes of its strings."""
+
+    def signed(value: int) -> tuple[int, int]:
+        high, tail = value >> 64, value & ((1 << 64) - 1)
+        return high - (high >> 63 << 64), tail - (tail >> 63 << 64)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,13 +196,15 @@ def _fetched(schema: pa.Schema, length: int, unit: Unit):
                     for w in wanted:
                         at, n = w["at"], w["n"]
                         if not w["split"]:
-                            out.append((at, n, w["hash"], 0, raw[at * size : (at + n + length - 1) * size]))
+                            out.append((at, n, w["hash"], 0, raw[at * size : (at + n + length - 1) * size], None))
                             rows.append(i)
                             continue
-                        for a in range(at, at + n):
-                            one = xxhash.xxh3_128_intdigest(raw[a * size : (a + length) * size])
-                            high, tail = one >> 64, one & ((1 << 64) - 1)
-                            out.append((a, 1, high - (high >> 63 << 64), tail - (tail >> 63 << 64), None))
+                        strings = [xxhash.xxh3_128_intdigest(raw[a * size : (a + length) * size]) for a in range(at, at + n)]
+                        starts = [j for j, one in enumerate(strings) if not j or one % PIECE == 0]
+                        for low_, high_ in zip(starts, [*starts[1:], n], strict=True):
+                            piece = xxhash.xxh3_128_intdigest(raw[(at + low_) * size : (at + high_ + length - 1) * size])
+                            mine = [dict(zip(("hash", "more"), signed(one), strict=True)) for one in strings[low_:high_]]
+                            out.append((at + low_, high_ - low_, *signed(piece), None, mine))
                             rows.append(i)
                 if rows:
                     picked = pa.array(rows, pa.int64())
@@ -281,23 +290,32 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
     fetched = whole.join(
         wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("digest") == F.col("wdigest"))
     ).select("id", "digest", "text", "wanted")
-    shape = like(("at", "bigint"), ("n", "int"), ("hash", "bigint"), ("more", "bigint"), ("content", "binary"))
+    strings = "array<struct<hash:bigint,more:bigint>>"
+    shape = like(("at", "bigint"), ("n", "int"), ("hash", "bigint"), ("more", "bigint"), ("content", "binary"), ("strings", strings))
     fetched = stage(fetched.mapInArrow(_fetched(_arrow(shape), length, unit), shape.schema), "run_bytes")
 
-    small = fetched.where("content is not null")
+    small = fetched.where("content is not null").drop("strings")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = small.repartition(partitions, "hash").sortWithinPartitions("hash", "id", "digest", "at")
     shape = like(("low", "bigint"), ("high", "bigint"))
     sorted_ = small.mapInArrow(_matched(_arrow(shape), length, first, unit), shape.schema)
 
-    dealt = fetched.where("content is null")
+    pieces = fetched.where("content is null")
+    alike = pieces.groupBy("hash", "more").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.first("strings").alias("strings"))
+    alike = stage(alike, "equal_pieces")
+    again = pieces.drop("strings").join(alike.where("first <> last").select("hash", "more", "first"), ["hash", "more"])
+    if first:
+        again = again.where(~position.eqNullSafe(F.col("first")))
+    again = again.select("id", "digest", F.col("at").alias("low"), end.alias("high"))
+    dealt = alike.select("first.*", F.posexplode("strings").alias("nth", "string"))
+    dealt = dealt.select("id", "digest", (F.col("at") + F.col("nth")).alias("at"), "string.*")
     strings = dealt.groupBy("hash", "more").agg(F.min(position).alias("first"), F.max(position).alias("last"))
     met = dealt.join(strings.where("first <> last"), ["hash", "more"])
     if first:
         met = met.where(~position.eqNullSafe(F.col("first")))
     met = met.select("id", "digest", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
-    spans_ = stage(copies.union(sorted_).union(met), "repeated_spans")
-    unstage(shared, equal, fetched)
+    spans_ = stage(copies.union(sorted_).union(again).union(met), "repeated_spans")
+    unstage(shared, equal, fetched, alike)
     return spans_
 
 

@@ -178,3 +178,21 @@ def test_words_against_brute_force(make_docs, n):
     left = {r.doc_id: r.text.split() for r in suffixdedup.deduplicate_words(make_docs(rows), n).collect()}
     assert left == expected
     assert sum(map(len, left.values())) < sum(len(t.split()) for _, t in rows)
+
+
+@pytest.mark.parametrize("keep", ["first", "none"])
+def test_a_passage_in_many_surroundings(make_docs, monkeypatch, keep):
+    """Crowded buckets, whose runs are cut into pieces."""
+    monkeypatch.setattr(suffixdedup, "GROUP", 3)
+    rng = random.Random(12)
+    new = lambda n: " ".join(f"{rng.randrange(10**9)}" for _ in range(n))
+    passage, other = new(70), new(30)
+    texts = [f"{new(rng.randrange(20))} {passage} {new(rng.randrange(20))}" for _ in range(25)]
+    texts += [f"{new(5)} {passage[200:]} {new(5)}" for _ in range(8)] + [f"{new(9)} {other} {passage[:480]} {new(9)}" for _ in range(8)]
+    texts += [texts[0], texts[30]]
+    docs = make_docs(list(enumerate(texts)))
+    gone = marked([t.encode() for t in texts], 400, keep == "first")
+    found = {r.doc_id: r.cut for r in suffixdedup.cut(docs, 400, keep).collect()}
+    for i, text in enumerate(texts):
+        assert found[i].n_removed == sum(gone[i])
+        assert bytes(found[i].kept) == bytes(b for b, g in zip(text.encode(), gone[i], strict=True) if not g)
