@@ -33,8 +33,8 @@ from roamsight.llm.common import fresh, kept_by, with_results
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CACHED = 400_000
-PASSING = 100_000
+CACHED = 150_000
+PASSING = 50_000
 MOST_PIECES = 1_000_000
 #: What spelling one byte costs; lower than any ordinary piece, so bytes are used where no piece fits.
 BYTE_SCORE = -1e6
