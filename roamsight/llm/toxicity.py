@@ -12,38 +12,51 @@ which given evidence means toxic is a logistic curve, fitted on labelled documen
 from rows whose crc32(id) mod 4 is 0 or 1, the curve from at most ``CURVE_ROWS`` rows of remainder 3 (chosen by a hash of
 the id), and remainder 2 is held out from everything. Labels, language, source and id are never inputs of a score.
 
-Counting is a grouped sum per word, then per letter sequence, both combined before the shuffle. What scoring needs goes to the
-workers as two sorted arrays: sequences and contexts that make up at least ``SHARE`` = 2**-19 of a class. At most 2 / SHARE
-entries can do so, whatever the size of the corpus; rarer ones get the shared backoff. Every word of every text is
-scored, longer words in parts of ``LONGEST`` letters.
+Counting is a grouped sum per word, then per letter sequence, both combined before the shuffle. Every counted sequence and
+context stays in the model, which is two stored tables that grow with the labelled corpus. Only the scores of the
+``FREQUENT`` words that labelled texts use most go to the workers. A pass over the documents adds up what these words
+contribute and passes the other words on; the different ones among them are spelled, joined with the tables, and their
+scores joined back. Scores of words are whole numbers of 1 / ``UNIT``, so sums do not depend on their order and the scores
+of documents not on which words are frequent. Words are cut into parts of ``LONGEST`` letters.
 
 Null and empty texts have no words and evidence zero. Rows without an id are scored like any other; their remainder is
 that of an empty string. Without labelled rows of both classes every score is the share of toxic ones among the labels.
+Evidence finds its row by two 64-bit hashes of all simple columns, so copies of a text under different ids spread over
+tasks; docs must give the same rows when they are read again.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
-from roamsight.llm.common import kept_by, with_results
-from roamsight.sources.staging import stage
+from roamsight.llm.common import fresh, with_results
+from roamsight.operators.skew import hot_keys, join_sliced
+from roamsight.params import Skew
+from roamsight.sources.staging import measured, stage, unstage
 
 ORDER = 5
 DISCOUNT = 0.75
-SHARE = 2.0**-19
+#: Words whose scores are sent to every worker, at most LONGEST letters each.
+FREQUENT = 2**17
+#: Evidence of at most so many rows (of two hashes and three numbers) is sent to the documents; more is joined by shuffle.
+BROADCAST_ROWS = 20_000
+UNIT = 2**16
 CURVE_ROWS = 20_000
 REJECTED = 0.3
 #: Log ratios of a word beyond this are no smoothing noise.
 STRONG = 6.0
 EVIDENCE = ("mean", "strong", "count")
 CACHED = 300_000
+SPELLED = 20_000
 LONGEST = 40
 WORD = re.compile(rf"\w{{1,{LONGEST}}}")
 _START, _END = 0, 1
@@ -165,13 +178,7 @@ def sequence_scores(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     sums = [F.sum(name).alias(f"{name}_total") for name in ("toxic", "ordinary")]
     types = [F.count_if(F.col(name) > 0).alias(f"{name}_types") for name in ("toxic", "ordinary")]
     contexts = top.groupBy(context).agg(*sums, *types)
-    all_ = top.agg(F.sum("toxic").alias("all_toxic"), F.sum("ordinary").alias("all_ordinary"))
-    often = lambda toxic, ordinary: (
-        (F.col(toxic) >= F.greatest(F.col("all_toxic") * SHARE, F.lit(1)))
-        | (F.col(ordinary) >= F.greatest(F.col("all_ordinary") * SHARE, F.lit(1)))
-    )
-    grams = top.crossJoin(F.broadcast(all_)).where(often("toxic", "ordinary"))
-    grams = grams.join(contexts, context).join(shared, f"g{ORDER - 1}")
+    grams = top.join(contexts, context).join(shared, f"g{ORDER - 1}")
     ratio = F.log(_discounted("toxic", "toxic_total", "toxic_types", "p")) - F.log(
         _discounted("ordinary", "ordinary_total", "ordinary_types", "p")
     )
@@ -179,7 +186,6 @@ def sequence_scores(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.col(f"{c}_total") > 0, DISCOUNT * F.col(f"{c}_types") / F.col(f"{c}_total")).otherwise(F.lit(1.0))
         for c in ("toxic", "ordinary")
     ]
-    contexts = contexts.crossJoin(F.broadcast(all_)).where(often("toxic_total", "ordinary_total"))
     return (
         grams.select(F.col(f"g{ORDER}").alias("key"), ratio.alias("score")),
         contexts.select(F.col(context).alias("key"), (F.log(left[0]) - F.log(left[1])).alias("score")),
@@ -188,50 +194,59 @@ def sequence_scores(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @dataclass
 class Model:
-    """Scores of letter sequences and contexts by sorted key, and the logistic curve over the evidence."""
+    """Stored scores of letter sequences and contexts (key, score), of the most frequent words, and the curve over the evidence."""
 
-    gram_keys: np.ndarray
-    gram_scores: np.ndarray
-    context_keys: np.ndarray
-    context_scores: np.ndarray
+    grams: DataFrame
+    contexts: DataFrame
+    frequent: dict[str, int] = field(default_factory=dict)  # in units
     curve: np.ndarray | None = None
     share: float = 0.0  # of toxic labels
 
-    @staticmethod
-    def _find(keys: np.ndarray, scores: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-        known = keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
-        return known, (scores[at] if len(keys) else np.zeros(len(wanted)))
+    @property
+    def gram_keys(self) -> np.ndarray:
+        """Hashes of all sequences, ascending; for looking into small models, scoring never gathers them."""
+        return self.grams.orderBy("key").toArrow()["key"].to_numpy()
+
+    @property
+    def gram_scores(self) -> np.ndarray:
+        """Scores in the order of :attr:`gram_keys`."""
+        return self.grams.orderBy("key").toArrow()["score"].to_numpy()
+
+
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Letter sequences of the words with their contexts and the words that hold them, one row per sequence and SPELLED words.
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """Toxic minus ordinary log-likelihood of each word."""
+    A sequence that very many words share thus moves in few rows. A word that holds it twice is listed twice.
+    """
+
+    def spelled(words: list[str]) -> pa.RecordBatch:
         rows, owner = sequences(words)
         at = np.flatnonzero(owner >= 0)
-        known, scores = self._find(self.gram_keys, self.gram_scores, rows[ORDER, at])
-        seen, left = self._find(self.context_keys, self.context_scores, rows[ORDER - 1, at - 1])
-        return np.bincount(owner[at], np.where(known, scores, np.where(seen, left, 0.0)), len(words))
-
-    def evidence(self, texts: list[str | None], cache: dict[str, float]) -> np.ndarray:
-        """Per text: mean log ratio of a word, mean of what exceeds STRONG, number of words."""
-        lists = [WORD.findall(text.lower()) if text else [] for text in texts]
-        if len(cache) > CACHED:
-            cache.clear()
-        new = list({word for found in lists for word in found if word not in cache})
-        for low in range(0, len(new), 20_000):
-            part = new[low : low + 20_000]
-            cache.update(zip(part, self.words(part).tolist(), strict=True))
-        out = np.zeros((len(texts), 3))
-        for row, found in zip(out, lists, strict=True):
-            if found:
-                ratios = np.fromiter(map(cache.__getitem__, found), np.float64, len(found))
-                row[:] = ratios.mean(), np.maximum(ratios - STRONG, 0).mean(), len(found)
-        return out
-
-    def score(self, evidence: np.ndarray) -> np.ndarray:
-        """Estimated probability that the label is 1."""
-        if self.curve is None:
-            return np.full(len(evidence), self.share)
-        return 1 / (1 + np.exp(-np.clip(inputs(evidence) @ self.curve, -500, 500)))
+        at = at[np.argsort(rows[ORDER, at], kind="stable")]
+        keys, first = np.unique(rows[ORDER, at], return_index=True)
+        offsets = pa.array(np.append(first, len(at)), pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(words, pa.string()).take(pa.array(owner[at])))
+        return pa.RecordBatch.from_pydict({"g": pa.array(keys), "c": pa.array(rows[ORDER - 1, at[first] - 1]), "words": lists})
+
+    held: list[str] = []
+    for batch in batches:
+        held += batch["word"].to_pylist()
+        if len(held) >= SPELLED:
+            yield spelled(held)
+            held = []
+    if held:
+        yield spelled(held)
+
+
+def word_scores(words: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(word, units) of different words: toxic minus ordinary log-likelihood in units of 1 / UNIT."""
+    spelled = words.select("word").mapInArrow(_spell, "g bigint, c bigint, words array<string>")
+    own = grams.select(F.col("key").alias("g"), F.col("score").alias("own"))
+    unseen = contexts.select(F.col("key").alias("c"), F.col("score").alias("unseen"))
+    found = spelled.join(own, "g", "left").join(unseen, "c", "left")
+    units = F.round(F.coalesce("own", "unseen", F.lit(0.0)) * UNIT).cast("bigint")
+    found = found.select(units.alias("units"), F.explode("words").alias("word"))
+    return found.groupBy("word").agg(F.sum("units").alias("units"))
 
 
 def inputs(evidence: np.ndarray) -> np.ndarray:
@@ -254,14 +269,6 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return b / scale
 
 
-def _sorted(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bounded by 2 / SHARE rows, see :func:`sequence_scores`."""
-    found = scores.toArrow()
-    keys, values = found["key"].to_numpy(), found["score"].to_numpy().astype(np.float32)
-    order = np.argsort(keys)
-    return keys[order], values[order]
-
-
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on labelled rows whose remainder is not 2. Several labels of one id count as toxic if one is; null labels as none."""
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
@@ -273,10 +280,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(remainder("id") != 2)
     labelled = stage(texts.join(used.hint("shuffle_hash"), "id").select("text", "toxic", "part"), "labelled")
     words = stage(count_words(labelled.where("part < 2")), "class_words")
-    grams, contexts = sequence_scores(words)
-    model = Model(*_sorted(grams), *_sorted(contexts))
-    curve_rows = labelled.where("part = 3")
-    seen = curve_rows.select("toxic", *_evidence(docs.sparkSession, F.col("text"), model)).toArrow()
+    grams, contexts = (stage(found, "letter_scores") for found in sequence_scores(words))
+    often = words.orderBy((F.col("toxic") + F.col("ordinary")).desc(), "word").limit(FREQUENT)
+    often = word_scores(often, grams, contexts).toArrow()
+    model = Model(grams, contexts, dict(zip(often["word"].to_pylist(), often["units"].to_pylist(), strict=True)))
+    seen = with_evidence(labelled.where("part = 3").select("toxic", "text"), model).select("toxic", *EVIDENCE).toArrow()
+    unstage(words, labelled, marks)
     y = seen["toxic"].to_numpy().astype(np.float64) if len(seen) else np.zeros(0)
     model.share = float(y.mean()) if len(y) else 0.0
     if 0 < model.share < 1:
@@ -284,24 +293,78 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def _evidence(spark: SparkSession, text: Column, model: Model) -> list[Column]:
-    shared = spark.sparkContext.broadcast(model)
-    names = (*EVIDENCE, "score")
+_PARTS = "a bigint, b bigint, ratio bigint, strong bigint, number bigint, words array<string>, times array<bigint>"
 
-    @F.arrow_udf(f"struct<{', '.join(f'{name}:double' for name in names)}>")
-    def measure(texts: pa.Array) -> pa.Array:
-        model = shared.value
-        cache = kept_by(("toxicity", id(model)), dict)
-        found = np.zeros((len(texts), len(names)))
-        for low in range(0, len(texts), 100):
-            evidence = model.evidence(texts.slice(low, 100).to_pylist(), cache)
-            found[low : low + 100] = np.column_stack([evidence, model.score(evidence)])
-        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(column)) for column in found.T], names=list(names))
 
-    found = measure(text)
-    return [found[name].alias(name) for name in names]
+def _evidence(docs: DataFrame, model: Model) -> tuple[DataFrame, int]:
+    """(a, b, mean, strong, count) per key of rows (a, b, text), and an upper bound of their number.
+
+    ``mean`` is the mean log ratio of a word, ``strong`` the mean of what exceeds STRONG. Rows that are equal share a key:
+    their sums and numbers of words are multiples, which leaves the means as they are.
+    """
+    frequent, strong_from = docs.sparkSession.sparkContext.broadcast(model.frequent), round(STRONG * UNIT)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = frequent.value
+        for batch in batches:
+            ratios, strongs, numbers, words, times = [], [], [], [], []
+            for text in batch["text"]:
+                counts: dict[str, int] = {}
+                for match in WORD.finditer((text.as_py() or "").lower()):
+                    word = match.group()
+                    counts[word] = counts.get(word, 0) + 1
+                rest = [word for word in counts if word not in known]
+                numbers.append(sum(counts.values()))
+                words.append(rest)
+                times.append([counts.pop(word) for word in rest])
+                ratios.append(sum(known[word] * n for word, n in counts.items()))
+                strongs.append(sum(max(known[word] - strong_from, 0) * n for word, n in counts.items()))
+            columns = [pa.array(column, pa.int64()) for column in (ratios, strongs, numbers)]
+            lists = [pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
+            names = ["a", "b", "ratio", "strong", "number", "words", "times"]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], *columns, *lists], names=names)
+
+    parts, size = measured(docs.mapInArrow(weigh, _PARTS), "evidence_parts", rows=F.count(F.lit(1)))
+    rare = parts.select("a", "b", F.explode(F.arrays_zip("words", "times")).alias("found"))
+    rare = rare.select("a", "b", F.col("found.words").alias("word"), F.col("found.times").alias("times"))
+    words = stage(rare.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "rare_words")
+    scores = stage(word_scores(words, model.grams, model.contexts), "word_scores")
+    met = join_sliced(rare, scores, "word", "a", hot_keys(words, "word", "n", Skew()), "inner")
+    met = met.select(
+        "a", "b", (F.col("units") * F.col("times")).alias("ratio"),
+        (F.greatest(F.col("units") - strong_from, F.lit(0)) * F.col("times")).alias("strong"),
+        F.lit(0).cast("bigint").alias("number"), F.lit(0).cast("bigint").alias("copies"),
+    )
+    sums = parts.select("a", "b", "ratio", "strong", "number", F.lit(1).cast("bigint").alias("copies")).unionByName(met)
+    sums = sums.groupBy("a", "b").agg(*[F.sum(name).alias(name) for name in ("ratio", "strong", "number", "copies")])
+    mean = lambda name: F.when(F.col("number") > 0, F.col(name) / F.col("number") / UNIT).otherwise(0.0)
+    found = sums.select("a", "b", mean("ratio").alias("mean"), mean("strong").alias("strong"), (F.col("number") / F.col("copies")).alias("count"))
+    found = stage(found, "evidence")
+    unstage(parts, words, scores)
+    return found, size["rows"]
+
+
+def with_evidence(docs: DataFrame, model: Model, text_col: str = "text", names: dict[str, str] | None = None) -> DataFrame:
+    """Docs with the columns of EVIDENCE, under other names if ``names`` gives some; docs must not have columns so named."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    simple = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name.lower() != text_col.lower()]
+    keys = [F.xxhash64(F.lit(number), text, *[F.col(f"`{name}`") for name in simple]) for number in (1, 2)]
+    found, rows = _evidence(docs.select(keys[0].alias("a"), keys[1].alias("b"), text.alias("text")), model)
+    mine = [fresh(docs, f"evidence_key_{name}") for name in "ab"]
+    found = found.withColumnsRenamed(dict(zip("ab", mine, strict=True)) | (names or {}))
+    hint = "broadcast" if rows <= BROADCAST_ROWS else "shuffle_hash"
+    keyed = docs.withColumns(dict(zip(mine, keys, strict=True)))
+    return keyed.join(found.hint(hint), mine, "left").drop(*mine)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Docs with ``score``, the estimated probability of the toxic label."""
-    return with_results(docs, {"score": _evidence(docs.sparkSession, F.col(text_col), model)[-1]})
+    if model.curve is None:
+        return with_results(docs, {"score": F.lit(model.share)})
+    names = {name: fresh(docs, f"evidence_of_{name}") for name in EVIDENCE}
+    found = with_evidence(docs, model, text_col, names)
+    mean, strong, count = (F.col(name) for name in names.values())
+    seen = [F.lit(1.0), mean, strong, F.log1p(strong * count), F.log1p(count)]
+    z = reduce(lambda x, y: x + y, [float(weight) * x for weight, x in zip(model.curve, seen, strict=True)])
+    score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))
+    return with_results(found, {"score": score}).drop(*names.values())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roamsight.llm import toxicity
 from roamsight.llm.common import table
 from roamsight.llm.queries import op9_kneser_ney
+from roamsight.params import Skew
 
 
 def corpus(n, seed=1):
@@ -99,6 +100,51 @@ def test_models_are_probabilities(spark, trained):
     assert alphabet
 
 
+def test_scores_match_brute_force(trained):
+    """Every text scored letter by letter in plain Python, from all counted sequences and contexts."""
+    rows, docs, _, model = trained
+    grams = {r.key: r.score for r in model.grams.collect()}
+    contexts = {r.key: r.score for r in model.contexts.collect()}
+    assert len(grams) > 1000 and len(contexts) > 300
+
+    def ratio(word):
+        spelled, owner = toxicity.sequences([word])
+        places = [i for i in range(len(owner)) if owner[i] >= 0]
+        own = [grams.get(spelled[toxicity.ORDER, i], contexts.get(spelled[toxicity.ORDER - 1, i - 1], 0.0)) for i in places]
+        return sum(round(x * toxicity.UNIT) for x in own) / toxicity.UNIT
+
+    known, expected = {}, {}
+    for i, text, _ in rows:
+        found = text.split()
+        ratios = [known.get(w) if w in known else known.setdefault(w, ratio(w)) for w in found]
+        evidence = np.array([[np.mean(ratios), np.mean([max(x - toxicity.STRONG, 0) for x in ratios]), len(found)]])
+        expected[i] = 1 / (1 + np.exp(-np.clip(toxicity.inputs(evidence) @ model.curve, -500, 500)))[0]
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert scores == pytest.approx(expected, abs=1e-6)
+
+
+def test_routes_give_the_same_scores(spark, trained, monkeypatch):
+    """No word is frequent, rare words are cut into slices, evidence moves by shuffle; rows repeat."""
+    rows, docs, _, model = trained
+    docs = docs.where("doc_id < 200")
+    docs = docs.union(docs.where("doc_id < 20")).union(spark.createDataFrame([(None, "zounds never-seen-word"), (None, None)], docs.schema))
+    plain = sorted((r.doc_id or -1, r.text or "", r.score) for r in toxicity.scored(docs, model).collect())
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(toxicity, "Skew", lambda: Skew(target_rows=10, max_keys=1000))
+    monkeypatch.setattr(toxicity, "SPELLED", 7)
+    other = toxicity.Model(model.grams, model.contexts, dict(list(model.frequent.items())[:5]), model.curve, model.share)
+    assert sorted((r.doc_id or -1, r.text or "", r.score) for r in toxicity.scored(docs, other).collect()) == plain
+
+
+def test_rare_sequences_keep_their_counts(spark):
+    """A word that stands once in a large class is in the model, whatever the size of the corpus."""
+    words = spark.createDataFrame([("common", 10**9, 10**9), ("zounds", 1, 0)], "word string, toxic bigint, ordinary bigint")
+    grams, contexts = toxicity.sequence_scores(words)
+    scores = {r.word: r.units for r in toxicity.word_scores(words, grams, contexts).collect()}
+    assert scores["zounds"] > toxicity.UNIT > abs(scores["common"])
+    assert grams.count() == 14
+
+
 def test_dirty_rows(spark, trained, clashing):
     _, _, _, model = trained
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "knave " * 9), (4, "x" * 100_000), (4, "x" * 100_000)], "doc_id bigint, text string")
