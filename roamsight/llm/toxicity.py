@@ -13,11 +13,11 @@ from rows whose crc32(id) mod 4 is 0 or 1, the curve from at most ``CURVE_ROWS``
 the id), and remainder 2 is held out from everything. Labels, language, source and id are never inputs of a score.
 
 Counting is a grouped sum per word, then per letter sequence, both combined before the shuffle. Every counted sequence and
-context stays in the model, which is two stored tables that grow with the labelled corpus. Only the scores of the
-``FREQUENT`` words that labelled texts use most go to the workers. A pass over the documents adds up what these words
-contribute and passes the other words on; the different ones among them are spelled, joined with the tables, and their
-scores joined back. Scores of words are whole numbers of 1 / ``UNIT``, so sums do not depend on their order and the scores
-of documents not on which words are frequent. Words are cut into parts of ``LONGEST`` letters.
+context stays in the model, which is two stored tables that grow with the labelled corpus. Only the ``FREQUENT`` sequences
+that labelled texts hold most often go to the workers, as sorted arrays. A pass over the documents adds up what words
+spelled by these alone contribute and passes the other words on; the different ones among them are spelled, joined with
+the tables, and their scores joined back. Scores of letters are whole numbers of 1 / ``UNIT``, so sums do not depend on their
+order and the scores of documents not on which sequences are frequent. Words are cut into parts of ``LONGEST`` letters.
 
 Null and empty texts have no words and evidence zero. Rows without an id are scored like any other; their remainder is
 that of an empty string. Without labelled rows of both classes every score is the share of toxic ones among the labels.
@@ -29,8 +29,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +39,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from roamsight.llm.common import fresh, with_results
+from roamsight.llm.common import fresh, kept_by, with_results
 from roamsight.operators.skew import hot_keys, join_sliced
 from roamsight.params import Skew
 from roamsight.sources.staging import measured, stage, unstage
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Words whose scores are sent to every worker, at most LONGEST letters each.
-FREQUENT = 2**17
+#: Sequences whose scores are sent to every worker, 16 bytes each.
+FREQUENT = 2**19
 #: Evidence of at most so many rows (of two hashes and three numbers) is sent to the documents; more is joined by shuffle.
 BROADCAST_ROWS = 20_000
 UNIT = 2**16
@@ -151,7 +152,7 @@ def _discounted(count: str, total: str, types: str, lower: Column | str) -> Colu
 
 
 def sequence_scores(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, score) of letter sequences and of contexts: the log ratio of the two class models.
+    """(key, score) of letter sequences, with their number n, and of contexts: the log ratio of the two class models.
 
     The score of a context is that of a letter which neither class has seen after it.
     """
@@ -187,18 +188,19 @@ def sequence_scores(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         for c in ("toxic", "ordinary")
     ]
     return (
-        grams.select(F.col(f"g{ORDER}").alias("key"), ratio.alias("score")),
+        grams.select(F.col(f"g{ORDER}").alias("key"), ratio.alias("score"), (F.col("toxic") + F.col("ordinary")).alias("n")),
         contexts.select(F.col(context).alias("key"), (F.log(left[0]) - F.log(left[1])).alias("score")),
     )
 
 
 @dataclass
 class Model:
-    """Stored scores of letter sequences and contexts (key, score), of the most frequent words, and the curve over the evidence."""
+    """Stored scores of letter sequences and contexts, those of the most frequent by ascending key, the curve over the evidence."""
 
     grams: DataFrame
     contexts: DataFrame
-    frequent: dict[str, int] = field(default_factory=dict)  # in units
+    keys: np.ndarray
+    units: np.ndarray
     curve: np.ndarray | None = None
     share: float = 0.0  # of toxic labels
 
@@ -213,6 +215,21 @@ class Model:
         return self.grams.orderBy("key").toArrow()["score"].to_numpy()
 
 
+def known_words(words: list[str], keys: np.ndarray, units: np.ndarray) -> list[int | None]:
+    """Units of each word, or None if one of its sequences is not among the keys."""
+    rows, owner = sequences(words)
+    at = np.flatnonzero(owner >= 0)
+    wanted = rows[ORDER, at]
+    place = np.searchsorted(keys, wanted)
+    found = np.zeros(len(at), bool)
+    within = place < len(keys)
+    found[within] = keys[place[within]] == wanted[within]
+    sums = np.zeros(len(words), np.int64)
+    np.add.at(sums, owner[at[found]], units[place[found]])
+    lacking = np.bincount(owner[at[~found]], minlength=len(words))
+    return [None if lack else total for total, lack in zip(sums.tolist(), lacking.tolist(), strict=True)]
+
+
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Letter sequences of the words with their contexts and the words that hold them, one row per sequence and SPELLED words.
 
@@ -238,13 +255,17 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield spelled(held)
 
 
+def _units(score: str) -> Column:
+    return F.round(F.col(score) * UNIT).cast("bigint")
+
+
 def word_scores(words: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
     """(word, units) of different words: toxic minus ordinary log-likelihood in units of 1 / UNIT."""
     spelled = words.select("word").mapInArrow(_spell, "g bigint, c bigint, words array<string>")
     own = grams.select(F.col("key").alias("g"), F.col("score").alias("own"))
     unseen = contexts.select(F.col("key").alias("c"), F.col("score").alias("unseen"))
     found = spelled.join(own, "g", "left").join(unseen, "c", "left")
-    units = F.round(F.coalesce("own", "unseen", F.lit(0.0)) * UNIT).cast("bigint")
+    units = F.coalesce(_units("own"), _units("unseen"), F.lit(0).cast("bigint"))
     found = found.select(units.alias("units"), F.explode("words").alias("word"))
     return found.groupBy("word").agg(F.sum("units").alias("units"))
 
@@ -281,9 +302,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = stage(texts.join(used.hint("shuffle_hash"), "id").select("text", "toxic", "part"), "labelled")
     words = stage(count_words(labelled.where("part < 2")), "class_words")
     grams, contexts = (stage(found, "letter_scores") for found in sequence_scores(words))
-    often = words.orderBy((F.col("toxic") + F.col("ordinary")).desc(), "word").limit(FREQUENT)
-    often = word_scores(often, grams, contexts).toArrow()
-    model = Model(grams, contexts, dict(zip(often["word"].to_pylist(), often["units"].to_pylist(), strict=True)))
+    often = grams.orderBy(F.col("n").desc(), "key").limit(FREQUENT).select("key", _units("score").alias("units")).toArrow()
+    keys, units = (often[name].to_numpy() for name in ("key", "units"))
+    order = np.argsort(keys)
+    model = Model(grams, contexts, keys[order], units[order])
     seen = with_evidence(labelled.where("part = 3").select("toxic", "text"), model).select("toxic", *EVIDENCE).toArrow()
     unstage(words, labelled, marks)
     y = seen["toxic"].to_numpy().astype(np.float64) if len(seen) else np.zeros(0)
@@ -296,33 +318,61 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 _PARTS = "a bigint, b bigint, ratio bigint, strong bigint, number bigint, words array<string>, times array<bigint>"
 
 
+def _counted(text: str | None) -> dict[str, int]:
+    counts: dict[str, int] = {}
+    for match in WORD.finditer((text or "").lower()):
+        word = match.group()
+        counts[word] = counts.get(word, 0) + 1
+    return counts
+
+
+def _weighed(part: pa.RecordBatch, counted: list[dict[str, int]], known: dict[str, int | None], strong_from: int) -> pa.RecordBatch:
+    """Sums over the known words of each text, and its other words."""
+    ratios, strongs, numbers, words, times = [], [], [], [], []
+    for counts in counted:
+        ratio = strong = 0
+        rest = []
+        for word, n in counts.items():
+            units = known[word]
+            if units is None:
+                rest.append(word)
+                continue
+            ratio += units * n
+            if units > strong_from:
+                strong += (units - strong_from) * n
+        ratios.append(ratio)
+        strongs.append(strong)
+        numbers.append(sum(counts.values()))
+        words.append(rest)
+        times.append([counts[word] for word in rest])
+    columns = [pa.array(column, pa.int64()) for column in (ratios, strongs, numbers)]
+    lists = [pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
+    names = ["a", "b", "ratio", "strong", "number", "words", "times"]
+    return pa.RecordBatch.from_arrays([part["a"], part["b"], *columns, *lists], names=names)
+
+
 def _evidence(docs: DataFrame, model: Model) -> tuple[DataFrame, int]:
     """(a, b, mean, strong, count) per key of rows (a, b, text), and an upper bound of their number.
 
     ``mean`` is the mean log ratio of a word, ``strong`` the mean of what exceeds STRONG. Rows that are equal share a key:
     their sums and numbers of words are multiples, which leaves the means as they are.
     """
-    frequent, strong_from = docs.sparkSession.sparkContext.broadcast(model.frequent), round(STRONG * UNIT)
+    shared, owner = docs.sparkSession.sparkContext.broadcast((model.keys, model.units)), ("toxicity", uuid4().hex)
+    strong_from = round(STRONG * UNIT)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        known: dict[str, int | None] = kept_by(owner, dict)
         for batch in batches:
-            ratios, strongs, numbers, words, times = [], [], [], [], []
-            for text in batch["text"]:
-                counts: dict[str, int] = {}
-                for match in WORD.finditer((text.as_py() or "").lower()):
-                    word = match.group()
-                    counts[word] = counts.get(word, 0) + 1
-                rest = [word for word in counts if word not in known]
-                numbers.append(sum(counts.values()))
-                words.append(rest)
-                times.append([counts.pop(word) for word in rest])
-                ratios.append(sum(known[word] * n for word, n in counts.items()))
-                strongs.append(sum(max(known[word] - strong_from, 0) * n for word, n in counts.items()))
-            columns = [pa.array(column, pa.int64()) for column in (ratios, strongs, numbers)]
-            lists = [pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
-            names = ["a", "b", "ratio", "strong", "number", "words", "times"]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], *columns, *lists], names=names)
+            for low in range(0, batch.num_rows, 100):
+                part = batch.slice(low, 100)
+                counted = [_counted(text.as_py()) for text in part["text"]]
+                if len(known) > CACHED:
+                    known.clear()
+                new = list({word for counts in counted for word in counts if word not in known})
+                for first in range(0, len(new), SPELLED):
+                    some = new[first : first + SPELLED]
+                    known.update(zip(some, known_words(some, *shared.value), strict=True))
+                yield _weighed(part, counted, known, strong_from)
 
     parts, size = measured(docs.mapInArrow(weigh, _PARTS), "evidence_parts", rows=F.count(F.lit(1)))
     rare = parts.select("a", "b", F.explode(F.arrays_zip("words", "times")).alias("found"))
@@ -338,7 +388,8 @@ def _evidence(docs: DataFrame, model: Model) -> tuple[DataFrame, int]:
     sums = parts.select("a", "b", "ratio", "strong", "number", F.lit(1).cast("bigint").alias("copies")).unionByName(met)
     sums = sums.groupBy("a", "b").agg(*[F.sum(name).alias(name) for name in ("ratio", "strong", "number", "copies")])
     mean = lambda name: F.when(F.col("number") > 0, F.col(name) / F.col("number") / UNIT).otherwise(0.0)
-    found = sums.select("a", "b", mean("ratio").alias("mean"), mean("strong").alias("strong"), (F.col("number") / F.col("copies")).alias("count"))
+    count = (F.col("number") / F.col("copies")).alias("count")
+    found = sums.select("a", "b", mean("ratio").alias("mean"), mean("strong").alias("strong"), count)
     found = stage(found, "evidence")
     unstage(parts, words, scores)
     return found, size["rows"]

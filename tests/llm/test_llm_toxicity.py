@@ -124,7 +124,7 @@ def test_scores_match_brute_force(trained):
 
 
 def test_routes_give_the_same_scores(spark, trained, monkeypatch):
-    """No word is frequent, rare words are cut into slices, evidence moves by shuffle; rows repeat."""
+    """Five sequences are frequent, rare words are cut into slices, evidence moves by shuffle; rows repeat."""
     rows, docs, _, model = trained
     docs = docs.where("doc_id < 200")
     docs = docs.union(docs.where("doc_id < 20")).union(spark.createDataFrame([(None, "zounds never-seen-word"), (None, None)], docs.schema))
@@ -132,7 +132,7 @@ def test_routes_give_the_same_scores(spark, trained, monkeypatch):
     monkeypatch.setattr(toxicity, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(toxicity, "Skew", lambda: Skew(target_rows=10, max_keys=1000))
     monkeypatch.setattr(toxicity, "SPELLED", 7)
-    other = toxicity.Model(model.grams, model.contexts, dict(list(model.frequent.items())[:5]), model.curve, model.share)
+    other = toxicity.Model(model.grams, model.contexts, model.keys[:5], model.units[:5], model.curve, model.share)
     assert sorted((r.doc_id or -1, r.text or "", r.score) for r in toxicity.scored(docs, other).collect()) == plain
 
 
