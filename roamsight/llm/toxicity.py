@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from roamsight.llm.common import fresh, kept_by, with_results
+from roamsight.operators.membership import filter_words, key_filter, perhaps_in
 from roamsight.operators.skew import hot_keys, join_sliced
-from roamsight.params import Skew
+from roamsight.params import Params, Skew
 from roamsight.sources.staging import measured, stage, unstage
 
 ORDER = 5
@@ -292,13 +293,16 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on labelled rows whose remainder is not 2. Several labels of one id count as toxic if one is; null labels as none."""
-    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).try_cast(docs.schema[id_col].dataType).alias("id"))
     marks = marks.agg(F.max(F.col(label_col) > 0).alias("toxic"))
-    marks = stage(marks.withColumn("part", remainder("id")).where("part <> 2"), "marks")
+    marks, size = measured(marks.withColumn("part", remainder("id")).where("part <> 2"), "marks", rows=F.count(F.lit(1)))
     hashes = marks.where("part = 3").select(F.xxhash64("id").alias("hash"))
     last = hashes.orderBy("hash").limit(CURVE_ROWS).agg(F.max("hash")).first()[0]
     used = marks.where((F.col("part") < 2) | (F.xxhash64("id") <= F.lit(last).cast("bigint")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(remainder("id") != 2)
+    # texts without a label that is used, or nearly all of them, stay where they are
+    words = filter_words(size["rows"], Params().filter_words)
+    texts = perhaps_in(texts, "id", key_filter(used, "id", words), words)
     labelled = stage(texts.join(used.hint("shuffle_hash"), "id").select("text", "toxic", "part"), "labelled")
     words = stage(count_words(labelled.where("part < 2")), "class_words")
     grams, contexts = (stage(found, "letter_scores") for found in sequence_scores(words))
