@@ -16,7 +16,9 @@ many times its size; only the suffixes that can match are sorted, in buckets:
 4. A bucket with over ``GROUP`` different runs (a passage in very many different surroundings) is split: its runs are cut at
    starts that the hash of their string picks, one in ``PIECE``, so that inside the passage all are cut alike. Equal pieces
    are copies as a whole; only of different ones, mostly one at either end of the passage, the strings are dealt out by their
-   128-bit hashes and matched where they meet. Both are counts combined before the shuffle.
+   128-bit hashes and matched where they meet. Both are counts combined before the shuffle. Strings that more than ``GROUP``
+   different pieces hold go to the tasks, at most ``FREQUENT`` of them (40 bytes each) and the most frequent first, and are
+   matched where their pieces lie; all others are matched by a join, in which no key but those beyond ``FREQUENT`` is hot.
 
 Positions are ordered by document id (nulls first), a digest of the text, and offset; rows equal in id and text are
 numbered where they meet their result. Matches never cross documents. Null texts count as empty; texts shorter than
@@ -35,6 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +48,7 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 RUN = 512
 GROUP = 64
 PIECE = 8
+FREQUENT = 1 << 15
 STARTS = 1 << 15
 BLOCK = 1 << 22
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
@@ -243,6 +247,30 @@ def _matched(schema: pa.Schema, length: int, first: bool, unit: Unit):
     return emit
 
 
+def _looked_up(schema: pa.Schema, length: int, first: bool, frequent: Broadcast):
+    """Spans that frequent strings match in pieces, and the pieces' other strings (without ``high``)."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple[int, int], tuple[int, int]] = frequent.value
+        for batch in batches:
+            rows, out = [], []
+            for i, row in enumerate(batch.drop_columns(["id"]).to_pylist()):
+                places = [known.get((one["hash"], one["more"])) for one in row["strings"]]
+                own, at = row["owner"], row["at"]
+                hit = [place is not None and not (first and place == (own, at + j)) for j, place in enumerate(places)]
+                mine = [(at + low, at + high + length - 1, None, None) for low, high in spans(np.array(hit, bool))]
+                rest = [(at + j, one) for j, (one, place) in enumerate(zip(row["strings"], places, strict=True)) if place is None]
+                mine += [(place, None, one["hash"], one["more"]) for place, one in rest]
+                out += [(row["digest"], *found) for found in mine]
+                rows += [i] * len(mine)
+            if rows:
+                ids = batch["id"].take(pa.array(rows, pa.int64()))
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), list(schema)[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([ids, *columns], schema=schema)
+
+    return emit
+
+
 def _arrow(df: DataFrame) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -307,15 +335,26 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, id_col: str, text_co
     if first:
         again = again.where(~position.eqNullSafe(F.col("first")))
     again = again.select("id", "digest", F.col("at").alias("low"), end.alias("high"))
+    owner = F.xxhash64("id", "digest")
     dealt = alike.select("first.*", F.posexplode("strings").alias("nth", "string"))
     dealt = dealt.select("id", "digest", (F.col("at") + F.col("nth")).alias("at"), "string.*")
-    strings = dealt.groupBy("hash", "more").agg(F.min(position).alias("first"), F.max(position).alias("last"))
-    met = dealt.join(strings.where("first <> last"), ["hash", "more"])
+    strings = dealt.groupBy("hash", "more").agg(F.count("*").alias("n"), F.min(position).alias("first"), F.max(position).alias("last"))
+    strings = stage(strings.where("first <> last").drop("last"), "equal_strings")
+    often = strings.where(F.col("n") > GROUP).orderBy(F.col("n").desc(), "hash", "more").limit(FREQUENT)
+    often = often.select("hash", "more", "first.*").select("hash", "more", owner.alias("owner"), "at").toArrow()
+    keys, places = (zip(*(often[name].to_pylist() for name in names), strict=True) for names in (("hash", "more"), ("owner", "at")))
+    frequent = spark.sparkContext.broadcast(dict(zip(keys, places, strict=True)))
+    shape = like(("low", "bigint"), ("high", "bigint"), ("hash", "bigint"), ("more", "bigint"))
+    looked = alike.select("first.*", "strings").withColumn("owner", owner).mapInArrow(_looked_up(_arrow(shape), length, first, frequent), shape.schema)
+    looked = stage(looked, "looked_up")
+    rest = looked.where("high is null").select("id", "digest", F.col("low").alias("at"), "hash", "more")
+    met = rest.join(strings.select("hash", "more", "first"), ["hash", "more"])
     if first:
         met = met.where(~position.eqNullSafe(F.col("first")))
     met = met.select("id", "digest", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
+    met = met.union(looked.where("high is not null").select("id", "digest", "low", "high"))
     spans_ = stage(copies.union(sorted_).union(again).union(met), "repeated_spans")
-    unstage(shared, equal, fetched, alike)
+    unstage(shared, equal, fetched, alike, strings, looked)
     return spans_
 
 

@@ -180,10 +180,12 @@ def test_words_against_brute_force(make_docs, n):
     assert sum(map(len, left.values())) < sum(len(t.split()) for _, t in rows)
 
 
+@pytest.mark.parametrize("frequent", [1 << 15, 40, 0])
 @pytest.mark.parametrize("keep", ["first", "none"])
-def test_a_passage_in_many_surroundings(make_docs, monkeypatch, keep):
-    """Crowded buckets, whose runs are cut into pieces."""
+def test_a_passage_in_many_surroundings(make_docs, monkeypatch, keep, frequent):
+    """Crowded buckets, whose runs are cut into pieces; all, some or none of the frequent strings are matched in the tasks."""
     monkeypatch.setattr(suffixdedup, "GROUP", 3)
+    monkeypatch.setattr(suffixdedup, "FREQUENT", frequent)
     rng = random.Random(12)
     new = lambda n: " ".join(f"{rng.randrange(10**9)}" for _ in range(n))
     passage, other = new(70), new(30)
