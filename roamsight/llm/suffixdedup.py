@@ -17,7 +17,7 @@ many times its size; only the suffixes that can match are sorted, in buckets:
    starts that the hash of their string picks, one in ``PIECE``, so that inside the passage all are cut alike. Equal pieces
    are copies as a whole; only of different ones, mostly one at either end of the passage, the strings are dealt out by their
    128-bit hashes and matched where they meet. Both are counts combined before the shuffle. Strings that more than ``GROUP``
-   different pieces hold go to the tasks, at most ``FREQUENT`` of them (40 bytes each) and the most frequent first, and are
+   different pieces hold go to the tasks, at most ``FREQUENT`` of them (some 10 MB) and the most frequent first, and are
    matched where their pieces lie; all others are matched by a join, in which no key but those beyond ``FREQUENT`` is hot.
 
 Positions are ordered by document id (nulls first), a digest of the text, and offset; rows equal in id and text are
