@@ -41,3 +41,29 @@ def test_entry(spark):
     summary = registry.entry(spark)
     assert summary.columns == ["final_segment", "users", "share_perc", "good_match_perc", "perk"]
     assert summary.count() > 0
+
+
+def test_inspected_sessions_as_written(spark, tmp_path):
+    """Null and repeated orders, inspected customers with many, few and no orders, and one who is not inspected."""
+    connection, folder, name = duckdb.connect(), str(tmp_path), "session_inspection"
+    rows = {
+        "nation": "SELECT n::BIGINT AS n_nationkey FROM range(25) r(n)",
+        "customer": "SELECT c::BIGINT AS c_custkey, c % 25 AS c_nationkey FROM (VALUES (1), (2), (3), (4), (97)) r(c)",
+        "orders": """
+            SELECT if(k = 77, NULL, k) AS o_orderkey, CASE WHEN k % 10 < 9 THEN [1, 2, 3][1 + k % 3] WHEN k < 50 THEN 4 END AS o_custkey,
+                   TIMESTAMP '1996-12-01' + to_days((k % 400)::INT) AS o_orderdate, ['1-URGENT', '5-LOW', '3-MEDIUM', NULL][1 + k % 4] AS o_orderpriority
+            FROM (SELECT k FROM range(1, 200) r(k) UNION ALL SELECT k FROM range(60, 90) r(k)) all_rows""",
+    }
+    for table, sql in rows.items():
+        connection.execute(f"COPY ({sql}) TO '{folder}/{table}.parquet'")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    QUERIES[name](spark, folder).write.parquet(f"{folder}/found")
+    found = connection.execute(f"SELECT * FROM '{folder}/found/*.parquet'")
+    columns, actual = [c[0] for c in found.description], found.fetchall()
+    wanted = connection.execute(SQL[name])
+    names, expected = [c[0] for c in wanted.description], wanted.fetchall()
+    assert columns == list(dict.fromkeys(names))  # the SQL names user_id twice, a table can only once
+    assert all(row[i] == row[names.index(column)] for row in expected for i, column in enumerate(names))
+    assert sorted(actual, key=str) == sorted((tuple(row[names.index(c)] for c in columns) for row in expected), key=str)
+    assert {row[columns.index("user_id")] for row in actual} == {1, 2}
+    connection.close()
