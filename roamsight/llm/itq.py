@@ -4,7 +4,8 @@ Vectors are projected on their principal directions and rotated so that signs lo
 signs and the best rotation towards them in turn. The signs are a code of 64 balanced bits. Codes are cut into ``TABLES``
 pieces; of a close pair at least one piece differs in no more than one bit, so each vector is entered in every table under its
 piece and looks up its piece and all pieces one bit away. Candidates whose whole codes are near are reranked with the
-original vectors: the cosine in double precision decides, so no link is wrong, and few are missed.
+original vectors: the cosine in double precision decides, so no link is wrong, and few are missed. What a cosine needs of one
+vector alone is counted once per vector; a pair takes one product of its components, and pairs are not made distinct by a shuffle.
 
 Only vectors with the same label meet. Equal vectors of a label are one vector with members, so groups of copies cost nothing.
 Vectors that are null, empty or zero, or hold null or non-finite components, and vectors without label, link with
@@ -86,19 +87,26 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~odd & F.exists(double, lambda x: x != 0)
 
 
-def cosine(a: str, b: str) -> Column:
-    """In double precision; components are divided by the largest one first, so that squares neither overflow nor vanish."""
-    total = lambda values: F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
 
-    def scaled(name: str) -> Column:
-        most = F.array_max(F.transform(name, lambda x: F.abs(x.cast("double"))))
-        return F.transform(name, lambda x: x.cast("double") / most)
 
-    def norm(v: Column) -> Column:
-        return F.sqrt(total(F.transform(v, lambda x: x * x)))
+def measures(vector: str) -> Column:
+    """What the cosines of a vector need of it alone: its largest component, and its length once divided by that."""
+    most = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
 
-    u, v = scaled(a), scaled(b)
-    return total(F.zip_with(u, v, lambda x, y: x * y)) / (norm(u) * norm(v))
+    def scaled(m: Column) -> Column:
+        return F.sqrt(_total(F.transform(vector, lambda x: (x.cast("double") / m) * (x.cast("double") / m))))
+
+    # a lambda's argument is counted once, an expression inside a lambda once per component
+    return F.get(F.transform(F.array(most), lambda m: F.struct(m.alias("most"), scaled(m).alias("length"))), F.lit(0))
+
+
+def cosine() -> Column:
+    """Of ``vector_a`` and ``vector_b`` in double precision; components are divided by the largest one first, so that squares
+    neither overflow nor vanish."""
+    product = lambda x, y: (x.cast("double") / F.col("size_a.most")) * (y.cast("double") / F.col("size_b.most"))
+    return _total(F.zip_with("vector_a", "vector_b", product)) / (F.col("size_a.length") * F.col("size_b.length"))
 
 
 def links(distinct: DataFrame, cosine_min: float) -> DataFrame:
@@ -110,7 +118,8 @@ def links(distinct: DataFrame, cosine_min: float) -> DataFrame:
     lists = sample["vector"].combine_chunks()
     size = max(len(v) for v in lists)
     mean, projection = learn(_matrix(lists, size))
-    coded = stage(distinct.select("node", "label", "vector", codes(F.col("vector"), mean, projection).alias("code")), "codes")
+    code = codes(F.col("vector"), mean, projection).alias("code")
+    coded = stage(distinct.select("node", "label", "vector", code, measures("vector").alias("size")), "codes")
 
     width = BITS // TABLES
     pieces = ", ".join(f"struct({t} as place, shiftrightunsigned(code, {t * width}) & {(1 << width) - 1}L as piece)" for t in range(TABLES))
@@ -119,11 +128,13 @@ def links(distinct: DataFrame, cosine_min: float) -> DataFrame:
     asked = entered.select(F.col("node").alias("a"), "label", "place", F.col("code").alias("code_a"), F.explode(near).alias("piece"))
     entered = entered.select(F.col("node").alias("b"), "label", "place", F.col("code").alias("code_b"), "piece")
     met = asked.join(entered, ["label", "place", "piece"])
-    met = met.where(f"a < b and bit_count(code_a ^ code_b) <= {MOST_BITS}").select("a", "b").distinct()
-    left = coded.select(F.col("node").alias("a"), F.col("vector").alias("vector_a"))
-    right = coded.select(F.col("node").alias("b"), F.col("vector").alias("vector_b"))
+    met = met.where(f"a < b and bit_count(code_a ^ code_b) <= {MOST_BITS}")
+    # a pair that meets in several tables counts in the first of them
+    meets = [f"bit_count(shiftrightunsigned(code_a ^ code_b, {t * width}) & {(1 << width) - 1}L) <= 1" for t in range(TABLES)]
+    met = met.where(F.col("place") == F.coalesce(*[F.when(F.expr(here), t) for t, here in enumerate(meets)])).select("a", "b")
+    left, right = (coded.select(F.col("node").alias(x), F.col("vector").alias(f"vector_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
     pairs = met.join(left, "a").join(right, "b").where(F.size("vector_a") == F.size("vector_b"))
-    return pairs.where(cosine("vector_a", "vector_b") >= cosine_min).select("a", "b")
+    return pairs.where(cosine() >= cosine_min).select("a", "b")
 
 
 def near_duplicates(
