@@ -11,8 +11,8 @@ many times its size; only the suffixes that can match are sorted, in buckets:
    and are represented by the earliest. Long copies and passages consist of such runs, whatever their number.
 3. Where a bucket still holds different runs, mostly the two ends of a shared passage, the bytes of the representatives are
    fetched. Their starts are sorted as suffixes of ``length`` bytes; from the common prefixes of neighbours and the
-   previous and next smaller position in that order follows each start's longest previous factor; where no copy is to
-   stay, also its longest next factor.
+   previous and next smaller position in that order follows each start's longest previous factor. Where no copy is to
+   stay, the longest factor that starts anywhere else is what a start shares with one of its neighbours.
 4. A bucket with over ``GROUP`` different runs (a passage in very many different surroundings) is split: its runs are cut at
    starts that the hash of their string picks, one in ``PIECE``, so that inside the passage all are cut alike. Equal pieces
    are copies as a whole; only of different ones, mostly one at either end of the passage, the strings are dealt out by their
@@ -65,8 +65,7 @@ class Unit:
 
 def word_hashes(text: bytes) -> bytes:
     """A hash of eight bytes for each word."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(w) for w in WORD.findall(text)], "<u8").tobytes()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, text.split()), "<u8").tobytes()  # splits where WORD does
 
 
 BYTES = Unit(1, 128, bytes)
@@ -168,10 +167,11 @@ def match_starts(contents: list[bytes], length: int, first: bool, unit: Unit = B
     table = table[order]
     differ = table[1:] != table[:-1]
     shared = np.where(differ.any(1), differ.argmax(1), long)
-    common, places = [0, *shared.tolist()], order.tolist()
-    best = np.array(longest_previous(common, places))
-    if not first:  # the factor that occurs later: the same array with positions counted from the end
-        best = np.maximum(best, longest_previous(common, [-at for at in places]))
+    common = np.concatenate(([0], shared, [0]))
+    if first:
+        best = np.array(longest_previous(common[:-1].tolist(), order.tolist()))
+    else:  # no suffix shares more than a neighbour in the order
+        best = np.maximum(common[:-1], common[1:])
     hit = np.zeros(len(table), bool)
     hit[order] = best >= long
     return np.split(hit, np.cumsum(counts)[:-1])
@@ -412,6 +412,23 @@ def cut(docs: DataFrame, length: int = 400, keep: str = "first", id_col: str = "
     return joined.select(*kept, apply(text_col, cuts, repeat).alias("cut"))
 
 
+def passage_words(docs: DataFrame, words: int = 51, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Words in passages of so many words that start anywhere else too: ``id``, ``digest`` (xxhash64) of the text, ``n_words``.
+
+    Words are those of :func:`deduplicate_words`. Each text has one row, under each id it has, and none without such passages.
+    """
+    found = repeated_spans(docs, words, "none", id_col, text_col, WORDS)
+    found = found.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    none = F.lit(0).cast("bigint")
+
+    def add(done: Column, span: Column) -> Column:  # what of the span lies behind those before it
+        more = F.greatest(span["high"] - F.greatest(span["low"], done["end"]), none)
+        return F.struct((done["n"] + more).alias("n"), F.greatest(span["high"], done["end"]).alias("end"))
+
+    n = F.aggregate("spans", F.struct(none.alias("n"), none.alias("end")), add, lambda done: done["n"])
+    return found.select("id", "digest", n.alias("n_words"))
+
+
 def deduplicate(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Docs with later copies cut out of the text. Bytes of a character that a cut has split go with it; null stays null."""
     done = cut(docs, length, "first", id_col, text_col)

@@ -198,3 +198,56 @@ def test_a_passage_in_many_surroundings(make_docs, monkeypatch, keep, frequent):
     for i, text in enumerate(texts):
         assert found[i].n_removed == sum(gone[i])
         assert bytes(found[i].kept) == bytes(b for b, g in zip(text.encode(), gone[i], strict=True) if not g)
+
+
+def test_words_are_split_as_they_are_placed():
+    text = bytes(range(256)) + "a\u00a0b\u2003é \x1cq\x85".encode() + b"  x\t\ny\x0b\x0cz "
+    coded = b"".join(suffixdedup.word_hashes(m.group()) for m in suffixdedup.WORD.finditer(text))
+    assert suffixdedup.word_hashes(text) == coded and len(coded) == 8 * len(suffixdedup.WORD.findall(text))
+
+
+def test_registered_query_counts_planted_passages_of_over_50_words(spark, tmp_path, make_docs):
+    """Passages of 51 to 60 words and under 400 bytes, in two to five documents each: no byte goes, all their words count."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 6)))
+    new = lambda n: [word() + str(rng.randrange(10**6)) for _ in range(n)]
+    rows, planted = [], {}
+    for k in range(10):
+        passage = [word() for _ in range(51 + k)]
+        assert len(" ".join(passage)) < 400
+        for _ in range(2 + k % 4):
+            rows.append((len(rows), " ".join(new(rng.randrange(40)) + passage + new(rng.randrange(40)))))
+            planted[len(rows) - 1] = len(passage)
+    half = [word() for _ in range(50)]
+    rows += [(len(rows) + k, " ".join(new(20) + half + new(20))) for k in range(3)]  # 50 words stay uncounted
+    rows += [(len(rows) + k, " ".join(new(30 + 9 * k))) for k in range(20)]
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (0, None), (None, None), (-1, "")]
+    make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = op7_suffix_array(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes) for r in found) == sorted((i or 0, len((t or "").encode())) for i, t in rows)
+    whole = len(rows[0][1].split())  # as two rows hold this text as a whole
+    for r in found:
+        if r.doc_id is None or r.doc_id == 0:
+            assert r.n_repeated_words == (whole if r.n_bytes else 0)
+        else:
+            assert (r.n_removed, r.n_repeated_words) == (0, planted.get(r.doc_id, 0))
+
+
+@pytest.mark.parametrize("n", [8, 11])
+def test_passage_words_against_brute_force(make_docs, n):
+    rng = random.Random(n)
+    texts = [[f"é{rng.randrange(30)}" for _ in range(rng.randrange(60))] for _ in range(40)]
+    for text in texts[::2]:
+        other = texts[rng.randrange(len(texts))]
+        a = rng.randrange(max(1, len(other)))
+        text[5:5] = other[a : a + rng.randrange(30)] + text[: rng.choice([0, 0, 12])]
+    places = collections.Counter(tuple(t[a : a + n]) for t in texts for a in range(len(t) - n + 1))
+    expected = {}
+    for i, text in enumerate(texts):
+        gone = [False] * len(text)
+        for a in range(len(text) - n + 1):
+            if places[tuple(text[a : a + n])] > 1:
+                gone[a : a + n] = [True] * n
+        expected |= {i: sum(gone)} if any(gone) else {}
+    found = suffixdedup.passage_words(make_docs([(i, " ".join(t)) for i, t in enumerate(texts)]), n).collect()
+    assert {r.id: r.n_words for r in found} == expected and len(found) == len(expected) > 5
