@@ -67,3 +67,26 @@ def test_inspected_sessions_as_written(spark, tmp_path):
     assert sorted(actual, key=str) == sorted((tuple(row[names.index(c)] for c in columns) for row in expected), key=str)
     assert {row[columns.index("user_id")] for row in actual} == {1, 2}
     connection.close()
+
+
+def test_inspected_sessions_of_undated_copies_and_negative_keys(spark, tmp_path):
+    """Flights of orders that come again without a date, and keys whose remainders are negative."""
+    connection, folder, name = duckdb.connect(), str(tmp_path), "session_inspection"
+    rows = {
+        "nation": "SELECT n::BIGINT AS n_nationkey FROM range(25) r(n)",
+        "customer": "SELECT c::BIGINT AS c_custkey, c % 25 AS c_nationkey FROM range(1, 3) r(c)",
+        "orders": """
+            SELECT k AS o_orderkey, 1::BIGINT AS o_custkey, if(again = 0, TIMESTAMP '1997-04-01', NULL) AS o_orderdate, '1-URGENT' AS o_orderpriority
+            FROM range(1, 40) r(k), range(2) s(again)
+            UNION ALL SELECT -k, 2, TIMESTAMP '1997-04-01', '1-URGENT' FROM range(1, 40) r(k) WHERE -k * 7919 % 10007 % 5 <> 0""",
+    }
+    for table, sql in rows.items():
+        connection.execute(f"COPY ({sql}) TO '{folder}/{table}.parquet'")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    found = QUERIES[name](spark, folder)
+    columns = "user_id", "session_id", "trip_id", "departure_dow", "season_flight", "season_hotel"
+    expected = connection.execute(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall()
+    assert sorted(map(tuple, found.select(*columns).collect()), key=str) == sorted(expected, key=str)
+    seasons = {row[4] for row in expected if row[0] == 1 and row[2] and row[3] is None}
+    assert seasons == {None} and {row[2] for row in expected if row[0] == 2} == {None}
+    connection.close()

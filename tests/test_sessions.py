@@ -237,6 +237,15 @@ def test_stay_lengths(described):
     assert described["long stay"]["stay_length"] == "long (8+)"
 
 
+def test_seasons_by_month_and_without_a_date(spark):
+    days = {month: datetime(2023, month, 15, 8) for month in range(1, 13)} | {None: None}
+    cases = {m: {"flight": {"departure_time": day}, "hotel": {"check_in_time": day}} for m, day in days.items()}
+    found = describe(spark, cases)
+    names = 2 * ["winter"] + 3 * ["spring"] + 3 * ["summer"] + 3 * ["fall"] + ["winter"]
+    expected = {month: (name, name) for month, name in enumerate(names, 1)} | {None: (None, None)}
+    assert {m: (row["season_hotel"], row["season_flight"]) for m, row in found.items()} == expected
+
+
 def test_trip_status(spark):
     """A cancelling session marks the whole trip, unless it lies before the cohort."""
     early = datetime(2023, 1, 3, 23, 59)
