@@ -65,6 +65,14 @@ def test_links_connect_what_is_within_three_bits(spark):
         assert ((r.a ^ r.b) & ((1 << 64) - 1)).bit_count() <= 3
 
 
+def test_variants_are_not_broadcast(spark):
+    """Few fingerprints have many variants, which their plan sizes as few rows."""
+    found = simhash.links(spark.createDataFrame([(i,) for i in range(64)], "fingerprint bigint"))
+    assert {tuple(sorted((r.a, r.b))) for r in found.collect()} >= {(0, i) for i in (1, 2, 4, 8, 16, 32)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin[^\n]*variant", plan) and not re.search(r"BroadcastHashJoin[^\n]*variant", plan)
+
+
 def test_registered_query_against_brute_force(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
     rows = {r.doc_id: r for r in op8_simhash(spark, sf_dir).collect()}
