@@ -49,7 +49,8 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Sequences whose scores are sent to every worker, 16 bytes each.
 FREQUENT = 2**19
-#: Evidence of at most so many rows (of two hashes and three numbers) is sent to the documents; more is joined by shuffle.
+#: Evidence of at most so many rows (of two hashes and three numbers) is sent to the documents, scores of at most so many rare words to
+#: their places; more is joined by shuffle. The documents' words are never sent: Spark sizes their explode as one row a document.
 BROADCAST_ROWS = 20_000
 UNIT = 2**16
 CURVE_ROWS = 20_000
@@ -381,8 +382,9 @@ def _evidence(docs: DataFrame, model: Model) -> tuple[DataFrame, int]:
     parts, size = measured(docs.mapInArrow(weigh, _PARTS), "evidence_parts", rows=F.count(F.lit(1)))
     rare = parts.select("a", "b", F.explode(F.arrays_zip("words", "times")).alias("found"))
     rare = rare.select("a", "b", F.col("found.words").alias("word"), F.col("found.times").alias("times"))
-    words = stage(rare.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "rare_words")
+    words, different = measured(rare.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "rare_words", rows=F.count(F.lit(1)))
     scores = stage(word_scores(words, model.grams, model.contexts), "word_scores")
+    scores = scores.hint("broadcast" if different["rows"] <= BROADCAST_ROWS else "merge")
     met = join_sliced(rare, scores, "word", "a", hot_keys(words, "word", "n", Skew()), "inner")
     met = met.select(
         "a", "b", (F.col("units") * F.col("times")).alias("ratio"),

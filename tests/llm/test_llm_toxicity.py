@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -136,6 +137,24 @@ def test_routes_give_the_same_scores(spark, trained, monkeypatch):
     assert sorted((r.doc_id or -1, r.text or "", r.score) for r in toxicity.scored(docs, other).collect()) == plain
 
 
+def test_words_of_documents_are_not_broadcast(trained, monkeypatch):
+    """A document's words are many rows, which their plan sizes as one; scores go to them while these are few."""
+    _, docs, _, model = trained
+    rare = toxicity.Model(model.grams, model.contexts, model.keys[:5], model.units[:5], model.curve, model.share)
+    plans = {}
+
+    def kept(df, name, stage=toxicity.stage):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(toxicity, "stage", kept)
+    for rows, join in ((10**6, r"BroadcastHashJoin \[word[^\n]*BuildRight"), (-1, r"SortMergeJoin \[word")):
+        monkeypatch.setattr(toxicity, "BROADCAST_ROWS", rows)
+        toxicity.scored(docs, rare)
+        joins = [line for line in plans["evidence"].splitlines() if "Join" in line]
+        assert len(joins) == 1 and re.search(join, joins[0])
+
+
 def test_rare_sequences_keep_their_counts(spark):
     """A word that stands once in a large class is in the model, whatever the size of the corpus."""
     words = spark.createDataFrame([("common", 10**9, 10**9), ("zounds", 1, 0)], "word string, toxic bigint, ordinary bigint")
